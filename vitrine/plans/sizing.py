@@ -1,0 +1,32 @@
+"""Size checks that decide between a broadcast and a shuffle."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SMALL_ROWS = 100_000
+SMALL_BYTES = 32 * 1024 * 1024
+
+
+def settle_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES):
+    """``(frame, True)`` with the rows fixed in the plan when ``df`` is proven small.
+
+    At most ``max_rows + 1`` rows are looked at. A larger frame comes back as it
+    was with ``False``, and the caller goes on with a shuffle.
+    """
+    probe = df.limit(max_rows + 1).toArrow()
+    if probe.num_rows <= max_rows and probe.nbytes <= max_bytes:
+        return df.sparkSession.createDataFrame(probe, df.schema), True
+    return df, False
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Join a large frame with one that is usually tiny.
+
+    Proven small: broadcast, the large side is not shuffled. Otherwise a plain
+    join, which adaptive execution may still re-plan or split on skew.
+    """
+    side, is_small = settle_small(small, max_rows)
+    return big.join(F.broadcast(side) if is_small else side, on, how)
