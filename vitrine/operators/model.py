@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import Model
@@ -79,7 +79,21 @@ class MlpHead:
     blocks: list[tuple[Dense, BatchNorm]]
     output: Dense
     activation: str = "ReLU"
-    params: dict = field(default_factory=dict)
+
+    def arrays(self) -> list[list[np.ndarray]]:
+        """Plain arrays in layer order."""
+        def parts(layer):
+            return ([layer.weight, layer.bias] if isinstance(layer, Dense)
+                    else [layer.gamma, layer.beta, layer.mean, layer.var])
+
+        layers = [self.input_norm, *(layer for block in self.blocks for layer in block), self.output]
+        return [parts(layer) for layer in layers]
+
+    @classmethod
+    def from_arrays(cls, arrays: list[list[np.ndarray]], activation: str) -> MlpHead:
+        first, *hidden, last = arrays
+        blocks = [(Dense(*dense), BatchNorm(*norm)) for dense, norm in zip(hidden[::2], hidden[1::2], strict=True)]
+        return cls(BatchNorm(*first), blocks, Dense(*last), activation)
 
     def forward(self, x: np.ndarray) -> np.ndarray:
         act = ACTIVATIONS[self.activation]
@@ -111,10 +125,11 @@ def random_head(input_dim: int, classes: int, hidden: Iterable[int] = (1024, 512
 def head_logits(df: DataFrame, head: MlpHead, features: str = "features", out: str = "logits",
                 batch_size: int = 1024) -> DataFrame:
     """Add the logits of a head. Its weights, a few megabytes whatever the data, are broadcast once."""
-    shared = df.sparkSession.sparkContext.broadcast(head)
+    shared = df.sparkSession.sparkContext.broadcast(head.arrays())
+    activation = head.activation
 
     def load():
-        model = shared.value
+        model = MlpHead.from_arrays(shared.value, activation)
 
         def predict(x: np.ndarray) -> np.ndarray:
             return model.forward(x.astype(np.float64)).astype(np.float32)

@@ -26,14 +26,21 @@ def label_lookup(labels: DataFrame) -> Column:
 
 def rank_probabilities(df: DataFrame, labels: Column, probabilities: str = "probabilities",
                        k: int = TOP_K) -> DataFrame:
-    """Add predicted_class_index, predicted_label, confidence, top5 and all_scores."""
-    best = df.withColumn("predicted_class_index", argmax(F.col(probabilities)))
-    best = best.withColumns({
+    """Add predicted_class_index, predicted_label, confidence, top5 and all_scores.
+
+    ``labels`` is a map column or value, class index to label.
+    """
+    known = F.col("_labels")
+    ranked = df.withColumn("_labels", labels).withColumns({
+        "predicted_class_index": argmax(F.col(probabilities)),
         "confidence": F.array_max(probabilities).cast("double"),
-        "predicted_label": class_label(labels, F.col("predicted_class_index")),
-        "top5": label_top_classes(top_classes(F.col(probabilities), k), labels),
+        "_top": top_classes(F.col(probabilities), k),
+    })
+    named = ranked.withColumns({
+        "predicted_label": class_label(known, F.col("predicted_class_index")),
+        "top5": label_top_classes(F.col("_top"), known),
     })
-    return best.withColumn("all_scores", scores_map(F.col("top5")))
+    return named.withColumn("all_scores", scores_map(F.col("top5"))).drop("_labels", "_top")
 
 
 def rank_logits(df: DataFrame, labels: Column, logits: str = "logits", k: int = TOP_K) -> DataFrame:

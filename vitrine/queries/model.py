@@ -242,8 +242,9 @@ def weighted_loss(t: Tables):
     weight = labels.class_weights(t.logits, "label")
     known = weight.agg(F.map_from_entries(F.collect_list(F.struct("label", "weight")))).scalar()
     per_index = F.transform(F.sequence(F.lit(0), F.size("logits") - 1),
-                            lambda i: F.coalesce(F.try_element_at(known, i), F.lit(0.0)))
-    return evaluation.weighted_smoothed_loss(t.logits, per_index).select(F.round("loss", 5).alias("loss"))
+                            lambda i: F.coalesce(F.try_element_at("_known", i), F.lit(0.0)))
+    weighted = t.logits.withColumn("_known", known).withColumn("weights", per_index)
+    return evaluation.weighted_smoothed_loss(weighted, F.col("weights")).select(F.round("loss", 5).alias("loss"))
 
 
 @query("text_embedding")

@@ -69,10 +69,10 @@ def latest_predictions(t: Tables):
 
 
 @query("prediction_spans", """
-    SELECT user_id, epoch_ms(min(ts)) AS first_ms, epoch_ms(max(ts)) AS last_ms,
-           CASE WHEN epoch_ms(max(ts)) > epoch_ms(min(ts))
-                THEN round((epoch_ms(max(ts)) - epoch_ms(min(ts))) / 60000.0::DOUBLE, 1) END AS minutes
-    FROM events GROUP BY user_id""")
+    SELECT user_id, first_ms, last_ms,
+           CASE WHEN last_ms > first_ms THEN round((last_ms - first_ms) / 60000.0::DOUBLE, 1) END AS minutes
+    FROM (SELECT user_id, epoch_us(min(ts)) // 1000 AS first_ms, epoch_us(max(ts)) // 1000 AS last_ms
+          FROM events GROUP BY user_id)""")
 def prediction_spans(t: Tables):
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     spans = t.table("events").groupBy("user_id").agg(F.min(ms).alias("first_ms"), F.max(ms).alias("last_ms"))

@@ -82,7 +82,7 @@ def newest_run(t: Tables):
            strftime(start_time AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Paris', '%Y-%m-%d %H:%M') AS started,
            data_run_id,
            CASE WHEN end_time > start_time
-                THEN round(epoch_us(end_time) / 60e6::DOUBLE - epoch_us(start_time) / 60e6::DOUBLE, 1) END AS duration_min,
+                THEN round((epoch_us(end_time) - epoch_us(start_time)) / 60e6::DOUBLE, 1) END AS duration_min,
            CASE stage WHEN 'Production' THEN '🟢 Production' WHEN 'Archived' THEN '⚫ Archived' ELSE '⚪ —' END AS status
     FROM runs LEFT JOIN versions USING (run_id)""")
 def runs_table(t: Tables):
