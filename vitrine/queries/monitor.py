@@ -10,7 +10,7 @@ from vitrine.plans import reports
 from vitrine.queries.adapters import Tables, with_tables
 from vitrine.queries.registry import query
 from vitrine.session import fresh_dir
-from vitrine.streaming.jobs import hourly_by_class, read_hourly_update, start_hourly_update
+from vitrine.streaming.jobs import hourly_by_class, read_hourly_partials, start_hourly_partials
 
 PARIS_SQL = "dt_predicted AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Paris'"
 
@@ -101,5 +101,5 @@ def hourly_stream(t: Tables):
         F.col("event_id").alias("id"), F.col("event_type").alias("predicted_class"),
         F.least(F.col("value") / 500, F.lit(1.0)).alias("confidence"), F.col("ts").alias("dt_predicted"))
     out = fresh_dir(t.spark, "hourly")
-    start_hourly_update(predictions, f"{out}/table", f"{out}/checkpoint").awaitTermination()
-    return read_hourly_update(t.spark, f"{out}/table").withColumn("avg_conf", F.round("avg_conf", 6))
+    start_hourly_partials(predictions, f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    return read_hourly_partials(t.spark, f"{out}/table").withColumn("avg_conf", F.round("avg_conf", 6))
