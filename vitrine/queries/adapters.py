@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.operators.catalogue import image_path
+from vitrine.sources.batches import read_spread
 
 REDELIVERED = 1_000_000_000_000
 
@@ -24,13 +25,17 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def texts(self, name: str, *key: str) -> DataFrame:
+        """A table whose texts are about to be cleaned or hashed."""
+        return read_spread(self.spark, f"{self.dir}/{name}.parquet", *key)
+
     @cached_property
     def raw(self) -> DataFrame:
         """Documents as products: first line is the designation, the rest the description."""
         code = (F.when(F.col("lang") == "de", 10).when(F.col("lang") == "en", 20)
                 .when(F.col("lang") == "es", 30).when(F.col("lang") == "fr", 40))
         line_end = F.instr("text", "\n")
-        return self.table("documents").select(
+        return self.texts("documents", "doc_id").select(
             F.col("doc_id").alias("productid"),
             (F.col("doc_id") + 1_000_000).alias("imageid"),
             code.alias("prdtypecode"),

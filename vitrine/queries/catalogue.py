@@ -109,12 +109,12 @@ def clean_documents(t: Tables):
 
 @query("clean_pages", f"SELECT page_id, {clean_sql('html', entities=True)} AS cleaned FROM pages")
 def clean_pages(t: Tables):
-    return t.table("pages").select("page_id", clean_text(F.col("html")).alias("cleaned"))
+    return t.texts("pages", "page_id").select("page_id", clean_text(F.col("html")).alias("cleaned"))
 
 
 @query("clean_conversations", f"SELECT conv_id, turn, {clean_sql('text')} AS cleaned FROM conversations")
 def clean_conversations(t: Tables):
-    return t.table("conversations").select("conv_id", "turn", clean_text(F.col("text")).alias("cleaned"))
+    return t.texts("conversations", "conv_id", "turn").select("conv_id", "turn", clean_text(F.col("text")).alias("cleaned"))
 
 
 @query("input_text", with_tables("raw") + f"""
