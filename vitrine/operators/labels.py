@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vitrine.operators.ranking import global_row_number
 from vitrine.plans.sizing import join_small, settle_small
+from vitrine.session import shared_dir
 
 SPLIT_SEED = 42
 VALIDATION_SHARE = 0.2
@@ -82,7 +83,9 @@ def stratified_split(df: DataFrame, key: str = "product_id", label: str = "prdty
     digest = F.md5(F.concat(F.lit(f"{seed}-"), F.col(key).cast("string")).cast("binary"))
     keyed = df.select(F.col(key), F.col(label), digest.alias("_hash"))
     keyed = keyed.withColumn("_bucket", F.substring("_hash", 1, HASH_DIGITS))
-    fill = keyed.groupBy(label, "_bucket").agg(F.count("*").alias("_n"))
+    # A few bytes per bucket and class; kept, as counts and bucket ends both need it.
+    shared_dir(df.sparkSession)
+    fill = keyed.groupBy(label, "_bucket").agg(F.count("*").alias("_n")).checkpoint()
     counts, _ = settle_small(fill.groupBy(label).agg(F.sum("_n").alias("n_c")))
     quotas, _ = settle_small(split_quotas(counts, label, share).select(label, "quota"))
 

@@ -10,6 +10,7 @@ from vitrine.operators.ranking import first_n_per_key
 from vitrine.plans.sizing import join_small
 
 ROW_KEY = ["productid", "batch_id"]
+MAX_BROADCAST_IDS = 2_000_000
 
 
 def rows_to_insert(batch: DataFrame, stored: DataFrame | None, keys: list[str] = ROW_KEY,
@@ -34,7 +35,7 @@ def upsert_latest_wins(stored: DataFrame | None, batch: DataFrame, key: str = "p
     """
     if stored is None:
         return batch
-    return join_small(stored, batch.select(key), key, "left_anti").unionByName(batch)
+    return join_small(stored, batch.select(key), key, "left_anti", MAX_BROADCAST_IDS).unionByName(batch)
 
 
 def upsert_counts(stored: DataFrame, batch: DataFrame, key: str = "product_id") -> DataFrame:

@@ -17,6 +17,23 @@ from vitrine.sources.batches import read_spread
 REDELIVERED = 1_000_000_000_000
 
 
+def as_products(documents: DataFrame) -> DataFrame:
+    """Documents as products: first line is the designation, the rest the description."""
+    code = (F.when(F.col("lang") == "de", 10).when(F.col("lang") == "en", 20)
+            .when(F.col("lang") == "es", 30).when(F.col("lang") == "fr", 40))
+    line_end = F.instr("text", "\n")
+    return documents.select(
+        F.col("doc_id").alias("productid"),
+        (F.col("doc_id") + 1_000_000).alias("imageid"),
+        code.alias("prdtypecode"),
+        F.col("lang").alias("prodtype"),
+        F.substring_index("text", "\n", 1).alias("product_designation"),
+        F.when(line_end > 0, F.substr("text", line_end + 1)).alias("product_description"),
+        F.col("source").alias("batch_id"),
+        F.col("doc_id").alias("row_pos"),
+        "n_chars")
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -31,34 +48,31 @@ class Tables:
 
     @cached_property
     def raw(self) -> DataFrame:
-        """Documents as products: first line is the designation, the rest the description."""
-        code = (F.when(F.col("lang") == "de", 10).when(F.col("lang") == "en", 20)
-                .when(F.col("lang") == "es", 30).when(F.col("lang") == "fr", 40))
-        line_end = F.instr("text", "\n")
-        return self.texts("documents", "doc_id").select(
-            F.col("doc_id").alias("productid"),
-            (F.col("doc_id") + 1_000_000).alias("imageid"),
-            code.alias("prdtypecode"),
-            F.col("lang").alias("prodtype"),
-            F.split_part("text", F.lit("\n"), F.lit(1)).alias("product_designation"),
-            F.when(line_end > 0, F.substr("text", line_end + 1)).alias("product_description"),
-            F.col("source").alias("batch_id"),
-            F.col("doc_id").alias("row_pos"),
-            "n_chars")
+        return as_products(self.table("documents"))
 
     @cached_property
-    def redelivery(self) -> DataFrame:
+    def raw_texts(self) -> DataFrame:
+        return as_products(self.texts("documents", "doc_id"))
+
+    def redelivered(self, raw: DataFrame) -> DataFrame:
         """The labelled documents once more, in a later batch under upper-case labels."""
         labelled = self.table("labels").select(F.col("doc_id").alias("productid"))
-        return self.raw.join(labelled, "productid", "left_semi").withColumns({
+        return raw.join(labelled, "productid", "left_semi").withColumns({
             "prodtype": F.upper("prodtype"), "batch_id": F.lit("redelivery"),
             "row_pos": F.col("row_pos") + REDELIVERED})
 
+    def _deliveries(self, raw: DataFrame) -> DataFrame:
+        first = raw.withColumn("dt_processed", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+        again = self.redelivered(raw).withColumn("dt_processed", F.lit("2024-02-01 12:30:00").cast("timestamp_ntz"))
+        return first.unionByName(again)
+
     @cached_property
     def deliveries(self) -> DataFrame:
-        first = self.raw.withColumn("dt_processed", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
-        again = self.redelivery.withColumn("dt_processed", F.lit("2024-02-01 12:30:00").cast("timestamp_ntz"))
-        return first.unionByName(again)
+        return self._deliveries(self.raw)
+
+    @cached_property
+    def delivery_texts(self) -> DataFrame:
+        return self._deliveries(self.raw_texts)
 
     @cached_property
     def processed(self) -> DataFrame:

@@ -104,7 +104,7 @@ def similar_products(t: Tables):
     SELECT productid, {clean_sql("product_designation")} AS designation,
            {clean_sql("product_description")} AS description FROM raw""")
 def clean_documents(t: Tables):
-    return with_clean_columns(t.raw).select("productid", "designation", "description")
+    return with_clean_columns(t.raw_texts).select("productid", "designation", "description")
 
 
 @query("clean_pages", f"SELECT page_id, {clean_sql('html', entities=True)} AS cleaned FROM pages")
@@ -121,7 +121,7 @@ def clean_conversations(t: Tables):
     SELECT productid, trim({clean_sql("product_designation")} || ' ' || {clean_sql("product_description")})
         AS input_text FROM raw""")
 def input_text_query(t: Tables):
-    return with_input_text(t.raw).select("productid", "input_text")
+    return with_input_text(t.raw_texts).select("productid", "input_text")
 
 
 @query("input_text_requests", f"""
@@ -186,7 +186,7 @@ def image_counts(t: Tables):
     FROM (SELECT * FROM deliveries
           QUALIFY row_number() OVER (PARTITION BY productid ORDER BY row_pos) = 1)""")
 def transform_deliveries(t: Tables):
-    return transform(t.deliveries, ops.parse_image_listing(t.image_listing)).select(*ops.PROCESSED_COLUMNS)
+    return transform(t.delivery_texts, ops.parse_image_listing(t.image_listing)).select(*ops.PROCESSED_COLUMNS)
 
 
 @query("quality_gates", with_tables("deliveries") + f"""
@@ -198,7 +198,7 @@ def transform_deliveries(t: Tables):
                  sum((n_chars >= 400)::INT) / count(*) AS image_rate
           FROM deliveries GROUP BY batch_id)""")
 def quality_gates(t: Tables):
-    checked = ops.check_images(t.deliveries, ops.parse_image_listing(t.image_listing))
+    checked = ops.check_images(t.delivery_texts, ops.parse_image_listing(t.image_listing))
     cleaned = checked.withColumn("designation", clean_text(F.col("product_designation")))
     return (judge_batches(measure_batches(cleaned))
             .withColumn("image_rate", F.round("image_rate", 6)))
@@ -221,7 +221,7 @@ def insert_ignore_query(t: Tables):
     poor = t.table("labels").where("quality = 0").select(F.col("doc_id").alias("productid"))
     stored = (t.raw.join(poor, "productid", "left_semi").withColumn("prodtype", F.upper("prodtype"))
               .drop("row_pos"))
-    twice = t.redelivery.drop("batch_id").join(t.raw.select("productid", "batch_id"), "productid")
+    twice = t.redelivered(t.raw).drop("batch_id").join(t.raw.select("productid", "batch_id"), "productid")
     batch = t.raw.unionByName(twice)
     return insert_ignore(batch, stored).select("productid", "batch_id", "prodtype")
 

@@ -84,7 +84,7 @@ def join_vectors(t: Tables):
 
 
 @query("l2_normalise", with_tables("emb") + f"""
-    SELECT product_id, {digits_sql("list_transform(embedding_image, lambda x: x / norm)")} AS unit_digits
+    SELECT product_id, {digits_sql("list_transform(embedding_image, lambda x: (x / norm)::FLOAT)")} AS unit_digits
     FROM (SELECT *, greatest(sqrt(list_sum(list_transform(embedding_image, lambda x: x::DOUBLE * x::DOUBLE))), 1e-12)
                  AS norm FROM emb)""")
 def l2_query(t: Tables):
@@ -249,7 +249,7 @@ def weighted_loss(t: Tables):
 
 @query("text_embedding")
 def text_embedding(t: Tables):
-    embedded = vectors.hashed_text_vectors(with_input_text(t.raw))
+    embedded = vectors.hashed_text_vectors(with_input_text(t.raw_texts))
     norm = F.sqrt(array_total(F.transform("embedding_text", lambda x: x.cast("double") * x)))
     return embedded.select("productid", F.size("embedding_text").alias("width"),
                            F.round(norm, 5).alias("norm"), "embedding_text")

@@ -16,13 +16,13 @@ PARIS_SQL = "dt_predicted AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Paris'"
 
 
 @query("prediction_kpis", with_tables("preds") + """
-    SELECT count(*) AS total, round(avg(confidence), 6) AS avg_confidence,
+    SELECT count(*) AS total, round(avg(confidence), 10) AS avg_confidence,
            round(avg((confidence >= 0.75)::INT), 6) AS pct_high,
            (SELECT predicted_class FROM preds GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS dominant_class
     FROM preds""")
 def prediction_kpis(t: Tables):
     kpis = reports.prediction_kpis(t.predictions)
-    return kpis.withColumns({"avg_confidence": F.round("avg_confidence", 6), "pct_high": F.round("pct_high", 6)})
+    return kpis.withColumns({"avg_confidence": F.round("avg_confidence", 10), "pct_high": F.round("pct_high", 6)})
 
 
 @query("monitor_kpis", with_tables("preds").rstrip() + """,
@@ -52,10 +52,10 @@ def confidence_histogram(t: Tables):
 
 
 @query("hourly_predictions", with_tables("preds") + f"""
-    SELECT date_trunc('hour', {PARIS_SQL}) AS hour, count(id) AS count, round(avg(confidence), 6) AS avg_conf
+    SELECT date_trunc('hour', {PARIS_SQL}) AS hour, count(id) AS count, round(avg(confidence), 10) AS avg_conf
     FROM preds GROUP BY 1""")
 def hourly_predictions(t: Tables):
-    return reports.hourly_predictions(t.predictions).withColumn("avg_conf", F.round("avg_conf", 6))
+    return reports.hourly_predictions(t.predictions).withColumn("avg_conf", F.round("avg_conf", 10))
 
 
 @query("latest_predictions", with_tables("preds") + f"""
@@ -81,7 +81,7 @@ def prediction_spans(t: Tables):
 
 HOURLY_SQL = with_tables("preds") + """
     SELECT date_trunc('hour', dt_predicted) AS hour, predicted_class, count(*) AS count,
-           round(avg(confidence), 6) AS avg_conf
+           round(avg(confidence), 10) AS avg_conf
     FROM preds GROUP BY 1, 2"""
 
 
@@ -89,7 +89,7 @@ HOURLY_SQL = with_tables("preds") + """
 def hourly_batch(t: Tables):
     totals = hourly_by_class(t.predictions)
     return totals.select("hour", "predicted_class", "count",
-                         F.round(F.col("confidence_sum") / F.col("count"), 6).alias("avg_conf"))
+                         F.round(F.col("confidence_sum") / F.col("count"), 10).alias("avg_conf"))
 
 
 @query("hourly_by_class_stream", HOURLY_SQL)
@@ -102,4 +102,4 @@ def hourly_stream(t: Tables):
         F.least(F.col("value") / 500, F.lit(1.0)).alias("confidence"), F.col("ts").alias("dt_predicted"))
     out = fresh_dir(t.spark, "hourly")
     start_hourly_partials(predictions, f"{out}/table", f"{out}/checkpoint").awaitTermination()
-    return read_hourly_partials(t.spark, f"{out}/table").withColumn("avg_conf", F.round("avg_conf", 6))
+    return read_hourly_partials(t.spark, f"{out}/table").withColumn("avg_conf", F.round("avg_conf", 10))
