@@ -69,3 +69,9 @@ def to_prediction_rows(scored: DataFrame, model_version: str | None = None, has_
         F.lit(model_version).cast("string").alias("model_version"),
         (F.lit(True) if has_image is None else has_image).alias("has_image"),
         F.current_timestamp().cast("timestamp_ntz").alias("dt_predicted"))
+
+
+def save_predictions(rows: DataFrame, path: str) -> None:
+    """Append prediction rows; one folder per day keeps recent reads short."""
+    (rows.withColumn("day", F.to_date("dt_predicted"))
+     .write.mode("append").partitionBy("day").parquet(path))

@@ -2,13 +2,32 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from datetime import datetime, timezone
+
+from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.operators.evaluation import accuracy_and_macro_f1
 from vitrine.operators.labels import class_index, encode_labels, stratified_split
-from vitrine.operators.model import train_logistic
+from vitrine.operators.model import sample_params, search, train_logistic
+from vitrine.operators.quality import training_needed
+from vitrine.operators.registry import promote
+from vitrine.operators.runs import append_row, newest_run, trial_summary
 from vitrine.operators.vectors import as_ml_vector, with_fused
+from vitrine.plans.ingest import Store
+from vitrine.plans.reports import cumulative_stats
+
+MODEL_NAME = "product-classifier"
+TRAINING_RUN = (
+    "run_id string, params map<string,string>, final_val_acc double, final_val_f1_macro double, "
+    "best_val_loss double, data_run_id string, git_sha string, start_time timestamp_ntz, end_time timestamp_ntz"
+)
+EPOCH_METRICS = ("run_id string, epoch int, train_loss double, val_loss double, val_acc double, "
+                 "val_f1_macro double")
+MODEL_VERSION = "name string, version int, run_id string, stage string"
 
 
 def training_frame(embeddings: DataFrame, categories: DataFrame) -> DataFrame:
@@ -22,7 +41,7 @@ def split_parts(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
     return frame.where(F.col("split") == "train"), frame.where(F.col("split") == "val")
 
 
-def train_and_measure(frame: DataFrame, fit=train_logistic):
+def train_and_measure(frame: DataFrame, fit: Callable[[DataFrame], Model] = train_logistic) -> tuple[Model, dict]:
     """(model, measures on the validation rows)."""
     train, val = split_parts(frame)
     model = fit(train)
@@ -38,3 +57,64 @@ def data_statistics(frame: DataFrame) -> DataFrame:
         F.countDistinct("label").alias("data_nb_classes"),
         F.count_if(F.col("split") == "train").alias("data_nb_train"),
         F.count_if(F.col("split") == "val").alias("data_nb_val"))
+
+
+def tune(store: Store, frame: DataFrame, fit: Callable[[DataFrame, dict], Model],
+         params: list[dict] | None = None) -> dict:
+    """Search parameters, keep the trials, return the best ones; an error when every trial failed."""
+    train, val = split_parts(frame)
+    trials = search(train, val, fit, sample_params() if params is None else params)
+    trials.write.mode("append").parquet(store.path("trials"))
+    best = trial_summary(trials.where(F.col("value") > float("-inf"))).first()
+    if not best["n_trials_completed"]:
+        raise RuntimeError("no trial completed")
+    return dict(best["best_params"])
+
+
+def train_and_register(store: Store, fit: Callable[[DataFrame], Model] = train_logistic, params: dict | None = None,
+                       git_sha: str | None = None, data_run_id: str | None = None) -> dict:
+    """Train on the stored embeddings, keep the run, register and compare the model.
+
+    Skipped when the production model was trained on the same data batch. The
+    batch is the newest one of the run log unless named.
+    """
+    spark = store.spark
+    runs = store.read("runs")
+    if data_run_id is None and runs is not None:
+        newest = newest_run(runs.withColumn("start_time", F.col("dt_ingested"))).first()
+        data_run_id = newest["run_id"] if newest else None
+    versions = store.model_versions.read()
+    history = store.read("training_runs")
+    if versions is not None and history is not None and not training_needed(data_run_id, versions, history):
+        return {"skipped": True, "data_run_id": data_run_id}
+
+    begin = datetime.now(timezone.utc).replace(tzinfo=None)
+    run_id = uuid.uuid4().hex
+    embeddings = store.embeddings.read()
+    # Written once: the fit reads its rows many times and must see the same ones.
+    training_frame(embeddings, store.categories.read()).write.parquet(store.path(f"training_data/{run_id}"))
+    frame = spark.read.parquet(store.path(f"training_data/{run_id}"))
+    model, measures = train_and_measure(frame, fit)
+    model.write().save(store.path(f"models/{run_id}"))
+
+    statistics = {k: str(v) for k, v in data_statistics(frame).first().asDict().items()}
+    stats = cumulative_stats(embeddings).first()
+    if stats:
+        statistics |= {"data_total_products": str(stats["total_products"]),
+                       "data_imbalance_ratio": str(stats["imbalance_ratio"])}
+    losses = list(model.summary.objectiveHistory) if getattr(model, "hasSummary", False) else []
+    if losses:
+        rows = [(run_id, epoch, float(loss), None, None, None) for epoch, loss in enumerate(losses)]
+        spark.createDataFrame(rows, EPOCH_METRICS).write.mode("append").parquet(store.path("epoch_metrics"))
+    append_row(spark, store.path("training_runs"), {
+        "run_id": run_id, "params": {k: str(v) for k, v in (params or {}).items()} | statistics,
+        "final_val_acc": measures["accuracy"], "final_val_f1_macro": measures["macro_f1"], "best_val_loss": None,
+        "data_run_id": data_run_id, "git_sha": git_sha, "start_time": begin,
+        "end_time": datetime.now(timezone.utc).replace(tzinfo=None)}, TRAINING_RUN)
+
+    challengers = spark.createDataFrame([(MODEL_NAME, run_id)], "name string, run_id string")
+    known = versions if versions is not None else spark.createDataFrame([], MODEL_VERSION)
+    after = promote(known, challengers, store.read("training_runs"))
+    store.model_versions.write(after.withColumn("version", F.col("version").cast("int")))
+    stage = store.model_versions.read().where(F.col("run_id") == run_id).first()["stage"]
+    return {"run_id": run_id, "data_run_id": data_run_id, "stage": stage, **measures}
