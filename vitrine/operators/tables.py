@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -65,6 +65,12 @@ def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def batch_rows(spark: SparkSession, path: str, batch_id: str) -> int:
+    """Stored rows of one batch; answered from the Parquet footers of its partition."""
+    table = read_if_there(spark, path)
+    return 0 if table is None else table.where(F.col("batch_id") == batch_id).count()
+
+
 def append_new_rows(batch: DataFrame, path: str, batch_id: str, order: str = "row_pos") -> int:
     """Insert-ignore one batch into the Parquet table at ``path``; rows inserted.
 
@@ -73,13 +79,12 @@ def append_new_rows(batch: DataFrame, path: str, batch_id: str, order: str = "ro
     """
     spark = batch.sparkSession
     stored = read_if_there(spark, path)
+    before = batch_rows(spark, path, batch_id)
     if stored is not None:
         stored = stored.where(F.col("batch_id") == batch_id)
-    seen = Observation()
     fresh = rows_to_insert(batch, stored, ROW_KEY, order).drop(order)
-    (fresh.observe(seen, F.count("*").alias("inserted"))
-     .write.mode("append").partitionBy("batch_id").parquet(path))
-    return seen.get["inserted"]
+    fresh.write.mode("append").partitionBy("batch_id").parquet(path)
+    return batch_rows(spark, path, batch_id) - before
 
 
 def replace_batch(df: DataFrame, path: str) -> None:
