@@ -39,14 +39,17 @@ def upsert_latest_wins(stored: DataFrame | None, batch: DataFrame, key: str = "p
 
 
 def upsert_counts(stored: DataFrame, batch: DataFrame, key: str = "product_id") -> DataFrame:
-    """replaced, new, total after the upsert, from key columns alone."""
-    ids = batch.select(key).distinct().withColumn("_in_batch", F.lit(1))
-    old = stored.select(key).withColumn("_in_store", F.lit(1))
-    both = F.col("_in_batch").isNotNull() & F.col("_in_store").isNotNull()
-    return old.join(ids, key, "full_outer").agg(
-        F.count_if(both).alias("replaced"),
-        F.count_if(F.col("_in_store").isNull()).alias("new"),
-        F.count("*").alias("total"))
+    """replaced, new, total after the upsert, from key columns alone.
+
+    The key is unique in the store, so the rows that find their id in the batch
+    are the replaced ones; a small batch is broadcast and nothing is shuffled.
+    """
+    ids = batch.select(key).distinct()
+    rows, stored_rows = (f.agg(F.count("*")).scalar() for f in (ids, stored))
+    hits = join_small(stored.select(key), ids, key, "left_semi", MAX_BROADCAST_IDS)
+    return (hits.agg(F.count("*").alias("replaced"))
+            .select("replaced", (rows - F.col("replaced")).alias("new"),
+                    (stored_rows + rows - F.col("replaced")).alias("total")))
 
 
 def category_map_first_wins(stored: DataFrame | None, pairs: DataFrame) -> DataFrame:

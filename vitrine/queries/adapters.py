@@ -148,7 +148,10 @@ class Tables:
             F.col("o_orderkey").alias("run_id"), begin.alias("start_time"),
             (begin + F.make_dt_interval(secs=(F.col("o_custkey") * 37).cast("decimal(18,6)"))).alias("end_time"),
             F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice") / 600000).alias("final_val_f1_macro"),
-            F.col("o_orderpriority").alias("data_run_id"))
+            F.col("o_orderpriority").alias("data_run_id"),
+            F.create_map(F.lit("epochs"), F.col("o_custkey").cast("string"),
+                         F.lit("dropout"), (F.col("o_custkey") / 7).cast("string"),
+                         F.lit("activation"), F.col("o_orderstatus")).alias("params"))
 
     @cached_property
     def trials(self) -> DataFrame:
@@ -236,7 +239,7 @@ CTE = {
     "runs": """
         SELECT o_orderkey AS run_id, o_orderdate AS start_time, o_orderdate + to_seconds(o_custkey * 37) AS end_time,
                CASE WHEN o_orderstatus <> 'P' THEN o_totalprice / 600000 END AS final_val_f1_macro,
-               o_orderpriority AS data_run_id
+               o_orderpriority AS data_run_id, o_custkey, o_orderstatus
         FROM orders""",
     "trials": """
         SELECT o_orderkey AS trial, o_totalprice / 600000 AS value,

@@ -10,12 +10,16 @@ from vitrine.functions.text import (
 from vitrine.operators import catalogue as ops
 from vitrine.operators.quality import embedding_guard, judge_batches, measure_batches
 from vitrine.operators.ranking import drop_duplicates_keep_first, latest_per_product
-from vitrine.operators.tables import category_map_first_wins, insert_ignore
+from vitrine.operators.tables import append_new_rows, category_map_first_wins, insert_ignore, replace_batch
 from vitrine.plans import reports
 from vitrine.plans.ingest import transform
 from vitrine.queries.adapters import Tables, with_tables
 from vitrine.queries.registry import query
-from vitrine.sources.batches import category_json, file_stem, parse_category_json
+from vitrine.session import fresh_dir
+from vitrine.sources.batches import (
+    category_json, file_stem, parse_category_json, read_processed, read_raw_csv,
+)
+from vitrine.sources.images import unpublished_images
 from vitrine.sources.manifest import manifest
 
 REFERENCE_WORDS_SQL = "ref|réf|reference|référence|fabricant|model|modèle|sku|asin|ean|isbn|gtin"
@@ -281,6 +285,51 @@ def category_json_rows(t: Tables):
     return parse_category_json(category_json(_merged_categories(t)))
 
 
+@query("raw_csv_round_trip", with_tables("raw") + """
+    SELECT productid::VARCHAR AS productid, prodtype, product_designation,
+           product_description, batch_id FROM raw""")
+def raw_csv_round_trip(t: Tables):
+    """All products written as a raw CSV batch and read back, texts with quotes and line ends included."""
+    path = fresh_dir(t.spark, "raw-csv")
+    (t.raw.select(*ops.RAW_COLUMNS, "batch_id").write.option("sep", ";").option("header", True)
+     .option("quote", '"').option("escape", '"').option("quoteAll", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return read_raw_csv(t.spark, path).select(
+        "productid", "prodtype", "product_designation", "product_description", "batch_id")
+
+
+@query("processed_scan", with_tables("processed") + """
+    SELECT productid, prdtypecode, prodtype, designation FROM processed WHERE batch_id = 'redelivery'""")
+def processed_scan(t: Tables):
+    """One batch out of the partitioned table of all batches."""
+    path = fresh_dir(t.spark, "processed")
+    replace_batch(t.processed, path)
+    return read_processed(t.spark, path, "redelivery").select("productid", "prdtypecode", "prodtype", "designation")
+
+
+@query("append_replayed", with_tables("deliveries") + """
+    SELECT productid, prodtype, batch_id FROM deliveries WHERE batch_id = 'redelivery'""")
+def append_replayed(t: Tables):
+    """The second delivery inserted twice into the stored table; the replay adds nothing."""
+    path = fresh_dir(t.spark, "raw")
+    rows = t.redelivered(t.raw).select("productid", "prodtype", "batch_id", "row_pos")
+    for _ in range(2):
+        append_new_rows(rows, path, "redelivery")
+    return t.spark.read.parquet(path).select("productid", "prodtype", "batch_id")
+
+
+@query("unpublished_images", with_tables("raw") + """
+    SELECT productid, 'images/' || batch_id || '/image_' || imageid || '_product_' || productid || '.jpg' AS path_image
+    FROM raw WHERE n_chars >= 400 AND productid NOT IN (SELECT doc_id FROM labels)""")
+def unpublished_images_query(t: Tables):
+    """Images of labelled products are published already."""
+    batch = ops.with_image_path(ops.check_images(t.raw, ops.parse_image_listing(t.image_listing)))
+    published = t.table("labels").select(F.col("doc_id").alias("productid")).join(
+        t.raw, "productid").select(
+            ops.image_path(F.col("batch_id"), F.col("imageid"), F.col("productid")).alias("path_image"))
+    return unpublished_images(batch, published).select("productid", "path_image")
+
+
 @query("embed_guard", with_tables("emb") + """
     SELECT sum((product_id IS NULL)::INT)::BIGINT AS new_products,
            sum((product_id IS NOT NULL)::INT)::BIGINT AS known_products, count(*) > 0 AS embed

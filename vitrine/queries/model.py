@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 from vitrine.functions.scores import array_total, fuse, l2_normalise
 from vitrine.functions.text import with_input_text
 from vitrine.operators import evaluation, labels, vectors
-from vitrine.operators.model import head_logits, model_probabilities, random_head
-from vitrine.operators.tables import upsert_counts, upsert_latest_wins
+from vitrine.operators.model import head_logits, model_probabilities, random_head, search, train_logistic
+from vitrine.operators.tables import VersionedTable, upsert_counts, upsert_latest_wins
 from vitrine.plans import reports
 from vitrine.plans.scoring import label_lookup, rank_logits, rank_probabilities
 from vitrine.plans.training import data_statistics, split_parts, training_frame
-from vitrine.operators.model import train_logistic
 from vitrine.queries.adapters import Tables, with_tables
 from vitrine.queries.registry import query
+from vitrine.session import fresh_dir
+from vitrine.sources.batches import read_embeddings
+from vitrine.streaming.jobs import start_scoring
 
 
 def digits(vector):
@@ -41,6 +43,19 @@ def upsert_query(t: Tables):
         "product_id", "run_id", "prdtypecode", digits(F.col("embedding_text")).alias("text_digits"))
 
 
+@query("versioned_upsert", with_tables("emb", "emb_batch") + f"""
+    SELECT product_id, run_id, {digits_sql("embedding_image")} AS image_digits
+    FROM (SELECT * FROM emb WHERE product_id NOT IN (SELECT product_id FROM emb_batch)
+          UNION ALL SELECT * FROM emb_batch)""")
+def versioned_upsert(t: Tables):
+    """Two batches through the versioned table; the reader follows the committed version."""
+    table = VersionedTable(t.spark, fresh_dir(t.spark, "embeddings"))
+    table.upsert(t.embeddings)
+    number = table.write(upsert_latest_wins(table.read(), t.embedding_batch))
+    return read_embeddings(t.spark, f"{table.root}/v={number}").select(
+        "product_id", "run_id", digits(F.col("embedding_image")).alias("image_digits"))
+
+
 @query("upsert_counts", with_tables("emb", "emb_batch") + """
     SELECT (SELECT count(*) FROM emb WHERE product_id IN (SELECT product_id FROM emb_batch)) AS replaced,
            (SELECT count(*) FROM emb_batch WHERE product_id NOT IN (SELECT product_id FROM emb)) AS "new",
@@ -193,6 +208,26 @@ def predicted_class(t: Tables):
         "predicted_label", F.round("confidence", 6).alias("confidence"))
 
 
+@query("scoring_stream", with_tables("ranked") + """
+    SELECT product_id, class_index AS predicted_class_index, class_label AS predicted_label, round(p, 6) AS confidence
+    FROM ranked WHERE place = 1""")
+def scoring_stream(t: Tables):
+    """Scores from a file stream over the vectors, appended to a prediction table and read back."""
+    out = fresh_dir(t.spark, "scores")
+    stream = (t.spark.readStream.schema(t.table("embeddings").schema)
+              .option("pathGlobFilter", "embeddings.parquet").parquet(t.dir)
+              .select(F.col("vec_id").alias("product_id"), F.col("embedding").alias("logits")))
+    labels_known = label_lookup(t.class_labels)
+
+    def score(df):
+        return rank_logits(df, labels_known).select(
+            "product_id", F.col("predicted_class_index").cast("bigint").alias("predicted_class_index"),
+            "predicted_label", F.round("confidence", 6).alias("confidence"))
+
+    start_scoring(stream, score, f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    return t.spark.read.parquet(f"{out}/table")
+
+
 @query("score_maps", with_tables("ranked") + """
     SELECT product_id, class_label AS label, round(p, 6) AS confidence FROM ranked WHERE place <= 5""")
 def score_maps(t: Tables):
@@ -255,6 +290,30 @@ def text_embedding(t: Tables):
                            F.round(norm, 5).alias("norm"), "embedding_text")
 
 
+@query("batch_embeddings")
+def batch_embeddings(t: Tables):
+    """The embedding job on all deliveries. The bytes of a text serve as the pixels of its image;
+    the image of an unlabelled product is missing and gets the white stand-in."""
+    batch = t.delivery_texts.withColumn("image_exists", F.col("n_chars") >= 400)
+    pixels = F.floor((F.octet_length(F.col("text").cast("binary")) + 2) / 3).cast("int")
+    data = F.rpad(F.col("text").cast("binary"), pixels * 3, F.lit(b" "))
+    labelled = t.table("labels").select("doc_id")
+    pictures = t.texts("documents", "doc_id").join(labelled, "doc_id", "left_semi").select(
+        F.col("doc_id").alias("productid"),
+        F.struct(F.lit("").alias("origin"), F.lit(1).alias("height"), pixels.alias("width"),
+                 F.lit(3).alias("nChannels"), F.lit(16).alias("mode"), data.alias("data")).alias("image"))
+    return vectors.batch_embeddings(batch, pictures, designation="product_designation",
+                                    description="product_description")
+
+
+@query("search_trials")
+def search_trials(t: Tables):
+    """Two settings tried on the split vectors, scored by macro F1."""
+    train, val = split_parts(training_frame(t.embeddings, _categories(t)))
+    return search(train, val, lambda rows, p: train_logistic(rows, max_iter=5, reg=p["reg"]),
+                  [{"reg": 0.0}, {"reg": 0.1}])
+
+
 @query("head_scores")
 def head_scores(t: Tables):
     """Forward pass of an untrained head over all fused vectors."""

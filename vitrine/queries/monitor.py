@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vitrine.functions.dates import millis_duration_minutes
 from vitrine.functions.text import percent
 from vitrine.plans import reports
+from vitrine.plans.scoring import save_predictions
 from vitrine.queries.adapters import Tables, with_tables
 from vitrine.queries.registry import query
 from vitrine.session import fresh_dir
@@ -68,6 +69,17 @@ def latest_predictions(t: Tables):
     return reports.predictions_table(t.predictions)
 
 
+@query("saved_predictions", with_tables("preds") + """
+    SELECT dt_predicted::DATE AS day, count(*) AS predictions, sum(has_image::INT)::BIGINT AS with_image
+    FROM preds GROUP BY 1""")
+def saved_predictions(t: Tables):
+    """All predictions appended to the day-partitioned table and counted from it."""
+    path = fresh_dir(t.spark, "predictions")
+    save_predictions(t.predictions, path)
+    return t.spark.read.parquet(path).groupBy("day").agg(
+        F.count("*").alias("predictions"), F.count_if("has_image").alias("with_image"))
+
+
 @query("prediction_spans", """
     SELECT user_id, first_ms, last_ms,
            CASE WHEN last_ms > first_ms THEN round((last_ms - first_ms) / 60000.0::DOUBLE, 1) END AS minutes

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vitrine.operators import folds, runs
-from vitrine.operators.registry import production_info, promote
+from vitrine.operators.registry import production_card, production_info, promote
 from vitrine.queries.adapters import Tables, with_tables
 from vitrine.queries.registry import query
 
@@ -122,6 +122,21 @@ def production_runs(t: Tables):
         "name", "version", "run_id", "final_val_f1_macro", "data_run_id")
 
 
+@query("production_card", with_tables("runs", "versions") + """
+    SELECT name, version, coalesce(final_val_f1_macro, 0) AS f1, data_run_id, '—' AS git_sha,
+           CASE WHEN end_time > start_time
+                THEN round((epoch_us(end_time) - epoch_us(start_time)) / 60e6::DOUBLE, 1) END AS duration_min,
+           strftime(end_time AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Paris', '%Y-%m-%d %H:%M') AS trained_at,
+           round(o_custkey / 7, 4)::VARCHAR AS dropout, o_custkey::VARCHAR AS epochs, o_orderstatus AS activation,
+           '—' AS hidden_l1
+    FROM versions JOIN runs USING (run_id) WHERE stage = 'Production'""")
+def production_card_query(t: Tables):
+    history = t.runs.withColumns({"final_val_acc": F.lit(None).cast("double"), "git_sha": F.lit(None).cast("string")})
+    return production_card(t.versions, history).select(
+        "name", "version", "f1", "data_run_id", "git_sha", "duration_min", "trained_at", "dropout", "epochs",
+        "activation", "hidden_l1")
+
+
 @query("version_stages", with_tables("versions") + """
     SELECT stage, count(*) AS versions FROM versions GROUP BY stage""")
 def version_stages(t: Tables):
