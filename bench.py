@@ -20,7 +20,8 @@ def main() -> None:
             "spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
-    spark.read.parquet(f"{SF_DIR}/region.parquet").count()  # start the JVM outside the clock
+    # Start the JVM and the Python workers outside the clock.
+    QUERIES["clean_conversations"](spark, SF_DIR).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in sys.argv[1:] or sorted(QUERIES):
         begin = time.perf_counter()

@@ -86,10 +86,12 @@ def scores_map(top: Column) -> Column:
     Two classes may carry one label; then the later, weaker one stands, as
     when the pairs are put into a dictionary in order.
     """
-    last_of_label = F.filter(top, lambda s, i: ~F.exists(
-        F.slice(top, i + 2, F.size(top)), lambda later: later["label"] == s["label"]))
-    return F.map_from_entries(
-        F.transform(last_of_label, lambda s: F.struct(s["label"], s["confidence"])))
+    def pairs(entries: Column) -> Column:
+        last_of_label = F.filter(entries, lambda s, i: ~F.exists(
+            F.slice(entries, i + 2, F.size(entries)), lambda later: later["label"] == s["label"]))
+        return F.map_from_entries(F.transform(last_of_label, lambda s: F.struct(s["label"], s["confidence"])))
+
+    return let(top, pairs)
 
 
 def l2_normalise(vector: Column) -> Column:

@@ -87,7 +87,7 @@ def stratified_split(df: DataFrame, key: str = "product_id", label: str = "prdty
     shared_dir(df.sparkSession)
     fill = keyed.groupBy(label, "_bucket").agg(F.count("*").alias("_n")).checkpoint()
     counts, _ = settle_small(fill.groupBy(label).agg(F.sum("_n").alias("n_c")))
-    quotas, _ = settle_small(split_quotas(counts, label, share).select(label, "quota"))
+    quotas = split_quotas(counts, label, share).select(label, "quota")
 
     upto = F.sum("_n").over(Window.partitionBy(label).orderBy("_bucket"))
     ends = (fill.withColumn("_upto", upto)

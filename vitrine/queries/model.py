@@ -14,7 +14,7 @@ from vitrine.plans.scoring import label_lookup, rank_logits, rank_probabilities
 from vitrine.plans.training import data_statistics, split_parts, training_frame
 from vitrine.queries.adapters import Tables, with_tables
 from vitrine.queries.registry import query
-from vitrine.session import fresh_dir
+from vitrine.session import fresh_dir, shared_dir
 from vitrine.sources.batches import read_embeddings
 from vitrine.streaming.jobs import start_scoring
 
@@ -192,7 +192,7 @@ def _ranked(t: Tables):
     SELECT product_id, place, class_index, class_label AS label, round(p, 6) AS confidence
     FROM ranked WHERE place <= 5""")
 def softmax_top5(t: Tables):
-    return _ranked(t).select("product_id", F.posexplode("top5").alias("pos", "s")).select(
+    return _ranked(t).select("product_id", F.posexplode_outer("top5").alias("pos", "s")).select(
         "product_id", (F.col("pos") + 1).cast("bigint").alias("place"),
         F.col("s.class_index").cast("bigint").alias("class_index"), F.col("s.label").alias("label"),
         F.round("s.confidence", 6).alias("confidence"))
@@ -231,7 +231,7 @@ def scoring_stream(t: Tables):
 @query("score_maps", with_tables("ranked") + """
     SELECT product_id, class_label AS label, round(p, 6) AS confidence FROM ranked WHERE place <= 5""")
 def score_maps(t: Tables):
-    return _ranked(t).select("product_id", F.explode("all_scores").alias("label", "confidence")).withColumn(
+    return _ranked(t).select("product_id", F.explode_outer("all_scores").alias("label", "confidence")).withColumn(
         "confidence", F.round("confidence", 6))
 
 
@@ -290,6 +290,12 @@ def text_embedding(t: Tables):
                            F.round(norm, 5).alias("norm"), "embedding_text")
 
 
+def _stored_training_frame(t: Tables):
+    """Written once, as every fit reads it several times."""
+    shared_dir(t.spark)
+    return training_frame(t.embeddings, _categories(t)).checkpoint()
+
+
 @query("batch_embeddings")
 def batch_embeddings(t: Tables):
     """The embedding job on all deliveries. The bytes of a text serve as the pixels of its image;
@@ -309,7 +315,7 @@ def batch_embeddings(t: Tables):
 @query("search_trials")
 def search_trials(t: Tables):
     """Two settings tried on the split vectors, scored by macro F1."""
-    train, val = split_parts(training_frame(t.embeddings, _categories(t)))
+    train, val = split_parts(_stored_training_frame(t))
     return search(train, val, lambda rows, p: train_logistic(rows, max_iter=5, reg=p["reg"]),
                   [{"reg": 0.0}, {"reg": 0.1}])
 
@@ -327,8 +333,7 @@ def head_scores(t: Tables):
 def train_and_score(t: Tables):
     """Split, train a balanced logistic head on the train part, score the validation part."""
     categories = _categories(t)
-    frame = training_frame(t.embeddings, categories)
-    train, val = split_parts(frame)
+    train, val = split_parts(_stored_training_frame(t))
     model = train_logistic(train, max_iter=20)
     lookup = label_lookup(labels.index_to_label(labels.class_index(categories), categories))
     scored = rank_probabilities(model_probabilities(val, model), lookup)
