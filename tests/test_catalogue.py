@@ -171,6 +171,25 @@ def test_upsert(spark):
     assert {tuple(r) for r in table.read().collect()} == expected and table.version() == 3
 
 
+@pytest.mark.parametrize("max_layers", [1, 2, 3, 16])
+def test_layers_and_folding_give_the_same_table(spark, max_layers):
+    table = VersionedTable(spark, fresh_dir(spark, "embeddings"), max_layers=max_layers)
+    expected = {}
+    for n, ids in enumerate([range(10), range(5, 15), range(0, 3), [2, 14, 20], range(9, 12)]):
+        expected |= {i: f"run{n}" for i in ids}
+        counts = table.upsert(spark.createDataFrame([(i, f"run{n}") for i in ids], "product_id long, run_id string"))
+        assert counts["total"] == len(expected) and counts["new"] + counts["replaced"] == len(ids)
+        assert {r.product_id: r.run_id for r in table.read().collect()} == expected
+    assert len(table._current()[1]) < max_layers
+
+
+def test_upsert_writes_only_its_own_rows(spark):
+    table = VersionedTable(spark, fresh_dir(spark, "embeddings"))
+    table.upsert(spark.range(1000).select(F.col("id").alias("product_id"), F.lit("a").alias("run_id")))
+    table.upsert(spark.createDataFrame([(5, "b")], "product_id long, run_id string"))
+    assert spark.read.parquet(f"{table.root}/v=2").count() == 1 and table.read().count() == 1000
+
+
 def test_failed_write_keeps_the_old_version(spark):
     table = VersionedTable(spark, fresh_dir(spark, "embeddings"))
     good = spark.createDataFrame([(1, "a")], "product_id long, run_id string")

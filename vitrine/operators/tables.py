@@ -97,42 +97,75 @@ def replace_batch(df: DataFrame, path: str) -> None:
 
 
 class VersionedTable:
-    """A Parquet table whose next state is written beside the current one.
-
-    ``<root>/v=<n>`` holds version n; ``<root>/_versions`` is a table of
-    committed versions. Readers follow the highest committed number, so a
-    failed write leaves the old state in place. One writer at a time.
+    """A keyed Parquet table that is never changed in place.
+
+    ``<root>/v=<n>`` holds what version n added: a whole table ("base") or just
+    the rows of an upsert ("layer"). ``<root>/_versions`` lists the committed
+    versions, and readers go by it, so a failed write leaves the old state.
+    An upsert writes its own rows only; a reader takes the newest row of a key.
+    After ``max_layers`` upserts the layers are folded into a new base, which
+    spreads the cost of copying the table over that many batches.
+    One writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, key: str = "product_id", max_layers: int = 16):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.key = key
+        self.max_layers = max_layers
+
+    def _log(self) -> DataFrame | None:
+        return read_if_there(self.spark, f"{self.root}/_versions")
 
     def version(self) -> int | None:
-        log = read_if_there(self.spark, f"{self.root}/_versions")
+        log = self._log()
         return None if log is None else log.agg(F.max("version")).first()[0]
 
-    def read(self) -> DataFrame | None:
-        current = self.version()
-        return None if current is None else self.spark.read.parquet(f"{self.root}/v={current}")
+    def _current(self) -> tuple[int, list[int]] | None:
+        """(base, layers on top of it); at most ``max_layers`` layers."""
+        log = self._log()
+        if log is None:
+            return None
+        base = log.where("kind = 'base'").agg(F.max("version")).first()[0]
+        layers = log.where((F.col("version") > base) & (F.col("kind") == "layer")).select("version")
+        return base, sorted(row["version"] for row in layers.toLocalIterator())
 
-    def write(self, df: DataFrame) -> int:
+    def read(self) -> DataFrame | None:
+        current = self._current()
+        if current is None:
+            return None
+        base, layers = current
+        rows = self.spark.read.parquet(f"{self.root}/v={base}")
+        if not layers:
+            return rows
+        added = self.spark.read.option("basePath", self.root).parquet(*[f"{self.root}/v={n}" for n in layers])
+        newest = added.groupBy(self.key).agg(F.max("v").alias("v"))
+        live = added.join(newest, [self.key, "v"], "left_semi") if len(layers) > 1 else added
+        return upsert_latest_wins(rows, live.drop("v"), self.key)
+
+    def _commit(self, df: DataFrame, kind: str) -> int:
         number = (self.version() or 0) + 1
         # Left-overs of a failed attempt at this number were never committed.
         df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
             f"{self.root}/v={number}")
-        (self.spark.createDataFrame([(number,)], "version int")
+        (self.spark.createDataFrame([(number, kind)], "version int, kind string")
          .withColumn("committed_at", F.current_timestamp())
          .write.mode("append").parquet(f"{self.root}/_versions"))
         return number
 
-    def upsert(self, batch: DataFrame, key: str = "product_id") -> dict:
+    def write(self, df: DataFrame) -> int:
+        """Replace the whole table; returns the version number."""
+        return self._commit(df, "base")
+
+    def upsert(self, batch: DataFrame) -> dict:
         """Latest-wins upsert of ``batch``; counts of new, replaced and total rows."""
         stored = self.read()
         if stored is None:
-            counts = {"replaced": 0, "new": batch.count()}
-            counts["total"] = counts["new"]
-        else:
-            counts = upsert_counts(stored, batch, key).first().asDict()
-        self.write(upsert_latest_wins(stored, batch, key))
+            self.write(batch)
+            rows = self.spark.read.parquet(f"{self.root}/v={self.version()}").count()
+            return {"replaced": 0, "new": rows, "total": rows}
+        counts = upsert_counts(stored, batch, self.key).first().asDict()
+        self._commit(batch, "layer")
+        if len(self._current()[1]) >= self.max_layers:
+            self.write(self.read())
         return counts

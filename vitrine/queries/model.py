@@ -15,7 +15,6 @@ from vitrine.plans.training import data_statistics, split_parts, training_frame
 from vitrine.queries.adapters import Tables, with_tables
 from vitrine.queries.registry import query
 from vitrine.session import fresh_dir, shared_dir
-from vitrine.sources.batches import read_embeddings
 from vitrine.streaming.jobs import start_scoring
 
 
@@ -48,12 +47,14 @@ def upsert_query(t: Tables):
     FROM (SELECT * FROM emb WHERE product_id NOT IN (SELECT product_id FROM emb_batch)
           UNION ALL SELECT * FROM emb_batch)""")
 def versioned_upsert(t: Tables):
-    """Two batches through the versioned table; the reader follows the committed version."""
+    """Three batches through the versioned table: all vectors, the labelled ones as they are,
+    and the labelled ones changed. The reader sees the newest row of each product."""
     table = VersionedTable(t.spark, fresh_dir(t.spark, "embeddings"))
+    labelled = t.table("labels").select(F.col("doc_id").alias("product_id"))
     table.upsert(t.embeddings)
-    number = table.write(upsert_latest_wins(table.read(), t.embedding_batch))
-    return read_embeddings(t.spark, f"{table.root}/v={number}").select(
-        "product_id", "run_id", digits(F.col("embedding_image")).alias("image_digits"))
+    table.upsert(t.embeddings.join(labelled, "product_id", "left_semi"))
+    table.upsert(t.embedding_batch)
+    return table.read().select("product_id", "run_id", digits(F.col("embedding_image")).alias("image_digits"))
 
 
 @query("upsert_counts", with_tables("emb", "emb_batch") + """
