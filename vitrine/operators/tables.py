@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from vitrine.operators.ranking import first_n_per_key
@@ -11,6 +12,7 @@ from vitrine.plans.sizing import join_small
 
 ROW_KEY = ["productid", "batch_id"]
 MAX_BROADCAST_IDS = 2_000_000
+VERSION_LOG = "version int, kind string, committed_at timestamp"
 
 
 def rows_to_insert(batch: DataFrame, stored: DataFrame | None, keys: list[str] = ROW_KEY,
@@ -59,9 +61,9 @@ def category_map_first_wins(stored: DataFrame | None, pairs: DataFrame) -> DataF
     return stored.unionByName(pairs.join(stored.select("code"), "code", "left_anti"))
 
 
-def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_there(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     try:
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -114,31 +116,29 @@ class VersionedTable:
         self.key = key
         self.max_layers = max_layers
 
-    def _log(self) -> DataFrame | None:
-        return read_if_there(self.spark, f"{self.root}/_versions")
-
-    def version(self) -> int | None:
-        log = self._log()
-        return None if log is None else log.agg(F.max("version")).first()[0]
-
-    def _current(self) -> tuple[int, list[int]] | None:
-        """(base, layers on top of it); at most ``max_layers`` layers."""
-        log = self._log()
+    def _state(self) -> tuple[int, int] | None:
+        """(last base, last version); every version after the base is a layer on it."""
+        log = read_if_there(self.spark, f"{self.root}/_versions", VERSION_LOG)
         if log is None:
             return None
-        base = log.where("kind = 'base'").agg(F.max("version")).first()[0]
-        layers = log.where((F.col("version") > base) & (F.col("kind") == "layer")).select("version")
-        return base, sorted(row["version"] for row in layers.toLocalIterator())
+        last = log.agg(F.max(F.when(F.col("kind") == "base", F.col("version"))), F.max("version")).first()
+        return last[0], last[1]
+
+    def version(self) -> int | None:
+        state = self._state()
+        return state[1] if state else None
 
     def read(self) -> DataFrame | None:
-        current = self._current()
-        if current is None:
+        state = self._state()
+        if state is None:
             return None
-        base, layers = current
+        base, last = state
         rows = self.spark.read.parquet(f"{self.root}/v={base}")
+        layers = range(base + 1, last + 1)
         if not layers:
             return rows
-        added = self.spark.read.option("basePath", self.root).parquet(*[f"{self.root}/v={n}" for n in layers])
+        added = (self.spark.read.schema(StructType([*rows.schema, StructField("v", IntegerType())])).option("basePath", self.root)
+                 .parquet(*[f"{self.root}/v={n}" for n in layers]))
         newest = added.groupBy(self.key).agg(F.max("v").alias("v"))
         live = added.join(newest, [self.key, "v"], "left_semi") if len(layers) > 1 else added
         return upsert_latest_wins(rows, live.drop("v"), self.key)
@@ -148,9 +148,9 @@ class VersionedTable:
         # Left-overs of a failed attempt at this number were never committed.
         df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
             f"{self.root}/v={number}")
-        (self.spark.createDataFrame([(number, kind)], "version int, kind string")
-         .withColumn("committed_at", F.current_timestamp())
-         .write.mode("append").parquet(f"{self.root}/_versions"))
+        (self.spark.range(1).select(F.lit(number).alias("version"), F.lit(kind).alias("kind"),
+                                    F.current_timestamp().alias("committed_at"))
+         .coalesce(1).write.mode("append").parquet(f"{self.root}/_versions"))
         return number
 
     def write(self, df: DataFrame) -> int:
@@ -161,11 +161,11 @@ class VersionedTable:
         """Latest-wins upsert of ``batch``; counts of new, replaced and total rows."""
         stored = self.read()
         if stored is None:
-            self.write(batch)
-            rows = self.spark.read.parquet(f"{self.root}/v={self.version()}").count()
+            rows = self.spark.read.parquet(f"{self.root}/v={self.write(batch)}").count()
             return {"replaced": 0, "new": rows, "total": rows}
         counts = upsert_counts(stored, batch, self.key).first().asDict()
         self._commit(batch, "layer")
-        if len(self._current()[1]) >= self.max_layers:
+        base, last = self._state()
+        if last - base >= self.max_layers:
             self.write(self.read())
         return counts
