@@ -31,8 +31,9 @@ def clean_sql(text: str, entities: bool = False) -> str:
     """The cleaning steps for an SQL engine whose regexes have no look-around."""
     out = f"coalesce({text}, '')"
     if entities:
-        for entity, sign in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):
-            out = f"replace({out}, '{entity}', '{sign}')"
+        # These names count as entities without their semicolon too.
+        for entity, sign in (("&copy", "©"), ("&middot", "·"), ("&quot", '"'), ("&amp", "&")):
+            out = f"regexp_replace({out}, '{entity};?', '{sign}', 'g')"
     out = f"lower({out})"
     address = r"[\p{L}\p{N}_.\-]"
     for pattern in (
