@@ -30,30 +30,20 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_STEP)) | np.uint64(1)
-_powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse, at least ``n`` of each."""
-    global _powers
-    if len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES + 1)
-        both = []
-        for base in (_BASE, pow(_BASE, -1, _MOD)):
-            factors = np.full(size, base, np.uint64)
-            factors[0] = 1
-            both.append(np.cumprod(factors))
-        _powers = (both[0], both[1])
-    return _powers
+def _powers(base: int, n: int) -> np.ndarray:
+    factors = np.full(n, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors)
 
 
 class Slices:
     """Hashes of any slice of a sequence of 64-bit values, equal for equal slices wherever they stand."""
 
     def __init__(self, values: np.ndarray):
-        up, self._down = _power_tables(len(values) + 1)
+        self._down = _powers(pow(_BASE, -1, _MOD), len(values) + 1)
         self._sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * up[:len(values)], out=self._sums[1:])
+        np.cumsum(values * _powers(_BASE, len(values) + 1)[:-1], out=self._sums[1:])
 
     def hashes(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         raw = (self._sums[stop] - self._sums[start]) * self._down[start]
