@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import decontaminate, packing, tokens
+from vitrine.llm import decontaminate, langid, packing, tokens, toxicity
 from vitrine.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -33,3 +33,22 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         decontaminate.items_digest(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = langid.remainder(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "evidence")
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = langid.remainder(F.col("doc_id"), 4) == 2
+    filters = langid.fit(docs.where(~held_out))
+    return langid.predict(docs.select("doc_id", "text"), filters).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
