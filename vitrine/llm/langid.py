@@ -13,9 +13,9 @@ evidence. Most evidence decides; its share of all evidence is the score.
 N-grams are runs of ``SIZE`` UTF-8 bytes, A-Z lowered, with one blank for any
 ASCII character that is no letter; those with two blanks are left out.
 
-Null text, or no letter: ``und``, score 0. Letters but no evidence, or nothing
-learned: the first learned language with score 0, or ``und``. Ties: the first
-language by name. Rows with null language teach nothing. Repeated rows are each
+Null text, or no letter: ``und``, score 0. Letters but no evidence: the most
+frequent learned language, score 0; ``und`` if nothing was learned. Ties: the
+more frequent language, then the first by name. Rows with null language teach nothing. Repeated rows are each
 predicted.
 """
 
@@ -108,7 +108,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, grams: int = GRAMS, s
     top = Window.partitionBy("lang").orderBy(F.desc("uses"), "gram")
     kept = (usual.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= grams)
             .select("lang", "gram").toPandas())
-    languages = sorted(kept["lang"].unique().tolist())
+    frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).toPandas()
+    languages = [x for x in frequent["lang"] if (kept["lang"] == x).any()]
     if len(languages) > MOST_LANGUAGES:
         raise ValueError(f"{len(languages)} languages; a slot has bits for {MOST_LANGUAGES}")
     kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if len(languages) <= np.iinfo(k).bits)

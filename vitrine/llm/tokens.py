@@ -7,8 +7,8 @@ of a text are those of its pre-tokens.
 
 1. Every task counts its pre-tokens; summed over all tasks they form the table
    of distinct pre-tokens, and each is encoded once for its number of pieces.
-2. The ``head`` most frequent pre-tokens (a fixed number, so the broadcast is
-   bounded) are looked up while a document is read. The rest join the table on
+2. The most frequent pre-tokens, ``head`` at most, so that the broadcast is
+   bounded, are looked up while a document is read. The rest join the table on
    the pre-token; being rare, none of them is a hot key.
 3. Numbers are summed by document. No list of ids is ever made.
 
@@ -124,8 +124,16 @@ def count_tokens(docs: DataFrame, path: str, head: int = HEAD) -> DataFrame:
     stored = fresh_dir(spark, "pre-tokens")
     distinct_pre_tokens(docs, path).write.parquet(stored)
     pieces = spark.read.parquet(stored)
-    # A fixed number of short rows: the broadcast does not grow with the data.
-    top = pieces.orderBy(F.desc("uses"), "pre_token").limit(head).select("pre_token", "n_tokens").collect()
+    # Pre-tokens in classes of like use: the most used classes, up to ``head`` rows. Bounded whatever the data.
+    level = F.floor(8 * F.log2("uses")).cast("int")
+    sizes = {r[0]: r[1] for r in pieces.groupBy(level).count().collect()}
+    taken, lowest = 0, max(sizes, default=0) + 1
+    for at in sorted(sizes, reverse=True):
+        taken += sizes[at]
+        if taken > head:
+            break
+        lowest = at
+    top = pieces.where(level >= lowest).select("pre_token", "n_tokens").collect()
     known = spark.sparkContext.broadcast({r[0]: r[1] for r in top})
 
     def look_up(batches):

@@ -1,9 +1,10 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Learning takes at most ``examples`` labelled rows, chosen by a hash of the id.
-The terms are those words whose presence goes with the label beyond chance
-(chi-squared over ``CHI_SQUARED``, at most ``TERMS``). Their document frequencies
-are counted over all documents.
+Terms are words and their beginnings of ``PREFIXES`` bytes, so that inflected and
+joined forms meet. Kept are those whose presence goes with the label beyond
+chance (chi-squared over ``CHI_SQUARED``, the best ``TERMS``). Their document
+frequencies are counted over all documents.
 
 The examples lie in blocks of ``BLOCK``; an inverted index has, for every term
 and block, the largest weight there. The product of a text's weights with these
@@ -28,11 +29,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.arrays import WORDS_FOLDED, Texts, blocks, find_words, list_column, word_hashes
+from vitrine.llm.arrays import (
+    WORDS_FOLDED,
+    Slices,
+    Texts,
+    blocks,
+    byte_values,
+    find_words,
+    list_column,
+    word_hashes,
+)
+from vitrine.session import fresh_dir
 
-EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 8000, 512, 15, 64
-CHI_SQUARED = 15.0
-LEAST_USES = 3
+EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 16_000, 512, 15, 64
+PREFIXES = (4, 5, 6, 7, 8)
+CHI_SQUARED = 26.0
+LEAST_USES = 4
 
 
 class Model(NamedTuple):
@@ -49,17 +61,39 @@ class Model(NamedTuple):
     without: float
 
 
+def all_terms(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and document of every term of every word."""
+    words = find_words(texts, WORDS_FOLDED)
+    hashes, document = word_hashes(texts, words, fold=True), words.document()
+    slices = Slices(byte_values(texts.data, fold=True))
+    parts, owners = [hashes], [document]
+    for length in PREFIXES:
+        long = words.stop - words.start > length
+        start = words.start[long]
+        parts.append(slices.hashes(start, start + length))
+        owners.append(document[long])
+    return np.concatenate(parts), np.concatenate(owners)
+
+
+def known_terms(texts: Texts, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Document and number of every known term of a block, repeats included."""
+    hashes, document = all_terms(texts)
+    if not len(terms) or not len(hashes):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    maybe = np.zeros(1 << 16, bool)
+    maybe[terms >> np.uint64(48)] = True
+    few = np.flatnonzero(maybe[hashes >> np.uint64(48)])
+    hashes, document = hashes[few], document[few]
+    at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
+    known = terms[at] == hashes
+    return document[known], at[known]
+
+
 def term_counts(texts: Texts, terms: np.ndarray) -> np.ndarray:
     """Documents by terms."""
-    words = find_words(texts, WORDS_FOLDED)
-    hashes = word_hashes(texts, words, fold=True)
-    counts = np.zeros((len(texts), len(terms)))
-    if len(terms) and len(hashes):
-        at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
-        known = terms[at] == hashes
-        flat = words.document()[known] * len(terms) + at[known]
-        counts = np.bincount(flat, minlength=counts.size).astype(float).reshape(counts.shape)
-    return counts
+    document, at = known_terms(texts, terms)
+    shape = (len(texts), len(terms))
+    return np.bincount(document * len(terms) + at, minlength=shape[0] * shape[1]).astype(float).reshape(shape)
 
 
 def to_weights(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -69,44 +103,65 @@ def to_weights(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return raw / np.where(norm > 0, norm, 1)
 
 
-def examples_of(docs: DataFrame, labels: DataFrame, most: int) -> list:
-    """(doc_id, toxic, distinct word hashes) of at most ``most`` labelled documents, by a hash of the id."""
+def examples_of(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
+    """(doc_id, toxic, text) of at most ``most`` labelled documents, by a hash of the id."""
     marked = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
-              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("order", F.xxhash64("doc_id"))
-              .orderBy("order", "doc_id").limit(most).select("doc_id", "toxic"))
+              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+    # Bounded by ``most`` ids.
+    return docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").select("doc_id", "toxic", "text")
+
 
-    def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def telling_terms(examples: DataFrame) -> np.ndarray:
+    """Sorted hashes of the terms that go with the label."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in blocks(batches):
+            toxic = np.array(batch.column("toxic").to_pylist(), float)
+            hashes, document = all_terms(texts)
+            terms, of = np.unique(hashes, return_inverse=True)
+            once = np.unique(of * len(texts) + document)
+            of, document = np.divmod(once, len(texts))
+            # Term 0 stands for the documents themselves.
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.append(terms.view(np.int64), 0)),
+                 pa.array(np.append(np.bincount(of, minlength=len(terms)), len(texts)), pa.float64()),
+                 pa.array(np.append(np.bincount(of, toxic[document], len(terms)), toxic.sum()), pa.float64())],
+                ["term", "n", "toxic"])
+
+    counts = (examples.mapInArrow(count, "term bigint, n double, toxic double")
+              .groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+              .where(F.col("n") >= LEAST_USES)).select("term", "n", "toxic")
+    stored = fresh_dir(examples.sparkSession, "terms")
+    counts.write.parquet(stored)
+    counts = examples.sparkSession.read.parquet(stored)
+    whole = counts.where(F.col("term") == 0).first()
+    if whole is None:
+        return np.empty(0, np.uint64)
+    n, toxic = F.lit(whole["n"]), F.lit(whole["toxic"])
+    with_term, hits = F.col("n"), F.col("toxic")
+    below = with_term * (n - with_term) * toxic * (n - toxic)
+    apart = F.greatest(F.abs(hits * n - with_term * toxic) - n / 2, F.lit(0.0))  # corrected for continuity
+    chi = F.when(below > 0, n * apart * apart / below)
+    best = (counts.where(F.col("term") != 0).withColumn("chi", chi).where(F.col("chi") > CHI_SQUARED)
+            .orderBy(F.desc("chi"), "term").limit(TERMS).select("term").collect())
+    return np.sort(np.array([r[0] for r in best], np.int64).view(np.uint64))
+
+
+def known_rows(examples: DataFrame, terms: np.ndarray) -> list:
+    """(doc_id, toxic, terms) with repeats, one row per example."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches):
-            words = find_words(texts, WORDS_FOLDED)
-            hashes = word_hashes(texts, words, fold=True)
+            document, at = known_terms(texts, terms)
+            order = np.argsort(document, kind="stable")
+            bounds = np.searchsorted(document[order], np.arange(len(texts) + 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"),
-                 list_column(hashes.view(np.int64), words.first, pa.int64())], ["doc_id", "toxic", "words"])
+                [batch.column("doc_id"), batch.column("toxic"), list_column(at[order], bounds, pa.int32())],
+                ["doc_id", "toxic", "terms"])
 
-    return (docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id")
-            .select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text")
-            .mapInArrow(words_of, "doc_id bigint, toxic int, words array<bigint>")
+    return (examples.mapInArrow(find, "doc_id bigint, toxic int, terms array<int>")
             .dropDuplicates(["doc_id"]).orderBy("doc_id").collect())
 
 
-def telling_terms(words: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Sorted hashes of the words that go with the label."""
-    sets = [np.unique(w) for w in words]
-    everything = np.concatenate(sets)
-    holder = np.repeat(labels, [len(s) for s in sets])
-    terms, of = np.unique(everything, return_inverse=True)
-    with_term = np.bincount(of, minlength=len(terms))
-    toxic_with = np.bincount(of, holder, len(terms))
-    n, toxic = len(labels), labels.sum()
-    a, b = toxic_with, with_term - toxic_with
-    c, d = toxic - a, (n - toxic) - b
-    below = (a + b) * (c + d) * (a + c) * (b + d)
-    chi = n * (a * d - b * c) ** 2 / np.where(below > 0, below, 1)
-    chi[with_term < LEAST_USES] = 0
-    best = np.argsort(-chi, kind="stable")[:TERMS]
-    return np.sort(terms[best[chi[best] > CHI_SQUARED]])
-
-
 def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[int, np.ndarray]:
     """Number of documents, and in how many each term occurs."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,18 +223,16 @@ def isotonic(values: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     """A model from ``labels`` (doc_id, toxic), which hold only rows that may teach, and the texts of ``docs``."""
-    rows = examples_of(docs, labels, examples)
+    chosen = examples_of(docs, labels, examples)
+    terms = telling_terms(chosen)
+    rows = known_rows(chosen, terms)
     marks = np.array([r["toxic"] for r in rows], float)
     ids = np.array([r["doc_id"] for r in rows], np.int64)
-    words = [np.array(r["words"] or [], np.int64).view(np.uint64) for r in rows]
-    terms = telling_terms(words, marks) if rows else np.empty(0, np.uint64)
     total, frequency = document_frequencies(docs, terms)
     idf = np.log((1 + total) / (1 + frequency)) + 1
     counts = np.zeros((len(rows), len(terms)))
-    for row, mine in zip(counts, words, strict=True):
-        if len(terms) and len(mine):
-            at = np.minimum(np.searchsorted(terms, mine), len(terms) - 1)
-            np.add.at(row, at[terms[at] == mine], 1)
+    for row, mine in zip(counts, rows, strict=True):
+        np.add.at(row, mine["terms"], 1)
     some = counts.any(1) if len(terms) else np.zeros(len(rows), bool)
     prior = marks.mean() if len(rows) else 0.0
     without = float((marks[~some].sum() + prior) / ((~some).sum() + 1))
