@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import decontaminate, langid, packing, tokens, toxicity
+from vitrine.llm import decontaminate, langid, packing, simhash, sketches, tokens, toxicity
 from vitrine.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -52,3 +52,14 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     filters = langid.fit(docs.where(~held_out))
     return langid.predict(docs.select("doc_id", "text"), filters).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_simhash")
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op6_fingerprints")
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.edited_pairs(table(spark, sf_dir, "documents"))
