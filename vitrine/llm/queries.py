@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import decontaminate, langid, packing, simhash, sketches, tokens, toxicity
+from vitrine.llm import decontaminate, langid, packing, simhash, sketches, substrings, tokens, toxicity, warc
 from vitrine.llm.registry import QUERIES, SQL, query, table
+from vitrine.session import fresh_dir
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -63,3 +64,20 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_fingerprints")
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.edited_pairs(table(spark, sf_dir, "documents"))
+
+
+@query("op7_warc")
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "warc")
+    warc.write_pages(table(spark, sf_dir, "pages"), path)
+    found = warc.page_ids(warc.captures(warc.read_records(spark, path, payloads=False)))
+    return found.select(
+        "page_id", F.col("answer.payload_bytes").alias("payload_bytes"),
+        F.col("answer.payload_digest").alias("payload_digest"), F.col("answer.type").alias("record_type"),
+        F.col("refers_to_page").alias("refers_to"))
+
+
+@query("op8_substrings")
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.kept_words(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
