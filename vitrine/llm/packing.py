@@ -31,39 +31,65 @@ from vitrine.llm.tokens import SPACES, added_pattern, added_tokens, tokenizer
 #: Documents to a group.
 GROUP_ROWS = 16_384
 #: Words whose ids a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _WORD = re.compile(f"[^{SPACES}]+")
+#: Letters that normalisation leaves alone and that have one lower form; ASCII signs and digits.
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
 
-class WordIds(dict):
-    """Ids of a word as little-endian bytes, encoded at its first use.
+class WordIds:
+    """Ids of white-space separated words as little-endian bytes, each distinct word encoded once in a task.
 
-    Holds for tokenizers that drop white space and never join across it.
+    Holds for a tokenizer that lowers its text, drops white space, splits words by
+    the rule of ``_PARTS`` and marks each split's last piece with ``</w>``. Words
+    of plain Latin letters are split here, and the distinct parts of a block are
+    encoded together, separated by blanks; all other words go to the library one
+    by one.
     """
 
     def __init__(self, path: str):
-        super().__init__()
-        self._encode = tokenizer(path).encode
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = np.array(self._encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = ids
-        return ids
-
-    def of_text(self, text: str) -> bytes:
-        words = _WORD.findall(text) if _ODD_SPACE.search(text) else text.split()
-        return b"".join(map(self.__getitem__, words))
-
-
-def encode_text(text: str, words: WordIds, added: dict[str, int], special: re.Pattern | None) -> bytes:
-    if special is None or not special.search(text):
-        return words.of_text(text)
-    parts = special.split(text)
-    return b"".join(
-        np.array([added[part]], "<u4").tobytes() if i % 2 else words.of_text(part) for i, part in enumerate(parts))
+        self._library = tokenizer(path)
+        size = self._library.get_vocab_size()
+        self._last = np.array([(self._library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self._words: dict[str, bytes] = {}
+        self._parts: dict[str, bytes] = {}
+
+    def learn(self, words: list[str]) -> None:
+        """Make the ids of all these words known."""
+        for held in (self._words, self._parts):
+            if len(held) > REMEMBERED:
+                held.clear()
+        known = self._words
+        missing = [w for w in set(words) if w not in known]
+        split = [(w, _PARTS.findall(w.lower())) for w in missing if _PLAIN.fullmatch(w)]
+        self._learn_parts(list({p for _, parts in split for p in parts if p not in self._parts}))
+        parts_of = self._parts.__getitem__
+        for word, parts in split:
+            known[word] = b"".join(map(parts_of, parts))
+        for word in missing:
+            if word not in known:
+                ids = self._library.encode(word, add_special_tokens=False).ids
+                known[word] = np.array(ids, "<u4").tobytes()
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        groups = [parts[i:i + 200] for i in range(0, len(parts), 200)]
+        found = self._library.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        for group, encoded in zip(groups, found, strict=True):
+            ids = np.array(encoded.ids, "<u4")
+            stops = (4 * (np.flatnonzero(self._last[ids]) + 1)).tolist()
+            raw, at = ids.tobytes(), 0
+            for part, stop in zip(group, stops, strict=True):
+                self._parts[part] = raw[at:stop]
+                at = stop
+
+    def of_words(self, words: list[str]) -> bytes:
+        return b"".join(map(self._words.__getitem__, words))
+
+
+def split_words(text: str) -> list[str]:
+    return _WORD.findall(text) if _ODD_SPACE.search(text) else text.split()
 
 
 def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
@@ -71,12 +97,18 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int) -> Data
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, added = WordIds(path), added_tokens(path)
+        known, added = WordIds(path), {k: np.array([v], "<u4").tobytes() for k, v in added_tokens(path).items()}
         special = added_pattern(added)
         for batch, _ in blocks(batches):
-            out: dict[str, list] = defaultdict(list)
-            for row, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text")), strict=True):
-                ids = encode_text(text or "", words, added, special) + end
+            out: dict[str, list] = {k: [] for k in ("row", "doc_id", "piece", "start", "length", "ids_crc32")}
+            # A text is split at special strings first; every second part is one.
+            parts = [special.split(x) if special and special.search(x) else [x]
+                     for x in (t or "" for t in batch.column("text").to_pylist())]
+            words = [[split_words(p) if i % 2 == 0 else p for i, p in enumerate(x)] for x in parts]
+            known.learn([w for x in words for part in x[::2] for w in part])
+            for row, doc_id, mine in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), words,
+                                         strict=True):
+                ids = b"".join([*(known.of_words(p) if i % 2 == 0 else added[p] for i, p in enumerate(mine)), end])
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     for name, value in (("row", row), ("doc_id", doc_id), ("piece", piece), ("start", at // 4),
