@@ -1,7 +1,7 @@
 """Language identification by bit-sliced Bloom filters of n-grams.
 
-Learning counts the n-grams of a bounded number of documents per language
-(``per_language``) in the tasks, and keeps the ``grams`` most frequent of each
+Learning counts the n-grams of about ``per_language`` documents of each language
+in the tasks, and keeps the ``grams`` most frequent of each
 language that are not far more usual in another. They go into one table of
 slots: bit l of a slot stands for language l, so reading the slots of an n-gram
 and joining them by AND gives all languages holding it at once.
@@ -95,12 +95,10 @@ def count_grams(docs: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, grams: int = GRAMS, slots: int = SLOTS) -> Filters:
     """Filters from ``docs`` (doc_id, lang, text); which rows may teach is the caller's matter."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    few = Window.partitionBy("lang").orderBy("order", "doc_id")
-    # Bounded: so many ids per language, and at most MOST_LANGUAGES languages.
-    chosen = (known.select("lang", "doc_id", F.xxhash64("doc_id").alias("order"))
-              .withColumn("rank", F.row_number().over(few)).where(F.col("rank") <= per_language)
-              .select("doc_id").distinct())
-    counts = count_grams(known.join(F.broadcast(chosen), "doc_id", "left_semi"))
+    # One row per language; a hash of the id picks about ``per_language`` documents of each.
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
+    counts = count_grams(known.join(F.broadcast(sizes), "lang").where(part < per_language / F.col("n")))
     totals = counts.groupBy("lang").agg(F.sum("uses").alias("total"))
     shares = counts.join(F.broadcast(totals), "lang").withColumn("share", F.col("uses") / F.col("total"))
     usual = shares.withColumn("most", F.max("share").over(Window.partitionBy("gram"))).where(

@@ -22,8 +22,7 @@ import json
 import os
 import re
 from collections import Counter
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +41,6 @@ _UNSURE = re.compile(r"\s ")
 _CUT = re.compile(f"(?<=[^{SPACES}])(?= )")
 
 
-@lru_cache(4)
 def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -60,9 +58,9 @@ def added_tokens(path: str) -> dict[str, int]:
     return {t["content"]: t["id"] for t in added}
 
 
-def added_pattern(added: dict[str, int]) -> re.Pattern | None:
+def added_pattern(added: Iterable[str]) -> re.Pattern | None:
     longest_first = sorted(added, key=len, reverse=True)
-    return re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
+    return re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
 
 
 def pre_tokens(text: str) -> list[str]:
