@@ -134,9 +134,9 @@ def evidence(texts: Texts, filters: Filters) -> np.ndarray:
     return out
 
 
-def predict(docs: DataFrame, filters: Filters) -> DataFrame:
-    """``docs`` without text, with ``lang_pred`` and ``score``."""
-    kept = [c for c in docs.columns if c != "text"]
+def predict(docs: DataFrame, filters: Filters, keep_text: bool = False) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``; ``text`` goes unless ``keep_text``."""
+    kept = [c for c in docs.columns if keep_text or c != "text"]
     shared = docs.sparkSession.sparkContext.broadcast(tuple(filters))  # about 2 MB at most
     lettered = "has_letter"
     while lettered in docs.columns:

@@ -34,8 +34,8 @@ GROUP_ROWS = 16_384
 REMEMBERED = 600_000
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _WORD = re.compile(f"[^{SPACES}]+")
-#: Letters that normalisation leaves alone and that have one lower form; ASCII signs and digits.
-_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: Signs of ASCII, and Latin letters that normalisation leaves alone and that have one lower form.
+_PLAIN = re.compile("[ -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
 _PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
 
@@ -56,22 +56,22 @@ class WordIds:
         self._words: dict[str, bytes] = {}
         self._parts: dict[str, bytes] = {}
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: set[str]) -> None:
         """Make the ids of all these words known."""
         for held in (self._words, self._parts):
             if len(held) > REMEMBERED:
                 held.clear()
-        known = self._words
-        missing = [w for w in set(words) if w not in known]
-        split = [(w, _PARTS.findall(w.lower())) for w in missing if _PLAIN.fullmatch(w)]
-        self._learn_parts(list({p for _, parts in split for p in parts if p not in self._parts}))
+        missing = list(words.difference(self._words))
+        if not _PLAIN.fullmatch(" ".join(missing)):
+            for word in missing:
+                if not _PLAIN.fullmatch(word):
+                    ids = self._library.encode(word, add_special_tokens=False).ids
+                    self._words[word] = np.array(ids, "<u4").tobytes()
+            missing = [w for w in missing if w not in self._words]
+        split = list(map(_PARTS.findall, " ".join(missing).lower().split(" "))) if missing else []
+        self._learn_parts(list(set().union(*split).difference(self._parts)))
         parts_of = self._parts.__getitem__
-        for word, parts in split:
-            known[word] = b"".join(map(parts_of, parts))
-        for word in missing:
-            if word not in known:
-                ids = self._library.encode(word, add_special_tokens=False).ids
-                known[word] = np.array(ids, "<u4").tobytes()
+        self._words.update(zip(missing, (b"".join(map(parts_of, x)) for x in split), strict=True))
 
     def _learn_parts(self, parts: list[str]) -> None:
         groups = [parts[i:i + 200] for i in range(0, len(parts), 200)]
@@ -105,7 +105,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int) -> Data
             parts = [special.split(x) if special and special.search(x) else [x]
                      for x in (t or "" for t in batch.column("text").to_pylist())]
             words = [[split_words(p) if i % 2 == 0 else p for i, p in enumerate(x)] for x in parts]
-            known.learn([w for x in words for part in x[::2] for w in part])
+            known.learn(set().union(*(part for x in words for part in x[::2])))
             for row, doc_id, mine in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), words,
                                          strict=True):
                 ids = b"".join([*(known.of_words(p) if i % 2 == 0 else added[p] for i, p in enumerate(mine)), end])

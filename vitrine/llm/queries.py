@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import decontaminate, langid, packing, simhash, sketches, substrings, tokens, toxicity, warc
+from vitrine.llm import decontaminate, langid, packing, simhash, sketches, substrings, suffixdedup, tokens, toxicity, warc
 from vitrine.llm.registry import QUERIES, SQL, query, table
 from vitrine.session import fresh_dir
 
@@ -27,6 +27,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixdedup.kept_bytes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op2_decontamination")
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.overlaps(
