@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import decontaminate, langid, packing, simhash, sketches, substrings, suffixdedup, tokens, toxicity, warc
+from vitrine.llm import (
+    decontaminate,
+    langid,
+    packing,
+    simhash,
+    sketches,
+    sql,
+    substrings,
+    suffixdedup,
+    tokens,
+    toxicity,
+    warc,
+)
 from vitrine.llm.registry import QUERIES, SQL, query, table
 from vitrine.session import fresh_dir
 
@@ -27,13 +39,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query("op1_suffix_dedup")
+@query("op1_suffix_dedup", sql.OP1)
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixdedup.kept_bytes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op2_decontamination")
+@query("op2_decontamination", sql.OP2)
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.overlaps(
         table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
@@ -72,7 +84,7 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.edited_pairs(table(spark, sf_dir, "documents"))
 
 
-@query("op7_warc")
+@query("op7_warc", sql.OP7)
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "warc")
     warc.write_pages(table(spark, sf_dir, "pages"), path)
@@ -83,7 +95,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("refers_to_page").alias("refers_to"))
 
 
-@query("op8_substrings")
+@query("op8_substrings", sql.OP8)
 def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.kept_words(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
