@@ -138,20 +138,24 @@ def with_ranges(docs: DataFrame, ranges: DataFrame, inner: bool) -> DataFrame:
     return packed(docs).join(grouped, ["id", "mark"], "inner" if inner else "left")
 
 
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read again.
+
+    A join of two such tables shuffles both sides alike, so that adaptive execution can split a hot key.
+    """
+    path = fresh_dir(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def removed_ranges(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """(id, mark, begin, end): word ranges of ``keyed`` documents that occur under a smaller id."""
-    spark = docs.sparkSession
-    path = fresh_dir(spark, "stretches")
-    find_stretches(docs, length, seed).write.parquet(path)
-    stretches = spark.read.parquet(path)
+    stretches = stored(find_stretches(docs, length, seed), "stretches")
     shared = stretches.groupBy("anchor").agg(
         F.min("id").alias("low"), F.max("id").alias("high"), (F.min("stretch") != F.max("stretch")).alias("differs")
     ).where(F.col("low") < F.col("high")).select("anchor", "differs")
-    seeds = stretches.join(shared, "anchor")
-    path = fresh_dir(spark, "seeds")
-    seeds.write.parquet(path)
-    seeds = spark.read.parquet(path)
-    firsts = seeds.groupBy("anchor", "stretch").agg(F.min("id").alias("first_id"))
+    seeds = stored(stretches.join(stored(shared, "anchors"), "anchor"), "seeds")
+    firsts = stored(seeds.groupBy("anchor", "stretch").agg(F.min("id").alias("first_id")), "firsts")
     extended = seeds.join(firsts, ["anchor", "stretch"])
     whole = extended.where(F.col("first_id") < F.col("id")).select(
         "id", "mark", F.col("first").alias("begin"), (F.col("first") + F.col("windows") + (length - 1)).alias("end"))
@@ -176,12 +180,11 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
                     [pa.array(slices.hashes(at, at + length).view(np.int64)), part.column("id").take(rows),
                      part.column("mark").take(rows), pa.array(start.astype(np.int32))], ["window", "id", "mark", "begin"])
 
-    path = fresh_dir(spark, "windows")
-    with_ranges(docs, rest, True).mapInArrow(windows_of, "window bigint, id bigint, mark bigint, begin int").write.parquet(path)
-    windows = spark.read.parquet(path)
+    windows = stored(with_ranges(docs, rest, True).mapInArrow(
+        windows_of, "window bigint, id bigint, mark bigint, begin int"), "windows")
     lowest = windows.groupBy("window").agg(F.min("id").alias("low"), F.max("id").alias("high")).where(
         F.col("low") < F.col("high")).select("window", "low")
-    single = windows.join(lowest, "window").where(F.col("low") < F.col("id")).select(
+    single = windows.join(stored(lowest, "lowest"), "window").where(F.col("low") < F.col("id")).select(
         "id", "mark", "begin", (F.col("begin") + length).alias("end"))
     return whole.union(single)
 

@@ -47,6 +47,7 @@ from vitrine.llm.arrays import (
     sliding_lowest,
     true_runs,
 )
+from vitrine.llm.substrings import stored
 from vitrine.llm.suffixes import common_prefixes, suffix_array
 from vitrine.session import fresh_dir
 
@@ -301,13 +302,11 @@ def crowded_ranges(stretches: DataFrame, length: int) -> DataFrame:
                  *(batch.column(c).take(rows) for c in ("id", "chunk", "docs", "places")), pa.array(begin)],
                 ["string", "id", "chunk", "docs", "places", "begin"])
 
-    path = fresh_dir(stretches.sparkSession, "strings")
-    stretches.mapInArrow(strings, "string bigint, id bigint, chunk bigint, docs array<int>, places array<int>, begin bigint"
-                         ).write.parquet(path)
-    rows = stretches.sparkSession.read.parquet(path)
+    rows = stored(stretches.mapInArrow(
+        strings, "string bigint, id bigint, chunk bigint, docs array<int>, places array<int>, begin bigint"), "strings")
     lowest = rows.groupBy("string").agg(F.min("id").alias("low"), F.max("id").alias("high")).where(
         F.col("low") < F.col("high")).select("string", "low")
-    gone = rows.join(lowest, "string").where(F.col("low") < F.col("id"))
+    gone = rows.join(stored(lowest, "lowest"), "string").where(F.col("low") < F.col("id"))
     place = F.explode(F.arrays_zip("docs", "places"))
     return gone.select("chunk", "begin", place.alias("at")).select(
         "chunk", F.col("at.docs").alias("doc"), (F.col("at.places") + F.col("begin")).cast("long").alias("begin"),
