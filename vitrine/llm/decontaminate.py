@@ -224,9 +224,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_
              keep_text: bool = False) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit``, ``items`` and ``spans`` (word begin, end, byte begin, end).
 
-    Its columns must have other names than these. ``text`` goes unless ``keep_text``.
+    Columns of these names are replaced. ``text`` goes unless ``keep_text``.
     """
-    frame, columns = docs, docs.columns
+    frame = docs = docs.drop("n_words", "n_hit", "items", "spans")
+    columns = docs.columns
     passes: list[Windows | None] = [*benchmark_blocks(benchmark, window, block_bytes)] or [None]
     kept = [c for c in columns if keep_text or c != "text"]
     for number, known in enumerate(passes):
@@ -255,7 +256,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_
                      pa.array([[list(s) for s in x] for x in spans], SPANS)],
                     [*names, "n_words", "n_hit", "items", "spans"])
 
-        out = [f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if not last or f.name in kept]
+        out = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if not last or f.name in kept]
         frame = frame.mapInArrow(scan, ", ".join(
             [*out, "n_words bigint", "n_hit bigint", "items array<string>", "spans array<array<bigint>>"]))
     return frame
@@ -267,7 +268,9 @@ def items_digest(items) -> F.Column:
 
 def remove_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with every span cut out of its text; the columns stay as they are."""
-    columns = docs.columns
+    # The other columns travel as one, so that their names don't matter.
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    carried = docs.select(F.struct(F.lit(0).alias("_"), *rest).alias("rest"), "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches):
@@ -279,7 +282,7 @@ def remove_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
                         parts.append(raw[at:begin])
                         at = end
                     column[i] = b"".join([*parts, raw[at:]]).decode()
-            arrays = [pa.array(column, pa.string()) if c == "text" else batch.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays(arrays, columns)
+            yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(column, pa.string())], ["rest", "text"])
 
-    return overlaps(docs, benchmark, window, keep_text=True).mapInArrow(cut, docs.schema)
+    found = overlaps(carried, benchmark, window, keep_text=True).mapInArrow(cut, carried.schema)
+    return found.select(*(F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns))

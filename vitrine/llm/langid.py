@@ -135,7 +135,8 @@ def evidence(texts: Texts, filters: Filters) -> np.ndarray:
 
 
 def predict(docs: DataFrame, filters: Filters, keep_text: bool = False) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; ``text`` goes unless ``keep_text``."""
+    """``docs`` with ``lang_pred`` and ``score``, which replace columns of these names; ``text`` goes unless ``keep_text``."""
+    docs = docs.drop("lang_pred", "score")
     kept = [c for c in docs.columns if keep_text or c != "text"]
     shared = docs.sparkSession.sparkContext.broadcast(tuple(filters))  # about 2 MB at most
     lettered = "has_letter"

@@ -88,7 +88,9 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "warc")
     warc.write_pages(table(spark, sf_dir, "pages"), path)
-    found = warc.page_ids(warc.captures(warc.read_records(spark, path, payloads=False)))
+    # Without payloads the records are small; stored, they are parsed once, and joins on hot ids can be split.
+    records = substrings.stored(warc.read_records(spark, path, payloads=False), "records")
+    found = warc.page_ids(substrings.stored(warc.captures(records), "captures"))
     return found.select(
         "page_id", F.col("answer.payload_bytes").alias("payload_bytes"),
         F.col("answer.payload_digest").alias("payload_digest"), F.col("answer.type").alias("record_type"),

@@ -253,7 +253,8 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` without text, with ``score`` and ``evidence``, the ids of the voting examples."""
+    """``docs`` without text, with ``score`` and ``evidence``, the ids of the voting examples; these replace their names."""
+    docs = docs.drop("score", "evidence")
     kept = [c for c in docs.columns if c != "text"]
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))  # bounded by examples x terms
 
