@@ -3,27 +3,29 @@
 A byte goes if it is covered by a ``LENGTH``-byte string that also starts in a
 document with a smaller id; strings are judged on the input.
 
-1. Documents are stored in chunks. Every ``LENGTH``-byte string is anchored at the
-   ``SEED``-byte run in it with the lowest hash (the leftmost of equals), so equal
-   strings have equal anchors. Each chunk sends its sorted anchors, by ranges of
-   their value; a range merges those of all chunks and tells every chunk, by binary
-   search, which of its anchors another document has too. The rest of the text,
-   usually most of it, takes no further part.
-2. Strings with one shared anchor lie side by side in a stretch of text. Stretches
-   are dealt to shards by anchor, so that equal strings meet. A shard builds suffix
-   arrays (Larsson-Sadakane) over blocks of its stretches with common prefixes by
-   Kasai's rule; a run of suffixes with ``LENGTH`` bytes in common is one string with
-   its smallest id. The blocks' sorted strings are merged by binary search, and
-   every string learns the smallest id of all blocks.
-3. Anchors with more than ``CROWD`` different stretches would make a shard too
-   large. Their strings are compared one by one instead, as rows keyed by hash whose
+1. Documents are stored in chunks, bucketed so that later passes read them in place.
+   Every ``LENGTH``-byte string is anchored at the ``SEED``-byte run in it with the
+   lowest hash (the leftmost of equals), so equal strings have equal anchors; the
+   strings of one anchor lie side by side in a stretch of text. Each chunk sends its
+   anchors and the hashes of their stretches, by ranges of the anchor's value. A
+   range tells every chunk which anchors no other id has (usually most: that text
+   takes no further part), which stretches stand whole under a smaller id (they go),
+   and which differ from others of their anchor.
+2. The differing stretches are dealt to shards by anchor, so that equal strings meet.
+   A shard builds suffix arrays (Larsson-Sadakane) over blocks of its stretches with
+   common prefixes by Kasai's rule; a run of suffixes with ``LENGTH`` bytes in common
+   is one string with its smallest id. The blocks' sorted strings are merged by
+   binary search, and every string learns the smallest id of all blocks.
+3. Anchors with more than ``CROWD`` differing stretches would make a shard too large.
+   Their strings are compared one by one instead, as rows keyed by hash whose
    smallest id is found by partial minima: exact, and not in one task.
 4. Removed ranges go back to their chunk.
 
 A null text counts as empty. A null id is smaller than any other. Documents with
 equal ids don't remove from each other; a repeat inside one document stays. An
-empty table gives no rows. Anchors and blocks' strings are told apart by 64-bit
-hashes, the strings of a block by their bytes.
+empty table gives no rows. Strings of a block are told apart by their bytes, those
+of different blocks by 64-bit hashes, whole stretches by 40 bits of their anchor
+beside its range and 48 bits of their own.
 """
 
 from __future__ import annotations
@@ -43,6 +45,7 @@ from vitrine.llm.arrays import (
     blocks,
     byte_values,
     covered,
+    mix,
     runs_inside,
     sliding_lowest,
     true_runs,
@@ -54,28 +57,37 @@ from vitrine.session import fresh_dir
 LENGTH, SEED = 50, 20
 #: Anchors to a range, bytes of stretches to a shard and to a block in it, stretches of one anchor in a shard.
 RANGE_ANCHORS, SHARD_BYTES, BLOCK_BYTES, CROWD = 1 << 20, 1 << 20, 1_500_000, 10_000
+#: Documents to a chunk at most (their numbers take 16 bits), text to a bucket, buckets at most.
+CHUNK_ROWS, BUCKET_BYTES, MOST_BUCKETS = 1 << 15, 16 << 20, 50_000
 NO_ID = -(1 << 63)
+WHOLE, DIFFERS, CROWDED = 1, 2, 3
 #: Stands between stretches; no byte of UTF-8.
 _BETWEEN = 0xFF
 _CHUNK = "chunk bigint, ids array<bigint>, sizes array<int>, packed binary"
 
 
-def store_chunks(docs: DataFrame) -> DataFrame:
-    """Documents in rows of about 2 MB, written once: (chunk, ids, sizes, packed)."""
+def store_chunks(docs: DataFrame, total: int) -> DataFrame:
+    """Documents in rows of about 2 MB, written once: (chunk, ids, sizes, packed), bucketed by chunk."""
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, number = zstandard.ZstdCompressor(level=3), TaskContext.get().partitionId() << 32
-        for batch, texts in blocks(batches):
+        slices = (batch.slice(at, CHUNK_ROWS) for batch in batches for at in range(0, batch.num_rows, CHUNK_ROWS))
+        for batch, texts in blocks(slices):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([batch.column("id").to_pylist()], pa.list_(pa.int64())),
                  pa.array([np.diff(texts.bounds).tolist()], pa.list_(pa.int32())),
                  pa.array([packer.compress(texts.data.tobytes())], pa.binary())], ["chunk", "ids", "sizes", "packed"])
             number += 1
 
-    path = fresh_dir(docs.sparkSession, "chunks")
+    spark = docs.sparkSession
+    path = fresh_dir(spark, "chunks")
+    buckets = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_BYTES), MOST_BUCKETS)
+    # A table in the shared folder; the name only carries the bucketing.
+    name = "chunks_" + path.rsplit("-", 1)[-1]
     (docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
                  F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-     .mapInArrow(gather, _CHUNK).write.option("compression", "uncompressed").parquet(path))
-    return docs.sparkSession.read.parquet(path)
+     .mapInArrow(gather, _CHUNK).write.bucketBy(buckets, "chunk").option("compression", "uncompressed")
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
 
 
 def open_chunk(sizes: pa.Scalar, packed: pa.Scalar) -> Texts:
@@ -100,107 +112,144 @@ def _narrow(anchors: np.ndarray, bits: int) -> np.ndarray:
     return (anchors << np.uint64(bits)) >> np.uint64(24)
 
 
-def _to_bytes(values: np.ndarray) -> bytes:
-    return values.view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+def _to_bytes(values: np.ndarray, width: int) -> bytes:
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
-def _from_bytes(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+def _from_bytes(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
     return out.view(np.uint64).ravel()
 
 
-def shared_anchors(chunks: DataFrame, bits: int, length: int, seed: int) -> DataFrame:
-    """(chunk, range, anchors): the anchors of a chunk that occur under another id too."""
+class Stretches:
+    """Stretches of a chunk in the order of their ranges: anchor, first byte, stop, document."""
+
+    def __init__(self, texts: Texts, bits: int, length: int, seed: int):
+        anchors, first, count = stretches_of(texts, length, seed)
+        ranges = (anchors >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(anchors), np.int64)
+        order = np.argsort(ranges, kind="stable")
+        self.anchors, self.first, self.ranges = anchors[order], first[order], ranges[order]
+        self.stop = self.first + count[order] + length - 1
+        self.document = np.searchsorted(texts.bounds, self.first, "right") - 1
+        self.place = self.first - texts.bounds[self.document]
+
+
+def statuses(chunks: DataFrame, bits: int, length: int, seed: int, crowd: int) -> DataFrame:
+    """(chunk, range, status, differing): a byte for every stretch of a chunk in that range."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, ids, sizes, packed in zip(*(batch.column(c) for c in ("chunk", "ids", "sizes", "packed")),
                                                  strict=True):
                 texts = open_chunk(sizes, packed)
-                anchors, first, _ = stretches_of(texts, length, seed)
-                owner = ids.values.to_numpy()[np.searchsorted(texts.bounds, first, "right") - 1]
-                order = np.lexsort((owner, anchors))
-                anchors, owner = anchors[order], owner[order]
-                new = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]])[:len(anchors)])
-                last = np.append(new[1:], len(anchors)) - 1
-                several = owner[new] != owner[last] if len(new) else np.empty(0, bool)
-                values = anchors[new]
-                ranges = (values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(values), np.int64)
-                edges = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1]])[:len(ranges)])
-                stops = np.append(edges[1:], len(ranges))
-                short = _narrow(values, bits)
+                found = Stretches(texts, bits, length, seed)
+                content = Slices(byte_values(texts.data)).hashes(found.first, found.stop)
+                short = _narrow(found.anchors, bits)
+                edges = np.flatnonzero(np.concatenate([[True], np.diff(found.ranges) != 0])[:len(short)])
+                cuts = list(zip(edges.tolist(), np.append(edges[1:], len(short)).tolist(), strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk.as_py()] * len(edges), pa.int64()), pa.array(ranges[edges]),
-                     pa.array([_to_bytes(short[a:b]) for a, b in zip(edges, stops, strict=True)], pa.binary()),
-                     pa.array([np.packbits(several[a:b]).tobytes() for a, b in zip(edges, stops, strict=True)], pa.binary())],
-                    ["chunk", "range", "anchors", "several"])
+                    [pa.array([chunk.as_py()] * len(cuts), pa.int64()), pa.array(found.ranges[edges]),
+                     pa.array([ids.as_py()] * len(cuts), pa.list_(pa.int64())),
+                     pa.array([_to_bytes(short[a:b], 5) for a, b in cuts], pa.binary()),
+                     pa.array([_to_bytes(content[a:b], 6) for a, b in cuts], pa.binary()),
+                     pa.array([found.document[a:b].astype("<u2").tobytes() for a, b in cuts], pa.binary())],
+                    ["chunk", "range", "ids", "anchors", "contents", "docs"])
 
     def merge(table: pa.Table) -> pa.Table:
-        mine = [_from_bytes(x.as_py()) for x in table["anchors"]]
-        everything = np.sort(np.concatenate(mine))
-        common = everything[1:][everything[1:] == everything[:-1]]
-        repeated = [v[np.unpackbits(np.frombuffer(s.as_py(), np.uint8), count=len(v)).astype(bool)]
-                    for v, s in zip(mine, table["several"], strict=True)]
-        common = np.unique(np.concatenate([common, *repeated]))
-        kept = []
-        for values in mine:  # binary search of one sorted list in the other
-            at = np.searchsorted(common, values)
-            at[at == len(common)] = 0
-            kept.append(_to_bytes(values[common[at] == values]) if len(common) else b"")
-        some = [i for i, k in enumerate(kept) if k]
-        return pa.table([table["chunk"].take(pa.array(some, pa.int64())), table["range"].take(pa.array(some, pa.int64())),
-                         pa.array([kept[i] for i in some], pa.binary())], ["chunk", "range", "anchors"])
-
-    return (chunks.mapInArrow(send, "chunk bigint, range bigint, anchors binary, several binary")
-            .groupBy("range").applyInArrow(merge, "chunk bigint, range bigint, anchors binary"))
-
-
-_STRETCH = "anchor bigint, stretch binary, id bigint, chunk bigint, docs array<int>, places array<int>"
-
-
-def shared_stretches(chunks: DataFrame, shared: DataFrame, bits: int, length: int, seed: int) -> DataFrame:
-    """Stretches of shared anchors, each once per chunk, under its smallest id there.
-
-    ``docs`` and ``places`` are all its places under that id. Where a chunk has the
-    stretch under a larger id too, all strings there go: such rows have no anchor.
-    """
+        raw = {c: table[c].to_pylist() for c in ("anchors", "contents", "docs")}
+        sizes = [len(x) // 5 for x in raw["anchors"]]
+        anchors = np.concatenate([_from_bytes(x, 5) for x in raw["anchors"]])
+        ordered = np.sort(anchors)
+        common = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+        status = np.zeros(len(anchors), np.uint8)
+        if len(common):
+            at = np.minimum(np.searchsorted(common, anchors), len(common) - 1)
+            mine = np.flatnonzero(common[at] == anchors)
+            group = at[mine]
+            contents = np.concatenate([_from_bytes(x, 6) for x in raw["contents"]])[mine]
+            owner = np.concatenate([ids.values.to_numpy()[np.frombuffer(d, "<u2")]
+                                    for ids, d in zip(table["ids"], raw["docs"], strict=True)])[mine]
+            low, high = np.full(len(common), np.iinfo(np.int64).max), np.full(len(common), np.iinfo(np.int64).min)
+            np.minimum.at(low, group, owner)
+            np.maximum.at(high, group, owner)
+            kept = np.flatnonzero(low[group] < high[group])
+            mine, group, contents, owner = mine[kept], group[kept], contents[kept], owner[kept]
+            order = np.lexsort((owner, contents, group))
+            mine, group, contents, owner = mine[order], group[order], contents[order], owner[order]
+            new = np.concatenate([[True], (np.diff(group) != 0) | (contents[1:] != contents[:-1])])[:len(group)]
+            head = np.flatnonzero(new)
+            of = np.cumsum(new) - 1
+            variants = np.bincount(group[head], minlength=len(common))
+            first = owner == owner[head][of] if len(head) else np.empty(0, bool)
+            differs = first & (variants[group] > 1)
+            crowded = np.bincount(group[differs], minlength=len(common)) > crowd
+            status[mine] = np.where(~first, WHOLE, np.where(differs, np.where(crowded[group], CROWDED, DIFFERS), 0))
+        parts = np.split(status, np.cumsum(sizes)[:-1])
+        some = [i for i, x in enumerate(parts) if x.any()]
+        rows = pa.array(some, pa.int64())
+        return pa.table([table["chunk"].take(rows), table["range"].take(rows),
+                         pa.array([parts[i].tobytes() for i in some], pa.binary()),
+                         pa.array([int((parts[i] == DIFFERS).sum()) for i in some], pa.int64())],
+                        ["chunk", "range", "status", "differing"])
+
+    path = fresh_dir(chunks.sparkSession, "statuses")
+    (chunks.mapInArrow(send, "chunk bigint, range bigint, ids array<bigint>, anchors binary, contents binary, docs binary")
+     .groupBy("range").applyInArrow(merge, "chunk bigint, range bigint, status binary, differing bigint")
+     .write.parquet(path))
+    return chunks.sparkSession.read.parquet(path)
+
+
+_GROUP = ("shard bigint, chunk bigint, ids array<bigint>, docs array<int>, places array<int>, sizes array<int>, "
+          "packed binary")
+_NO_SHARD, _CROWD_SHARD = -1, -2
+
+
+def dealt_stretches(chunks: DataFrame, status: DataFrame, shards: int, bits: int, length: int, seed: int) -> DataFrame:
+    """Stretches to be looked at, packed by chunk and shard; those that go whole have no text."""
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if left.num_rows and right.num_rows:
-            chunk = left["chunk"][0].as_py()
+            chunk, packer = left["chunk"][0].as_py(), zstandard.ZstdCompressor(level=1)
             texts, ids = open_chunk(left["sizes"][0], left["packed"][0]), left["ids"][0].values.to_numpy()
-            anchors, first, count = stretches_of(texts, length, seed)
-            prefix = right["range"].to_numpy().astype(np.uint64)
-            known = [(r << np.uint64(40)) | _from_bytes(x.as_py()) for r, x in zip(prefix, right["anchors"], strict=True)]
-            known = np.sort(np.concatenate(known))
-            short = (((anchors >> np.uint64(64 - bits)) if bits else np.zeros_like(anchors)) << np.uint64(40)
-                     ) | _narrow(anchors, bits)
-            at = np.minimum(np.searchsorted(known, short), len(known) - 1)
-            hit = known[at] == short
-            anchors, first, stop = anchors[hit], first[hit], (first + count + length - 1)[hit]
-            document = np.searchsorted(texts.bounds, first, "right") - 1
-            place, owner = first - texts.bounds[document], ids[document]
-            content = Slices(byte_values(texts.data)).hashes(first, stop)
-            order = np.lexsort((place, document, owner, content))
-            new = np.flatnonzero(np.concatenate([[True], content[order][1:] != content[order][:-1]])[:len(order)])
+            found = Stretches(texts, bits, length, seed)
+            mark = np.zeros(len(found.anchors), np.uint8)
+            for range_, raw in zip(right["range"].to_pylist(), right["status"].to_pylist(), strict=True):
+                begin = np.searchsorted(found.ranges, range_)
+                mark[begin:begin + len(raw)] = np.frombuffer(raw, np.uint8)
+            shard = np.where(mark == DIFFERS, (mix(found.anchors) % np.uint64(shards)).astype(np.int64),
+                             np.where(mark == WHOLE, _NO_SHARD, _CROWD_SHARD))
+            some = np.flatnonzero(mark)
+            some = some[np.lexsort((found.first[some], shard[some]))]
+            edges = np.flatnonzero(np.concatenate([[True], np.diff(shard[some]) != 0])[:len(some)])
             raw = texts.data.tobytes()
-            for a, b in zip(new.tolist(), np.append(new[1:], len(order)).tolist(), strict=True):
-                group = order[a:b]
-                low = owner[group[0]]
-                own, later = group[owner[group] == low], group[owner[group] != low]
-                text = raw[first[group[0]]:stop[group[0]]]
-                out.append((int(anchors[group[0]].view(np.int64)), text, int(low), chunk, document[own], place[own]))
-                if len(later):
-                    size = np.array([len(text)], np.int32)
-                    out.append((None, size.tobytes(), None, chunk, document[later], place[later]))
-        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-        return pa.table([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)],
-                        ["anchor", "stretch", "id", "chunk", "docs", "places"])
-
-    path = fresh_dir(chunks.sparkSession, "stretches")
-    (chunks.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(cut, _STRETCH)
-     .write.option("compression", "zstd").parquet(path))
-    return chunks.sparkSession.read.parquet(path)
+            for a, b in zip(edges.tolist(), np.append(edges[1:], len(some)).tolist(), strict=True):
+                rows = some[a:b]
+                starts, stops = found.first[rows], found.stop[rows]
+                number = int(shard[rows[0]])
+                text = b"" if number == _NO_SHARD else b"".join(
+                    raw[x:y] for x, y in zip(starts.tolist(), stops.tolist(), strict=True))
+                out.append((number, chunk, ids[found.document[rows]], found.document[rows], found.place[rows],
+                            stops - starts, packer.compress(text)))
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), *[pa.list_(pa.int32())] * 3, pa.binary()]
+        names = ["shard", "chunk", "ids", "docs", "places", "sizes", "packed"]
+        return pa.table([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
+
+    return stored(chunks.groupBy("chunk").cogroup(status.groupBy("chunk")).applyInArrow(cut, _GROUP), "stretches")
+
+
+def _opened(table: pa.Table | pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, id, chunk, document and place of every stretch of some rows."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    texts: list[bytes] = []
+    for sizes, packed in zip(table["sizes"].to_pylist(), table["packed"].to_pylist(), strict=True):
+        raw, at = unpack(packed), 0
+        for size in sizes:
+            texts.append(raw[at:at + size])
+            at += size
+    lists = {c: table[c].to_pylist() for c in ("ids", "docs", "places")}
+    counts = [len(x) for x in lists["ids"]]
+    flat = {c: np.array([v for x in lists[c] for v in x], np.int64) for c in lists}
+    return texts, flat["ids"], np.repeat(table["chunk"].to_numpy(), counts), flat["docs"], flat["places"]
 
 
 class Block:
@@ -238,109 +287,86 @@ def merge_blocks(parts: list[Block]) -> list[np.ndarray]:
     return [lowest[np.searchsorted(keys, part.hashes)] for part in parts]
 
 
-def _ranges(chunk: np.ndarray, docs: pa.Array, places: pa.Array, row: np.ndarray, begin: np.ndarray,
-            end: np.ndarray) -> pa.RecordBatch:
-    """Ranges inside stretches, at all places of these: (chunk, doc, begin, end)."""
-    bounds = docs.offsets.to_numpy()
-    times = np.diff(bounds)[row]
-    flat = np.repeat(bounds[:-1][row] - (np.cumsum(times) - times), times) + np.arange(times.sum())
-    at = places.values.to_numpy()[flat].astype(np.int64)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.repeat(chunk[row], times)), pa.array(docs.values.to_numpy()[flat]),
-         pa.array(at + np.repeat(begin, times)), pa.array(at + np.repeat(end, times))], ["chunk", "doc", "begin", "end"])
-
-
 _RANGE = "chunk bigint, doc int, begin bigint, end bigint"
 
 
-def _lists(table: pa.Table, name: str) -> pa.Array:
-    return table[name].combine_chunks() if isinstance(table[name], pa.ChunkedArray) else table[name]
+def _ranges(chunk: np.ndarray, doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(chunk, pa.int64()), pa.array(doc, pa.int32()), pa.array(begin, pa.int64()), pa.array(end, pa.int64())],
+        ["chunk", "doc", "begin", "end"])
 
 
-def shard_ranges(stretches: DataFrame, shards: int, length: int) -> DataFrame:
+def shard_ranges(dealt: DataFrame, length: int) -> DataFrame:
     def find(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        texts, ids = table["stretch"].to_pylist(), table["id"].to_numpy()
-        blocks_, begin, held = [], 0, 0
+        texts, ids, chunk, doc, place = _opened(table)
+        parts, begin, held = [], 0, 0
         for end in range(len(texts) + 1):
             if end == len(texts) or held + len(texts[end]) + 1 > BLOCK_BYTES:
                 if end > begin:
-                    blocks_.append((begin, Block(texts[begin:end], ids[begin:end], length)))
+                    parts.append((begin, Block(texts[begin:end], ids[begin:end], length)))
                 begin, held = end, 0
             if end < len(texts):
                 held += len(texts[end]) + 1
-        rows, begins, ends = [], [], []
-        for (offset, block), lowest in zip(blocks_, merge_blocks([b for _, b in blocks_]), strict=True):
+        out = []
+        for (offset, block), lowest in zip(parts, merge_blocks([b for _, b in parts]), strict=True):
             gone = lowest[block.string] < ids[offset + block.of]
             marks = np.zeros(block.places[-1] + 2, bool)  # places of two stretches never touch
             marks[block.places[gone]] = True
             b, e = true_runs(marks)
             owner = np.searchsorted(block.starts, b, "right") - 1
-            rows.append(offset + owner)
-            begins.append(b - block.starts[owner])
-            ends.append(e - block.starts[owner] + length - 1)
-        none = [np.empty(0, np.int64)]
-        return pa.Table.from_batches([_ranges(
-            table["chunk"].to_numpy(), _lists(table, "docs"), _lists(table, "places"), np.concatenate(rows or none),
-            np.concatenate(begins or none), np.concatenate(ends or none))])
+            row = offset + owner
+            shift = place[row] - block.starts[owner]
+            out.append(_ranges(chunk[row], doc[row], b + shift, e + shift + length - 1))
+        return pa.Table.from_batches(out)
 
-    return (stretches.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-            .groupBy("shard").applyInArrow(find, _RANGE))
+    return dealt.where(F.col("shard") >= 0).groupBy("shard").applyInArrow(find, _RANGE)
 
 
-def crowded_ranges(stretches: DataFrame, length: int) -> DataFrame:
+def crowded_ranges(dealt: DataFrame, length: int) -> DataFrame:
     """The same for stretches of crowded anchors, string by string."""
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in blocks(batches, "stretch"):
-            counts = np.diff(texts.bounds) - length + 1
-            row = np.repeat(np.arange(len(counts)), counts)
-            begin = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            at = texts.bounds[row] + begin
-            rows = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(Slices(byte_values(texts.data)).hashes(at, at + length).view(np.int64)),
-                 *(batch.column(c).take(rows) for c in ("id", "chunk", "docs", "places")), pa.array(begin)],
-                ["string", "id", "chunk", "docs", "places", "begin"])
+        for batch in batches:
+            for at in range(batch.num_rows):
+                texts, ids, chunk, doc, place = _opened(batch.slice(at, 1))
+                bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+                data = np.frombuffer(b"".join(texts), np.uint8)
+                start = runs_inside(bounds, length)
+                row = np.searchsorted(bounds, start, "right") - 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(Slices(byte_values(data)).hashes(start, start + length).view(np.int64)), pa.array(ids[row]),
+                     pa.array(chunk[row]), pa.array(doc[row], pa.int32()), pa.array(place[row] + start - bounds[row])],
+                    ["string", "id", "chunk", "doc", "begin"])
 
-    rows = stored(stretches.mapInArrow(
-        strings, "string bigint, id bigint, chunk bigint, docs array<int>, places array<int>, begin bigint"), "strings")
+    rows = stored(dealt.where(F.col("shard") == _CROWD_SHARD).mapInArrow(
+        strings, "string bigint, id bigint, chunk bigint, doc int, begin bigint"), "strings")
     lowest = rows.groupBy("string").agg(F.min("id").alias("low"), F.max("id").alias("high")).where(
         F.col("low") < F.col("high")).select("string", "low")
     gone = rows.join(stored(lowest, "lowest"), "string").where(F.col("low") < F.col("id"))
-    place = F.explode(F.arrays_zip("docs", "places"))
-    return gone.select("chunk", "begin", place.alias("at")).select(
-        "chunk", F.col("at.docs").alias("doc"), (F.col("at.places") + F.col("begin")).cast("long").alias("begin"),
-        (F.col("at.places") + F.col("begin") + length).cast("long").alias("end"))
+    return gone.select("chunk", "doc", "begin", (F.col("begin") + length).alias("end"))
+
+
+def whole_ranges(dealt: DataFrame) -> DataFrame:
+    at = F.explode(F.arrays_zip("docs", "places", "sizes")).alias("at")
+    begin = F.col("at.places").cast("long")
+    return dealt.where(F.col("shard") == _NO_SHARD).select("chunk", at).select(
+        "chunk", F.col("at.docs").alias("doc"), begin.alias("begin"), (begin + F.col("at.sizes")).alias("end"))
 
 
 def removed_ranges(chunks: DataFrame, total: int, length: int = LENGTH, seed: int = SEED,
                    crowd: int = CROWD) -> DataFrame:
     """(chunk, doc, begin, end) of all removed bytes; ``doc`` counts documents of the chunk."""
     bits = max(0, (total // 16 // RANGE_ANCHORS).bit_length())
-    shared = shared_anchors(chunks, bits, length, seed)
-    found = shared_stretches(chunks, shared, bits, length, seed)
-    real = found.where(F.col("anchor").isNotNull())
-    size = real.agg(F.sum(F.octet_length("stretch"))).first()[0] or 0
-    sizes = real.groupBy("anchor").agg(F.count("*").alias("n"))
-    many = sizes.where(F.col("n") > crowd).select("anchor")
-    calm = shard_ranges(real.join(many, "anchor", "left_anti"), max(1, size // SHARD_BYTES), length)
-    crowded = crowded_ranges(real.join(many, "anchor"), length)
-
-    def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes_ = np.array([int.from_bytes(x.as_py(), "little") for x in batch.column("stretch")], np.int64)
-            row = np.arange(len(sizes_))
-            yield _ranges(batch.column("chunk").to_numpy(), batch.column("docs"), batch.column("places"), row,
-                          np.zeros(len(row), np.int64), sizes_)
-
-    whole = found.where(F.col("anchor").isNull()).mapInArrow(later, _RANGE)
-    return calm.union(crowded).union(whole)
+    status = statuses(chunks, bits, length, seed, crowd)
+    differing = status.agg(F.sum("differing")).first()[0] or 0
+    shards = max(1, differing * (2 * length) // SHARD_BYTES)
+    dealt = dealt_stretches(chunks, status, shards, bits, length, seed)
+    return shard_ranges(dealt, length).union(crowded_ranges(dealt, length)).union(whole_ranges(dealt))
 
 
 def kept_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED, crowd: int = CROWD) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` of ``docs`` (doc_id, text); ``kept`` is what stays, joined."""
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    chunks = store_chunks(docs)
+    chunks = store_chunks(docs, total)
     path = fresh_dir(docs.sparkSession, "ranges")
     removed_ranges(chunks, total, length, seed, crowd).write.parquet(path)
     ranges = docs.sparkSession.read.parquet(path)
