@@ -30,8 +30,8 @@ from vitrine.llm.tokens import SPACES, added_pattern, added_tokens, tokenizer
 
 #: Documents to a group.
 GROUP_ROWS = 16_384
-#: Words whose ids a task remembers.
-REMEMBERED = 600_000
+#: Words and parts of words whose ids a task remembers; only parts are costly to find again.
+WORDS_KEPT, PARTS_KEPT = 200_000, 400_000
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _WORD = re.compile(f"[^{SPACES}]+")
 #: Signs of ASCII, and Latin letters that normalisation leaves alone and that have one lower form.
@@ -58,8 +58,8 @@ class WordIds:
 
     def learn(self, words: set[str]) -> None:
         """Make the ids of all these words known."""
-        for held in (self._words, self._parts):
-            if len(held) > REMEMBERED:
+        for held, most in ((self._words, WORDS_KEPT), (self._parts, PARTS_KEPT)):
+            if len(held) > most:
                 held.clear()
         missing = list(words.difference(self._words))
         if not _PLAIN.fullmatch(" ".join(missing)):

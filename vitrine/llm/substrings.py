@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.arrays import (
+    BLOCK_BYTES,
     WORDS_SPACED,
     Slices,
     Texts,
@@ -122,7 +123,7 @@ def unpacked(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, Texts]]:
     sizes = [zstandard.frame_content_size(x) for x in (v.as_py() for v in batch.column("packed"))]
     begin, held = 0, 0
     for end in range(len(sizes) + 1):
-        if end == len(sizes) or (end > begin and held + sizes[end] > 2 << 20):
+        if end == len(sizes) or (end > begin and held + sizes[end] > BLOCK_BYTES):
             part = batch.slice(begin, end - begin)
             if end > begin:
                 yield part, text_bytes(pa.array([unpack(v.as_py()) for v in part.column("packed")], pa.binary()))

@@ -57,8 +57,8 @@ from vitrine.session import fresh_dir
 LENGTH, SEED = 50, 20
 #: Anchors to a range, bytes of stretches to a shard and to a block in it, stretches of one anchor in a shard.
 RANGE_ANCHORS, SHARD_BYTES, BLOCK_BYTES, CROWD = 1 << 20, 1 << 20, 1_500_000, 10_000
-#: Documents to a chunk at most (their numbers take 16 bits), text to a bucket, buckets at most.
-CHUNK_ROWS, BUCKET_BYTES, MOST_BUCKETS = 1 << 15, 16 << 20, 50_000
+#: Documents (their numbers take 16 bits) and text to a chunk, text to a bucket, buckets at most.
+CHUNK_ROWS, CHUNK_BYTES, BUCKET_BYTES, MOST_BUCKETS = 1 << 15, 3 << 19, 16 << 20, 50_000
 NO_ID = -(1 << 63)
 WHOLE, DIFFERS, CROWDED = 1, 2, 3
 #: Stands between stretches; no byte of UTF-8.
@@ -67,11 +67,11 @@ _CHUNK = "chunk bigint, ids array<bigint>, sizes array<int>, packed binary"
 
 
 def store_chunks(docs: DataFrame, total: int) -> DataFrame:
-    """Documents in rows of about 2 MB, written once: (chunk, ids, sizes, packed), bucketed by chunk."""
+    """Documents in rows of about ``CHUNK_BYTES``, written once: (chunk, ids, sizes, packed), bucketed by chunk."""
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, number = zstandard.ZstdCompressor(level=3), TaskContext.get().partitionId() << 32
         slices = (batch.slice(at, CHUNK_ROWS) for batch in batches for at in range(0, batch.num_rows, CHUNK_ROWS))
-        for batch, texts in blocks(slices):
+        for batch, texts in blocks(slices, most=CHUNK_BYTES):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([batch.column("id").to_pylist()], pa.list_(pa.int64())),
                  pa.array([np.diff(texts.bounds).tolist()], pa.list_(pa.int32())),
