@@ -32,21 +32,25 @@ def stops(frame):
 
 
 def test_early_stopping_examples(spark):
-    frame = curves(spark, {"falling": [1.0, 0.9, 0.8], "flat": [1.0] * 5})
-    assert stops(folds.early_stopping(frame, patience=3, min_delta=0.0)) == {
-        "falling": (0.8, 3, None), "flat": (1.0, 1, 4)}
+    none, nan = None, float("nan")
+    losses = {"sinking": [4.0, 2.5, 1.0, 0.5], "level": [3.0] * 6, "gaps": [1.0, 2.0, none, 2.0, 2.0],
+              "late": [1.0, none, none, none, none], "empty": [none, nan, nan], "nan": [nan, 2.0, nan, 1.5]}
+    rows = [(run, epoch, loss) for run, values in losses.items() for epoch, loss in enumerate(values, 1)]
+    frame = spark.createDataFrame(rows, "run_id string, epoch int, val_loss double")
+    assert stops(folds.early_stopping(frame, patience=2, min_delta=0.0)) == {
+        "sinking": (0.5, 4, None), "level": (3.0, 1, 3), "gaps": (1.0, 1, 3), "late": (1.0, 1, 3),
+        "empty": (float("inf"), None, 2), "nan": (1.5, 4, None)}
 
 
-@pytest.mark.parametrize("bound", [10_000, 0])
 @pytest.mark.parametrize(("patience", "delta"), [(1, 0.0), (3, 0.05), (7, 1e-4), (7, 0.3)])
-def test_early_stopping_equals_brute_force(spark, monkeypatch, bound, patience, delta):
+def test_early_stopping_equals_brute_force(spark, monkeypatch, patience, delta):
     monkeypatch.setattr(folds, "BLOCK", 8)
     rng = random.Random(5)
     losses = {f"noise{i}": [round(rng.random(), 2) for _ in range(rng.randint(1, 60))] for i in range(20)}
     losses |= {f"falling{i}": [1 - 0.01 * e + rng.random() * 0.05 for e in range(50)] for i in range(10)}
     losses["steady"] = [1 - 0.001 * e for e in range(200)]
     frame = curves(spark, losses)
-    got = stops(folds.early_stopping(frame, patience, delta, max_fold_rows=bound))
+    got = stops(folds.early_stopping(frame, patience, delta))
     assert got == {run: brute_stop(values, patience, delta) for run, values in losses.items()}
 
 

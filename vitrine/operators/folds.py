@@ -8,7 +8,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_FOLD_ROWS = 10_000
 BLOCK = 4_096
 
 
@@ -32,57 +31,25 @@ def fold_sorted(df: DataFrame, key: str, order: str, start: Callable[[], dict],
     return df.repartition(key).sortWithinPartitions(key, order).mapInPandas(run, schema)
 
 
-def _longest_run(curves: DataFrame) -> int:
-    per_run = curves.groupBy("run_id").agg(F.count("*").alias("n"))
-    return per_run.agg(F.max("n")).first()[0] or 0
-
-
-def early_stopping(curves: DataFrame, patience: int = 7, min_delta: float = 1e-4,
-                   max_fold_rows: int = MAX_FOLD_ROWS) -> DataFrame:
+def early_stopping(curves: DataFrame, patience: int = 7, min_delta: float = 1e-4) -> DataFrame:
     """Where early stopping would end each run.
 
     ``curves``: run_id, epoch, val_loss. Result: run_id, best_loss, best_epoch,
     stop_epoch (null when the run was never stopped). A loss is accepted when
     it is below the best one by more than ``min_delta``; ``patience`` epochs in
-    a row without acceptance stop the run.
-    """
-    if _longest_run(curves) <= max_fold_rows:
-        return _early_stopping_in_array(curves, patience, min_delta)
-    return _early_stopping_in_blocks(curves, patience, min_delta)
-
-
-def _early_stopping_in_array(curves: DataFrame, patience: int, min_delta: float) -> DataFrame:
-    """Runs of proven length: fold one sorted array per run inside the JVM."""
-    epochs = F.array_sort(F.collect_list(F.struct("epoch", F.col("val_loss").cast("double").alias("loss"))))
-    state = F.struct(
-        F.lit(float("inf")).alias("best"), F.lit(None).cast("long").alias("best_epoch"),
-        F.lit(0).alias("counter"), F.lit(None).cast("long").alias("stop"))
-
-    def step(acc, e):
-        better = e["loss"] < acc["best"] - F.lit(min_delta)
-        epoch = e["epoch"].cast("long")
-        return F.when(acc["stop"].isNotNull(), acc).otherwise(F.struct(
-            F.when(better, e["loss"]).otherwise(acc["best"]).alias("best"),
-            F.when(better, epoch).otherwise(acc["best_epoch"]).alias("best_epoch"),
-            F.when(better, F.lit(0)).otherwise(acc["counter"] + 1).alias("counter"),
-            F.when(~better & (acc["counter"] + 1 >= patience), epoch).alias("stop")))
-
-    folded = curves.groupBy("run_id").agg(F.aggregate(epochs, state, step).alias("s"))
-    return folded.select("run_id", F.col("s.best").alias("best_loss"),
-                         F.col("s.best_epoch").alias("best_epoch"), F.col("s.stop").alias("stop_epoch"))
-
-
-def _early_stopping_in_blocks(curves: DataFrame, patience: int, min_delta: float) -> DataFrame:
-    """Long runs: only new minima can be accepted, so find those first, block by block.
-
-    A run is cut into blocks of epochs; block minima give every block the lowest
-    loss before it, and the new minima of all blocks are found in parallel. A
-    gap of more than ``patience`` epochs between two minima ends the run for
-    sure, so later ones are dropped before the fold.
+    a row without acceptance stop the run. A loss that is null or not a number
+    is never accepted and counts as an epoch; a run without any accepted loss has
+    best_loss infinity and no best_epoch.
+
+    Only new minima can be accepted, so these are found first. A run is cut into
+    blocks of epochs; block minima give every block the lowest loss before it,
+    and the new minima of all blocks are found in parallel. A gap of more than
+    ``patience`` epochs between two minima ends the run for sure, so later ones
+    are dropped before the fold.
     """
     block = F.floor(F.col("epoch") / BLOCK)
-    rows = curves.select("run_id", "epoch", F.col("val_loss").cast("double").alias("loss"),
-                         block.alias("_block"))
+    loss = F.nanvl(F.col("val_loss").cast("double"), F.lit(None).cast("double"))
+    rows = curves.select("run_id", "epoch", loss.alias("loss"), block.alias("_block"))
     so_far = Window.partitionBy("run_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     heads = (rows.groupBy("run_id", "_block").agg(F.min("loss").alias("_min"), F.count("*").alias("_n"))
              .withColumns({"_low": F.min("_min").over(so_far),
@@ -93,7 +60,7 @@ def _early_stopping_in_blocks(curves: DataFrame, patience: int, min_delta: float
     placed = (rows.join(heads, ["run_id", "_block"])
               .withColumns({"pos": F.col("_before") + F.row_number().over(inside),
                             "_prior": F.least("_low", F.min("loss").over(earlier))}))
-    minima = placed.where(F.col("_prior").isNull() | (F.col("loss") < F.col("_prior")))
+    minima = placed.where(F.col("loss").isNotNull() & (F.col("_prior").isNull() | (F.col("loss") < F.col("_prior"))))
     along = Window.partitionBy("run_id").orderBy("pos")
     ended = F.sum((F.col("_gap") > patience).cast("int")).over(
         along.rowsBetween(Window.unboundedPreceding, -1))
@@ -118,6 +85,10 @@ def _early_stopping_in_blocks(curves: DataFrame, patience: int, min_delta: float
                             f"run_id {run_type}, pos long, best_loss double, best_pos long, best_epoch long")
                 .groupBy("run_id").agg(F.max_by(F.struct("best_loss", "best_pos", "best_epoch"), "pos").alias("b"))
                 .select("run_id", "b.*"))
+    lengths = heads.groupBy("run_id").agg(F.max("_before").alias("_length"))
+    accepted = lengths.join(accepted, "run_id", "left").select(
+        "run_id", F.coalesce("best_loss", F.lit(float("inf"))).alias("best_loss"),
+        F.coalesce("best_pos", F.lit(0)).alias("best_pos"), "best_epoch")
     stops = (placed.select("run_id", "pos", F.col("epoch").cast("long").alias("stop_epoch"))
              .join(accepted.select("run_id", (F.col("best_pos") + patience).alias("pos")), ["run_id", "pos"]))
     return (accepted.join(stops.select("run_id", "stop_epoch"), "run_id", "left")

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.operators.ranking import global_row_number
-from vitrine.plans.sizing import join_small, settle_small
+from vitrine.functions.common import class_map, within_classes
 from vitrine.session import shared_dir
 
 SPLIT_SEED = 42
@@ -15,21 +14,20 @@ HASH_DIGITS = 4
 
 
 def class_index(categories: DataFrame, code: str = "code") -> DataFrame:
-    """Dense index of all known class codes in numeric order: code, class_index."""
-    codes, small = settle_small(categories.select(F.col(code).cast("int").alias("code")).distinct())
-    if small:
-        return codes.withColumn(
-            "class_index", (F.row_number().over(Window.orderBy("code")) - 1).cast("int"))
-    return (global_row_number(codes, ["code"], "_n")
-            .withColumn("class_index", (F.col("_n") - 1).cast("int")).drop("_n"))
+    """Dense index of all known class codes in numeric order: code, class_index.
+
+    One row per class, numbered in one task; too many classes are an error.
+    """
+    codes = categories.select(F.col(code).cast("int").alias("code")).distinct()
+    place = F.row_number().over(Window.orderBy("code"))
+    return codes.withColumn("class_index", (within_classes(place) - 1).cast("int"))
 
 
 def encode_labels(df: DataFrame, index: DataFrame, code: str = "prdtypecode") -> DataFrame:
     """Add ``class_index``; a code the map does not know is an error."""
-    known = index.withColumnRenamed("code", code)
     unknown = F.raise_error(F.concat(F.lit("unknown class code "), F.col(code).cast("string")))
-    return (join_small(df, known, code, "left")
-            .withColumn("class_index", F.coalesce(F.col("class_index"), unknown.cast("int"))))
+    found = F.try_element_at(class_map(index, "code", "class_index"), F.col(code).cast("int"))
+    return df.withColumn("class_index", F.coalesce(found, unknown.cast("int")))
 
 
 def index_to_label(index: DataFrame, categories: DataFrame) -> DataFrame:
@@ -39,7 +37,7 @@ def index_to_label(index: DataFrame, categories: DataFrame) -> DataFrame:
 
 def class_weights(df: DataFrame, label: str = "prdtypecode") -> DataFrame:
     """Balanced weight n / (k * n_c) per class present: label, n_c, weight."""
-    counts, _ = settle_small(df.groupBy(label).agg(F.count("*").alias("n_c")))
+    counts = df.groupBy(label).agg(F.count("*").alias("n_c"))
     # Scalar totals, not a window: the class table may stay distributed.
     totals = counts.agg(F.sum("n_c").alias("n"), F.count("*").alias("k"))
     n, k = totals.select("n").scalar(), totals.select("k").scalar()
@@ -47,7 +45,9 @@ def class_weights(df: DataFrame, label: str = "prdtypecode") -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str = "prdtypecode") -> DataFrame:
-    return join_small(df, class_weights(df, label).select(label, "weight"), label)
+    """Rows that have a label, with the weight of their class."""
+    weights = class_map(class_weights(df, label), label, "weight")
+    return df.where(F.col(label).isNotNull()).withColumn("weight", F.element_at(weights, F.col(label)))
 
 
 def split_quotas(counts: DataFrame, label: str, share: float = VALIDATION_SHARE) -> DataFrame:
@@ -65,7 +65,7 @@ def split_quotas(counts: DataFrame, label: str, share: float = VALIDATION_SHARE)
     parts = whole.withColumns({"goal": goal, "base": F.floor(ideal), "rest": ideal - F.floor(ideal)})
     missing = parts.agg((F.max("goal") - F.sum("base")).alias("missing")).scalar()
     place = F.row_number().over(Window.orderBy(F.col("rest").desc(), F.col(label).asc()))
-    return (parts.withColumn("place", place)
+    return (parts.withColumn("place", within_classes(place))
             .withColumn("quota", (F.col("base") + F.when(F.col("place") <= missing, 1).otherwise(0)).cast("long"))
             .select(label, "n_c", "quota"))
 
@@ -86,21 +86,23 @@ def stratified_split(df: DataFrame, key: str = "product_id", label: str = "prdty
     # A few bytes per bucket and class; kept, as counts and bucket ends both need it.
     shared_dir(df.sparkSession)
     fill = keyed.groupBy(label, "_bucket").agg(F.count("*").alias("_n")).checkpoint()
-    counts, _ = settle_small(fill.groupBy(label).agg(F.sum("_n").alias("n_c")))
+    counts = fill.groupBy(label).agg(F.sum("_n").alias("n_c"))
     quotas = split_quotas(counts, label, share).select(label, "quota")
 
     upto = F.sum("_n").over(Window.partitionBy(label).orderBy("_bucket"))
     ends = (fill.withColumn("_upto", upto)
             .join(quotas, label)
             .where((F.col("_upto") >= F.col("quota")) & (F.col("_upto") - F.col("_n") < F.col("quota")))
-            .select(label, "_bucket", (F.col("quota") - F.col("_upto") + F.col("_n")).alias("_need")))
+            .select(label, F.struct("_bucket", (F.col("quota") - F.col("_upto") + F.col("_n")).alias("_need")).alias("_end")))
     in_bucket = F.row_number().over(Window.partitionBy(label, "_bucket").orderBy("_hash", key))
-    limits = (join_small(keyed, ends, [label, "_bucket"])
+    limits = (keyed.withColumn("_end", F.try_element_at(class_map(ends, label, "_end"), F.col(label)))
+              .where(F.col("_bucket") == F.col("_end._bucket"))
               .withColumn("_place", in_bucket)
-              .where(F.col("_place") == F.col("_need"))
+              .where(F.col("_place") == F.col("_end._need"))
               .select(label, F.struct("_hash", F.col(key).alias("_key")).alias("_limit")))
     mine = F.struct(digest.alias("_hash"), F.col(key).alias("_key"))
-    return (join_small(df, limits, label, "left")
+    limit = F.try_element_at(class_map(limits, label, "_limit"), F.col(label))
+    return (df.withColumn("_limit", limit)
             .withColumn("split", F.when(mine <= F.col("_limit"), F.lit("val")).otherwise(F.lit("train")))
             .drop("_limit"))
 

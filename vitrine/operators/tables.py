@@ -8,10 +8,8 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from vitrine.operators.ranking import first_n_per_key
-from vitrine.plans.sizing import join_small
 
 ROW_KEY = ["productid", "batch_id"]
-MAX_BROADCAST_IDS = 2_000_000
 VERSION_LOG = "version int, kind string, committed_at timestamp"
 
 
@@ -32,23 +30,23 @@ def insert_ignore(batch: DataFrame, stored: DataFrame | None, keys: list[str] =
 def upsert_latest_wins(stored: DataFrame | None, batch: DataFrame, key: str = "product_id") -> DataFrame:
     """Stored rows without those the batch replaces, plus the batch.
 
-    Only the ids of the batch are compared; a batch of few ids is broadcast and
-    the stored vectors are not shuffled.
+    Only the ids of the batch are compared; where they are few, adaptive
+    execution broadcasts them and the stored vectors are not shuffled.
     """
     if stored is None:
         return batch
-    return join_small(stored, batch.select(key), key, "left_anti", MAX_BROADCAST_IDS).unionByName(batch)
+    return stored.join(batch.select(key), key, "left_anti").unionByName(batch)
 
 
 def upsert_counts(stored: DataFrame, batch: DataFrame, key: str = "product_id") -> DataFrame:
     """replaced, new, total after the upsert, from key columns alone.
 
     The key is unique in the store, so the rows that find their id in the batch
-    are the replaced ones; a small batch is broadcast and nothing is shuffled.
+    are the replaced ones.
     """
     ids = batch.select(key).distinct()
     rows, stored_rows = (f.agg(F.count("*")).scalar() for f in (ids, stored))
-    hits = join_small(stored.select(key), ids, key, "left_semi", MAX_BROADCAST_IDS)
+    hits = stored.select(key).join(ids, key, "left_semi")
     return (hits.agg(F.count("*").alias("replaced"))
             .select("replaced", (rows - F.col("replaced")).alias("new"),
                     (stored_rows + rows - F.col("replaced")).alias("total")))
@@ -105,16 +103,14 @@ class VersionedTable:
     the rows of an upsert ("layer"). ``<root>/_versions`` lists the committed
     versions, and readers go by it, so a failed write leaves the old state.
     An upsert writes its own rows only; a reader takes the newest row of a key.
-    After ``max_layers`` upserts the layers are folded into a new base, which
-    spreads the cost of copying the table over that many batches.
+    An upsert never copies the table; ``fold`` does, when its owner wants fewer layers to read.
     One writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key: str = "product_id", max_layers: int = 16):
+    def __init__(self, spark: SparkSession, root: str, key: str = "product_id"):
         self.spark = spark
         self.root = root.rstrip("/")
         self.key = key
-        self.max_layers = max_layers
 
     def _state(self) -> tuple[int, int] | None:
         """(last base, last version); every version after the base is a layer on it."""
@@ -165,7 +161,13 @@ class VersionedTable:
             return {"replaced": 0, "new": rows, "total": rows}
         counts = upsert_counts(stored, batch, self.key).first().asDict()
         self._commit(batch, "layer")
-        base, last = self._state()
-        if last - base >= self.max_layers:
-            self.write(self.read())
         return counts
+
+    def layers(self) -> int:
+        """Upserts since the last base."""
+        base, last = self._state() or (0, 0)
+        return last - base
+
+    def fold(self) -> int:
+        """Write base and layers as a new base; returns the version number."""
+        return self.write(self.read())

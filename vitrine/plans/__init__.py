@@ -1 +1 @@
-"""Whole jobs built from the operators, and the sizing rules they share."""
+"""Whole jobs built from the operators."""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitrine.functions.common import class_map
 from vitrine.functions.scores import (
     argmax, class_label, label_top_classes, scores_map, softmax, top_classes,
 )
@@ -18,10 +19,9 @@ def label_lookup(labels: DataFrame) -> Column:
     """The class labels as one map value, read by a scalar subquery.
 
     ``labels`` (class_index, label) has at most one row per model output, so the
-    map is never wider than the score array every row already carries.
+    map is never wider than the score array every row already carries; it is checked.
     """
-    pairs = F.collect_list(F.struct("class_index", "label"))
-    return labels.agg(F.map_from_entries(pairs).alias("labels")).scalar()
+    return class_map(labels, "class_index", "label")
 
 
 def rank_probabilities(df: DataFrame, labels: Column, probabilities: str = "probabilities",

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.operators.catalogue import image_path
-from vitrine.sources.batches import read_spread
 
 REDELIVERED = 1_000_000_000_000
 
@@ -42,18 +41,10 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
-    def texts(self, name: str, *key: str) -> DataFrame:
-        """A table whose texts are about to be cleaned or hashed."""
-        return read_spread(self.spark, f"{self.dir}/{name}.parquet", *key)
-
     @cached_property
     def raw(self) -> DataFrame:
         return as_products(self.table("documents"))
 
-    @cached_property
-    def raw_texts(self) -> DataFrame:
-        return as_products(self.texts("documents", "doc_id"))
-
     def redelivered(self, raw: DataFrame) -> DataFrame:
         """The labelled documents once more, in a later batch under upper-case labels."""
         labelled = self.table("labels").select(F.col("doc_id").alias("productid"))
@@ -61,18 +52,11 @@ class Tables:
             "prodtype": F.upper("prodtype"), "batch_id": F.lit("redelivery"),
             "row_pos": F.col("row_pos") + REDELIVERED})
 
-    def _deliveries(self, raw: DataFrame) -> DataFrame:
-        first = raw.withColumn("dt_processed", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
-        again = self.redelivered(raw).withColumn("dt_processed", F.lit("2024-02-01 12:30:00").cast("timestamp_ntz"))
-        return first.unionByName(again)
-
     @cached_property
     def deliveries(self) -> DataFrame:
-        return self._deliveries(self.raw)
-
-    @cached_property
-    def delivery_texts(self) -> DataFrame:
-        return self._deliveries(self.raw_texts)
+        first = self.raw.withColumn("dt_processed", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+        again = self.redelivered(self.raw).withColumn("dt_processed", F.lit("2024-02-01 12:30:00").cast("timestamp_ntz"))
+        return first.unionByName(again)
 
     @cached_property
     def processed(self) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vitrine.functions.common import class_map
 from vitrine.functions.scores import array_total, fuse, l2_normalise
 from vitrine.functions.text import with_input_text
 from vitrine.operators import evaluation, labels, vectors
@@ -276,7 +277,7 @@ def label_agreement(t: Tables):
     FROM terms""")
 def weighted_loss(t: Tables):
     weight = labels.class_weights(t.logits, "label")
-    known = weight.agg(F.map_from_entries(F.collect_list(F.struct("label", "weight")))).scalar()
+    known = class_map(weight, "label", "weight")
     per_index = F.transform(F.sequence(F.lit(0), F.size("logits") - 1),
                             lambda i: F.coalesce(F.try_element_at("_known", i), F.lit(0.0)))
     weighted = t.logits.withColumn("_known", known).withColumn("weights", per_index)
@@ -285,7 +286,7 @@ def weighted_loss(t: Tables):
 
 @query("text_embedding")
 def text_embedding(t: Tables):
-    embedded = vectors.hashed_text_vectors(with_input_text(t.raw_texts))
+    embedded = vectors.hashed_text_vectors(with_input_text(t.raw))
     norm = F.sqrt(array_total(F.transform("embedding_text", lambda x: x.cast("double") * x)))
     return embedded.select("productid", F.size("embedding_text").alias("width"),
                            F.round(norm, 5).alias("norm"), "embedding_text")
@@ -301,11 +302,11 @@ def _stored_training_frame(t: Tables):
 def batch_embeddings(t: Tables):
     """The embedding job on all deliveries. The bytes of a text serve as the pixels of its image;
     the image of an unlabelled product is missing and gets the white stand-in."""
-    batch = t.delivery_texts.withColumn("image_exists", F.col("n_chars") >= 400)
+    batch = t.deliveries.withColumn("image_exists", F.col("n_chars") >= 400)
     pixels = F.floor((F.octet_length(F.col("text").cast("binary")) + 2) / 3).cast("int")
     data = F.rpad(F.col("text").cast("binary"), pixels * 3, F.lit(b" "))
     labelled = t.table("labels").select("doc_id")
-    pictures = t.texts("documents", "doc_id").join(labelled, "doc_id", "left_semi").select(
+    pictures = t.table("documents").join(labelled, "doc_id", "left_semi").select(
         F.col("doc_id").alias("productid"),
         F.struct(F.lit("").alias("origin"), F.lit(1).alias("height"), pixels.alias("width"),
                  F.lit(3).alias("nChannels"), F.lit(16).alias("mode"), data.alias("data")).alias("image"))
