@@ -298,20 +298,42 @@ def _stored_training_frame(t: Tables):
     return training_frame(t.embeddings, _categories(t)).checkpoint()
 
 
-@query("batch_embeddings")
+@query("batch_embeddings", """
+    WITH bytes AS (
+        SELECT doc_id, hex(encode(text)) AS h, octet_length(encode(text)) AS n FROM documents),
+    pixels AS (
+        SELECT doc_id, string_split(regexp_replace(h, '(..)', '\\1 ', 'g'), ' ') AS hexes, n, (n + 2) // 3 AS pixels FROM bytes),
+    colours AS (
+        SELECT doc_id, [CASE WHEN 3 * p + k <= n THEN CAST('0x' || hexes[3 * p + k] AS INT) ELSE 32 END FOR k IN [1, 2, 3]] AS bgr
+        FROM pixels, LATERAL (SELECT unnest(range(0, pixels)) AS p)),
+    cells AS (
+        SELECT doc_id, bgr[3] * 8 // 256 * 48 + bgr[2] * 8 // 256 * 6 + bgr[1] * 6 // 256 AS cell, count(*) AS n
+        FROM colours GROUP BY ALL),
+    images AS (
+        SELECT doc_id, count(*) AS n_colours, round(max(n) / sqrt(sum(n * n)), 4) AS most FROM cells GROUP BY doc_id),
+    deliveries AS (
+        SELECT doc_id, source AS run_id, n_chars, text FROM documents
+        UNION ALL SELECT doc_id, 'redelivery', n_chars, text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels))
+    SELECT d.doc_id AS product_id, run_id, 768 AS text_width, 384 AS image_width,
+           CAST(coalesce(n_colours, 1) AS BIGINT) AS n_colours, coalesce(most, 1.0) AS most, 1.0 AS image_norm
+    FROM deliveries d LEFT JOIN images USING (doc_id) WHERE n_chars >= 400""")
 def batch_embeddings(t: Tables):
-    """The embedding job on all deliveries. The bytes of a text serve as the pixels of its image;
-    the image of an unlabelled product is missing and gets the white stand-in."""
+    """The embedding job on all deliveries. The bytes of a text serve as the pixels of its image."""
     batch = t.deliveries.withColumn("image_exists", F.col("n_chars") >= 400)
     pixels = F.floor((F.octet_length(F.col("text").cast("binary")) + 2) / 3).cast("int")
     data = F.rpad(F.col("text").cast("binary"), pixels * 3, F.lit(b" "))
-    labelled = t.table("labels").select("doc_id")
-    pictures = t.table("documents").join(labelled, "doc_id", "left_semi").select(
-        F.col("doc_id").alias("productid"),
+    pictures = t.table("documents").select(
+        F.col("doc_id").alias("productid"), (F.col("doc_id") + 1_000_000).alias("imageid"),
         F.struct(F.lit("").alias("origin"), F.lit(1).alias("height"), pixels.alias("width"),
                  F.lit(3).alias("nChannels"), F.lit(16).alias("mode"), data.alias("data")).alias("image"))
-    return vectors.batch_embeddings(batch, pictures, designation="product_designation",
-                                    description="product_description")
+    embedded = vectors.batch_embeddings(batch, pictures, designation="product_designation",
+                                        description="product_description")
+    image = F.transform("embedding_image", lambda x: x.cast("double"))
+    return embedded.select(
+        "product_id", "run_id", F.size("embedding_text").alias("text_width"), F.size("embedding_image").alias("image_width"),
+        F.size(F.filter("embedding_image", lambda x: x > 0)).cast("long").alias("n_colours"),
+        F.round(F.array_max(image), 4).alias("most"),
+        F.round(F.sqrt(array_total(F.transform(image, lambda x: x * x))), 4).alias("image_norm"))
 
 
 @query("search_trials")
