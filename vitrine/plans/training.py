@@ -7,18 +7,20 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.ml import Model
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.operators.evaluation import accuracy_and_macro_f1
-from vitrine.operators.labels import class_index, encode_labels, stratified_split
-from vitrine.operators.model import sample_params, search, train_logistic
+from vitrine.operators.labels import class_index, encode_labels, index_to_label, stratified_split
+from vitrine.operators.model import model_probabilities, sample_params, search, train_logistic
 from vitrine.operators.quality import training_needed
 from vitrine.operators.registry import promote
 from vitrine.operators.runs import append_row, newest_run, trial_summary
 from vitrine.operators.vectors import as_ml_vector, with_fused
 from vitrine.plans.ingest import Store
 from vitrine.plans.reports import cumulative_stats
+from vitrine.plans.scoring import label_lookup, rank_probabilities
 
 MODEL_NAME = "product-classifier"
 TRAINING_RUN = (
@@ -96,6 +98,9 @@ def train_and_register(store: Store, fit: Callable[[DataFrame], Model] = train_l
     frame = spark.read.parquet(store.path(f"training_data/{run_id}"))
     model, measures = train_and_measure(frame, fit)
     model.write().save(store.path(f"models/{run_id}"))
+    # The model's own class map: codes that come later don't shift its indices.
+    categories = store.categories.read()
+    index_to_label(class_index(categories), categories).write.parquet(store.path(f"class_maps/{run_id}"))
 
     statistics = {k: str(v) for k, v in data_statistics(frame).first().asDict().items()}
     stats = cumulative_stats(embeddings).first()
@@ -118,3 +123,23 @@ def train_and_register(store: Store, fit: Callable[[DataFrame], Model] = train_l
     store.model_versions.write(after.withColumn("version", F.col("version").cast("int")))
     stage = store.model_versions.read().where(F.col("run_id") == run_id).first()["stage"]
     return {"run_id": run_id, "data_run_id": data_run_id, "stage": stage, **measures}
+
+
+def production_scorer(store: Store, name: str = MODEL_NAME) -> tuple[Callable[[DataFrame], DataFrame], int]:
+    """(function that scores frames with both vectors, version) of the model in production.
+
+    It uses the class map stored with the run that made the model. The function works on tables and streams.
+    """
+    versions = store.model_versions.read()
+    current = None if versions is None else (
+        versions.where((F.col("name") == name) & (F.col("stage") == "Production")).orderBy(F.desc("version")).first())
+    if current is None:
+        raise LookupError(f"no production version of {name}")
+    run_id = current["run_id"]
+    model = DefaultParamsReader.loadParamsInstance(store.path(f"models/{run_id}"), store.spark.sparkContext)
+    labels = label_lookup(store.spark.read.parquet(store.path(f"class_maps/{run_id}")))
+
+    def score(df: DataFrame) -> DataFrame:
+        return rank_probabilities(model_probabilities(with_fused(df), model), labels)
+
+    return score, current["version"]
