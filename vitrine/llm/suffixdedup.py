@@ -56,9 +56,9 @@ from vitrine.session import fresh_dir
 
 LENGTH, SEED = 50, 20
 #: Anchors to a range, bytes of stretches to a shard and to a block in it, stretches of one anchor in a shard.
-RANGE_ANCHORS, SHARD_BYTES, BLOCK_BYTES, CROWD = 1 << 20, 1 << 20, 1_500_000, 10_000
+RANGE_ANCHORS, SHARD_BYTES, BLOCK_BYTES, CROWD = 1 << 20, 1 << 20, 1_000_000, 10_000
 #: Documents (their numbers take 16 bits) and text to a chunk, text to a bucket, buckets at most.
-CHUNK_ROWS, CHUNK_BYTES, BUCKET_BYTES, MOST_BUCKETS = 1 << 15, 3 << 19, 16 << 20, 50_000
+CHUNK_ROWS, CHUNK_BYTES, BUCKET_BYTES, MOST_BUCKETS = 1 << 15, 1 << 20, 16 << 20, 50_000
 NO_ID = -(1 << 63)
 WHOLE, DIFFERS, CROWDED = 1, 2, 3
 #: Stands between stretches; no byte of UTF-8.
@@ -135,6 +135,36 @@ class Stretches:
         self.place = self.first - texts.bounds[self.document]
 
 
+def judge_stretches(anchors: np.ndarray, contents: np.ndarray, owner: np.ndarray, crowd: int) -> np.ndarray:
+    """Status of every stretch among all that may share its anchor."""
+    status = np.zeros(len(anchors), np.uint8)
+    ordered = np.sort(anchors)
+    common = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if not len(common):
+        return status
+    at = np.minimum(np.searchsorted(common, anchors), len(common) - 1)
+    mine = np.flatnonzero(common[at] == anchors)
+    group, owner = at[mine], owner[mine]
+    low, high = np.full(len(common), np.iinfo(np.int64).max), np.full(len(common), np.iinfo(np.int64).min)
+    np.minimum.at(low, group, owner)
+    np.maximum.at(high, group, owner)
+    kept = np.flatnonzero(low[group] < high[group])
+    if not len(kept):
+        return status
+    mine, group, owner = mine[kept], group[kept], owner[kept]
+    order = np.lexsort((owner, contents[mine], group))
+    mine, group, owner = mine[order], group[order], owner[order]
+    contents = contents[mine]
+    new = np.concatenate([[True], (np.diff(group) != 0) | (contents[1:] != contents[:-1])])
+    head = np.flatnonzero(new)
+    variants = np.bincount(group[head], minlength=len(common))
+    first = owner == owner[head][np.cumsum(new) - 1]
+    differs = first & (variants[group] > 1)
+    crowded = np.bincount(group[differs], minlength=len(common)) > crowd
+    status[mine] = np.where(~first, WHOLE, np.where(differs, np.where(crowded[group], CROWDED, DIFFERS), 0))
+    return status
+
+
 def statuses(chunks: DataFrame, bits: int, length: int, seed: int, crowd: int) -> DataFrame:
     """(chunk, range, status, differing): a byte for every stretch of a chunk in that range."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,31 +189,14 @@ def statuses(chunks: DataFrame, bits: int, length: int, seed: int, crowd: int) -
         raw = {c: table[c].to_pylist() for c in ("anchors", "contents", "docs")}
         sizes = [len(x) // 5 for x in raw["anchors"]]
         anchors = np.concatenate([_from_bytes(x, 5) for x in raw["anchors"]])
-        ordered = np.sort(anchors)
-        common = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+        contents = np.concatenate([_from_bytes(x, 6) for x in raw["contents"]])
+        owner = np.concatenate([ids.values.to_numpy()[np.frombuffer(d, "<u2")]
+                                for ids, d in zip(table["ids"], raw["docs"], strict=True)])
         status = np.zeros(len(anchors), np.uint8)
-        if len(common):
-            at = np.minimum(np.searchsorted(common, anchors), len(common) - 1)
-            mine = np.flatnonzero(common[at] == anchors)
-            group = at[mine]
-            contents = np.concatenate([_from_bytes(x, 6) for x in raw["contents"]])[mine]
-            owner = np.concatenate([ids.values.to_numpy()[np.frombuffer(d, "<u2")]
-                                    for ids, d in zip(table["ids"], raw["docs"], strict=True)])[mine]
-            low, high = np.full(len(common), np.iinfo(np.int64).max), np.full(len(common), np.iinfo(np.int64).min)
-            np.minimum.at(low, group, owner)
-            np.maximum.at(high, group, owner)
-            kept = np.flatnonzero(low[group] < high[group])
-            mine, group, contents, owner = mine[kept], group[kept], contents[kept], owner[kept]
-            order = np.lexsort((owner, contents, group))
-            mine, group, contents, owner = mine[order], group[order], contents[order], owner[order]
-            new = np.concatenate([[True], (np.diff(group) != 0) | (contents[1:] != contents[:-1])])[:len(group)]
-            head = np.flatnonzero(new)
-            of = np.cumsum(new) - 1
-            variants = np.bincount(group[head], minlength=len(common))
-            first = owner == owner[head][of] if len(head) else np.empty(0, bool)
-            differs = first & (variants[group] > 1)
-            crowded = np.bincount(group[differs], minlength=len(common)) > crowd
-            status[mine] = np.where(~first, WHOLE, np.where(differs, np.where(crowded[group], CROWDED, DIFFERS), 0))
+        part = (anchors >> np.uint64(37)).astype(np.uint8)
+        for number in range(8):  # by the next three bits of the anchor, for less memory at once
+            mine = np.flatnonzero(part == number)
+            status[mine] = judge_stretches(anchors[mine], contents[mine], owner[mine], crowd)
         parts = np.split(status, np.cumsum(sizes)[:-1])
         some = [i for i, x in enumerate(parts) if x.any()]
         rows = pa.array(some, pa.int64())
