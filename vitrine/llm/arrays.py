@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text of a block. Arrays of 64-bit numbers per byte take eight times as much, a handful at once.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 _STEP = 0x9E3779B97F4A7C15
 _BASE = 0xD6E8FEB86659FD93
 _MOD = 1 << 64
