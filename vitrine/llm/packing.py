@@ -30,50 +30,45 @@ from vitrine.llm.tokens import SPACES, added_pattern, added_tokens, tokenizer
 
 #: Documents to a group.
 GROUP_ROWS = 16_384
-#: Words and parts of words whose ids a task remembers; only parts are costly to find again.
-WORDS_KEPT, PARTS_KEPT = 200_000, 400_000
+#: Parts of words whose ids a task remembers, and text it looks at together.
+PARTS_KEPT, BLOCK_BYTES = 400_000, 2 << 20
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _WORD = re.compile(f"[^{SPACES}]+")
-#: Signs of ASCII, and Latin letters that normalisation leaves alone and that have one lower form.
-_PLAIN = re.compile("[ -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
-_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+#: ASCII and Latin letters that normalisation leaves alone and that have one lower form.
+_PLAIN = re.compile("[\\0-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_PARTS = re.compile(f"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\\t-\\r 0-9{_LETTERS}]+")
 
 
 class WordIds:
-    """Ids of white-space separated words as little-endian bytes, each distinct word encoded once in a task.
+    """Ids of texts as little-endian bytes, each distinct part of a word encoded once in a task.
 
     Holds for a tokenizer that lowers its text, drops white space, splits words by
-    the rule of ``_PARTS`` and marks each split's last piece with ``</w>``. Words
-    of plain Latin letters are split here, and the distinct parts of a block are
-    encoded together, separated by blanks; all other words go to the library one
-    by one.
+    the rule of ``_PARTS`` and marks each split's last piece with ``</w>``. Texts
+    of plain Latin letters are split here, and the new parts of a block are encoded
+    together, separated by blanks. Any other text is split at white space, and its
+    words go to the library one by one.
     """
 
     def __init__(self, path: str):
         self._library = tokenizer(path)
         size = self._library.get_vocab_size()
         self._last = np.array([(self._library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self._words: dict[str, bytes] = {}
         self._parts: dict[str, bytes] = {}
+        self._words: dict[str, bytes] = {}
+
+    def split(self, text: str) -> tuple[bool, list[str]]:
+        """Is the text plain, and its parts or else its words."""
+        if text.isascii() or _PLAIN.fullmatch(text):
+            return True, _PARTS.findall(text.lower())
+        return False, _WORD.findall(text) if _ODD_SPACE.search(text) else text.split()
 
-    def learn(self, words: set[str]) -> None:
-        """Make the ids of all these words known."""
-        for held, most in ((self._words, WORDS_KEPT), (self._parts, PARTS_KEPT)):
-            if len(held) > most:
+    def learn(self, texts: list[tuple[bool, list[str]]]) -> None:
+        """Make the ids of all these parts and words known."""
+        for held in (self._parts, self._words):
+            if len(held) > PARTS_KEPT:
                 held.clear()
-        missing = list(words.difference(self._words))
-        if not _PLAIN.fullmatch(" ".join(missing)):
-            for word in missing:
-                if not _PLAIN.fullmatch(word):
-                    ids = self._library.encode(word, add_special_tokens=False).ids
-                    self._words[word] = np.array(ids, "<u4").tobytes()
-            missing = [w for w in missing if w not in self._words]
-        split = list(map(_PARTS.findall, " ".join(missing).lower().split(" "))) if missing else []
-        self._learn_parts(list(set().union(*split).difference(self._parts)))
-        parts_of = self._parts.__getitem__
-        self._words.update(zip(missing, (b"".join(map(parts_of, x)) for x in split), strict=True))
-
-    def _learn_parts(self, parts: list[str]) -> None:
+        parts = list(set().union(*(x for plain, x in texts if plain)).difference(self._parts))
         groups = [parts[i:i + 200] for i in range(0, len(parts), 200)]
         found = self._library.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
         for group, encoded in zip(groups, found, strict=True):
@@ -83,13 +78,13 @@ class WordIds:
             for part, stop in zip(group, stops, strict=True):
                 self._parts[part] = raw[at:stop]
                 at = stop
+        for word in set().union(*(x for plain, x in texts if not plain)).difference(self._words):
+            ids = self._library.encode(word, add_special_tokens=False).ids
+            self._words[word] = np.array(ids, "<u4").tobytes()
 
-    def of_words(self, words: list[str]) -> bytes:
-        return b"".join(map(self._words.__getitem__, words))
-
-
-def split_words(text: str) -> list[str]:
-    return _WORD.findall(text) if _ODD_SPACE.search(text) else text.split()
+    def ids_of(self, split: tuple[bool, list[str]]) -> bytes:
+        known = self._parts if split[0] else self._words
+        return b"".join(map(known.__getitem__, split[1]))
 
 
 def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
@@ -99,16 +94,16 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int) -> Data
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, added = WordIds(path), {k: np.array([v], "<u4").tobytes() for k, v in added_tokens(path).items()}
         special = added_pattern(added)
-        for batch, _ in blocks(batches):
+        for batch, _ in blocks(batches, most=BLOCK_BYTES):
             out: dict[str, list] = {k: [] for k in ("row", "doc_id", "piece", "start", "length", "ids_crc32")}
             # A text is split at special strings first; every second part is one.
             parts = [special.split(x) if special and special.search(x) else [x]
                      for x in (t or "" for t in batch.column("text").to_pylist())]
-            words = [[split_words(p) if i % 2 == 0 else p for i, p in enumerate(x)] for x in parts]
-            known.learn(set().union(*(part for x in words for part in x[::2])))
-            for row, doc_id, mine in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), words,
+            split = [[known.split(p) if i % 2 == 0 else p for i, p in enumerate(x)] for x in parts]
+            known.learn([p for x in split for p in x[::2]])
+            for row, doc_id, mine in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), split,
                                          strict=True):
-                ids = b"".join([*(known.of_words(p) if i % 2 == 0 else added[p] for i, p in enumerate(mine)), end])
+                ids = b"".join([*(known.ids_of(p) if i % 2 == 0 else added[p] for i, p in enumerate(mine)), end])
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     for name, value in (("row", row), ("doc_id", doc_id), ("piece", piece), ("start", at // 4),
