@@ -100,6 +100,8 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text",
             bounds = texts.bounds[begin:end + 1]
             yield batch.slice(begin, end - begin), Texts(texts.data[bounds[0]:bounds[-1]], bounds - bounds[0])
             begin = end
+        # Workers live on; what Arrow held for a large batch goes back to the system.
+        pa.default_memory_pool().release_unused()
 
 
 def byte_class(inside) -> np.ndarray:

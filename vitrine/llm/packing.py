@@ -31,7 +31,7 @@ from vitrine.llm.tokens import SPACES, added_pattern, added_tokens, tokenizer
 #: Documents to a group.
 GROUP_ROWS = 16_384
 #: Parts of words whose ids a task remembers, and text it looks at together.
-PARTS_KEPT, BLOCK_BYTES = 400_000, 2 << 20
+PARTS_KEPT, BLOCK_BYTES = 300_000, 1 << 20
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _WORD = re.compile(f"[^{SPACES}]+")
 #: ASCII and Latin letters that normalisation leaves alone and that have one lower form.
