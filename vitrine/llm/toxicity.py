@@ -1,21 +1,27 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Learning takes at most ``examples`` labelled rows, chosen by a hash of the id.
-Terms are words and their beginnings of ``PREFIXES`` bytes, so that inflected and
-joined forms meet. Kept are those whose presence goes with the label beyond
-chance (chi-squared over ``CHI_SQUARED``, the best ``TERMS``). Their document
-frequencies are counted over all documents.
+Terms are all words and their beginnings of ``PREFIXES`` bytes, so that inflected
+and joined forms meet. A term weighs (1 + log tf) * idf, with document frequencies
+counted over all documents, times the root of 1 + chi-squared of its presence and
+the label, so that telling terms count more and none is left out.
+
+Only terms of examples can add to a product, so those of the examples are kept.
+An example's length is over its whole vector. The length of the text that is
+judged divides all its cosines alike: it changes neither their order nor the
+weighted vote, and is left out.
 
 The examples lie in blocks of ``BLOCK``; an inverted index has, for every term
-and block, the largest weight there. The product of a text's weights with these
-bounds every cosine in the block, so blocks are scored from the highest bound on
-until the bound of the next is below the k-th best cosine. The k nearest vote
-with their cosine as weight; votes become probabilities by isotonic regression
-over the examples, each judged by the others.
-
-Null or empty text, or no term: the smoothed share of toxic ones among the
-examples without a term. Equal cosines: the earlier example. No usable labels:
-score 0. Several labels of
+and block where it occurs, the largest weight there and the postings. The product
+of a text's weights with these bounds every cosine in the block, so blocks are
+scored from the highest bound on until the bounds left are below the k-th best
+cosine. Terms common among the examples bound nothing: they have full rows, whose
+products with many texts are taken at once. The k nearest vote with their cosine as weight; votes become
+probabilities by isotonic regression over the examples, each judged by the others.
+
+Null or empty text, or no term of an example: the smoothed share of toxic ones
+among the examples without a term of chi-squared over ``CHI_SQUARED``. Equal
+cosines: the earlier example. No usable labels: score 0. Several labels of
 one id: the largest counts. Repeated documents are each scored.
 """
 
@@ -26,6 +32,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,21 +49,48 @@ from vitrine.llm.arrays import (
 )
 from vitrine.session import fresh_dir
 
-EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 16_000, 512, 15, 64
+EXAMPLES, NEIGHBOURS, BLOCK = 16_000, 15, 1024
 PREFIXES = (4, 5, 6, 7, 8)
+#: A term goes with the label beyond chance; only texts without a term of an example are judged by it.
 CHI_SQUARED = 26.0
-LEAST_USES = 4
+#: Terms in more than this part of the examples have a full row of weights; texts whose products with these are taken at once.
+COMMON, AT_ONCE = 1 / 8, 64
+#: Parts in which the examples pass through the driver.
+PARTS = 4
+#: Sums in another order differ by less than this.
+_SLACK = 1e-9
 
 
-class Model(NamedTuple):
-    """Sorted term hashes and their idf; examples by rows of weights; the calibration; the share without terms."""
+class Index(NamedTuple):
+    """Inverted index: entries (term, block) with their largest weight, and the postings of each entry.
+
+    Common terms have rows of weights instead, one weight for every example.
+    """
+
+    examples: int
+    row: np.ndarray  # by term; -1 without one
+    rows: np.ndarray
+    entry_bounds: np.ndarray  # by term
+    block: np.ndarray  # by entry, as the two below
+    most: np.ndarray
+    posting_bounds: np.ndarray
+    example: np.ndarray  # by posting, as the one below
+    weight: np.ndarray
+
 
-    terms: np.ndarray
-    idf: np.ndarray
-    weights: np.ndarray
-    block_most: np.ndarray
+class Examples(NamedTuple):
+    """A part of the examples: index, labels and ids."""
+
+    index: Index
     labels: np.ndarray
     ids: np.ndarray
+
+
+class Model(NamedTuple):
+    """Broadcast: sorted term hashes with their factors, and ``Examples`` by parts; calibration; share of texts without terms."""
+
+    terms: Broadcast
+    parts: list[Broadcast]
     steps: np.ndarray
     shares: np.ndarray
     without: float
@@ -75,25 +110,37 @@ def all_terms(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.concatenate(owners)
 
 
-def known_terms(texts: Texts, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Document and number of every known term of a block, repeats included."""
-    hashes, document = all_terms(texts)
-    if not len(terms) or not len(hashes):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    maybe = np.zeros(1 << 16, bool)
-    maybe[terms >> np.uint64(48)] = True
-    few = np.flatnonzero(maybe[hashes >> np.uint64(48)])
-    hashes, document = hashes[few], document[few]
-    at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
-    known = terms[at] == hashes
-    return document[known], at[known]
+class Terms:
+    """Looks up hashes among sorted ones; their high bits tell where to begin."""
+
+    def __init__(self, terms: np.ndarray):
+        bits = max(1, len(terms).bit_length())
+        self._shift = np.uint64(64 - bits)
+        self._first = np.searchsorted(terms, np.arange(1 << bits, dtype=np.uint64) << self._shift)
+        self._terms = np.append(terms, np.uint64(0xFFFFFFFFFFFFFFFF))
+        self._n = len(terms)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are known, and their numbers."""
+        at = self._first[hashes >> self._shift]
+        below = np.flatnonzero(self._terms[at] < hashes)
+        while len(below):
+            at[below] += 1
+            below = below[self._terms[at[below]] < hashes[below]]
+        known = np.flatnonzero((self._terms[at] == hashes) & (at < self._n))
+        return known, at[known]
 
+    def counts(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Document, number and uses of every known term of a block, by document and number."""
+        hashes, document = all_terms(texts)
+        known, at = self.find(hashes)
+        both, uses = np.unique(document[known] * max(self._n, 1) + at, return_counts=True)
+        return *np.divmod(both, max(self._n, 1)), uses
 
-def term_counts(texts: Texts, terms: np.ndarray) -> np.ndarray:
-    """Documents by terms."""
-    document, at = known_terms(texts, terms)
-    shape = (len(texts), len(terms))
-    return np.bincount(document * len(terms) + at, minlength=shape[0] * shape[1]).astype(float).reshape(shape)
+
+def spread(start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size."""
+    return np.repeat(start - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
 def to_weights(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -112,89 +159,165 @@ def examples_of(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").select("doc_id", "toxic", "text")
 
 
-def telling_terms(examples: DataFrame) -> np.ndarray:
-    """Sorted hashes of the terms that go with the label."""
+def label_counts(examples: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted hashes of all terms, in how many examples each occurs, and in how many toxic ones."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches):
             toxic = np.array(batch.column("toxic").to_pylist(), float)
             hashes, document = all_terms(texts)
             terms, of = np.unique(hashes, return_inverse=True)
-            once = np.unique(of * len(texts) + document)
-            of, document = np.divmod(once, len(texts))
-            # Term 0 stands for the documents themselves.
+            of, document = np.divmod(np.unique(of * len(texts) + document), len(texts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(terms.view(np.int64), 0)),
-                 pa.array(np.append(np.bincount(of, minlength=len(terms)), len(texts)), pa.float64()),
-                 pa.array(np.append(np.bincount(of, toxic[document], len(terms)), toxic.sum()), pa.float64())],
-                ["term", "n", "toxic"])
-
-    counts = (examples.mapInArrow(count, "term bigint, n double, toxic double")
-              .groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-              .where(F.col("n") >= LEAST_USES)).select("term", "n", "toxic")
-    stored = fresh_dir(examples.sparkSession, "terms")
-    counts.write.parquet(stored)
-    counts = examples.sparkSession.read.parquet(stored)
-    whole = counts.where(F.col("term") == 0).first()
-    if whole is None:
-        return np.empty(0, np.uint64)
-    n, toxic = F.lit(whole["n"]), F.lit(whole["toxic"])
-    with_term, hits = F.col("n"), F.col("toxic")
-    below = with_term * (n - with_term) * toxic * (n - toxic)
-    apart = F.greatest(F.abs(hits * n - with_term * toxic) - n / 2, F.lit(0.0))  # corrected for continuity
-    chi = F.when(below > 0, n * apart * apart / below)
-    best = (counts.where(F.col("term") != 0).withColumn("chi", chi).where(F.col("chi") > CHI_SQUARED)
-            .orderBy(F.desc("chi"), "term").limit(TERMS).select("term").collect())
-    return np.sort(np.array([r[0] for r in best], np.int64).view(np.uint64))
-
-
-def known_rows(examples: DataFrame, terms: np.ndarray) -> list:
-    """(doc_id, toxic, terms) with repeats, one row per example."""
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                [pa.array(terms.view(np.int64)), pa.array(np.bincount(of, minlength=len(terms)), pa.int64()),
+                 pa.array(np.bincount(of, toxic[document], len(terms)), pa.float64())], ["term", "n", "toxic"])
+
+    counts = (examples.mapInArrow(count, "term bigint, n bigint, toxic double").groupBy("term")
+              .agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).toArrow())
+    terms = counts["term"].to_numpy().view(np.uint64)
+    order = np.argsort(terms)
+    return terms[order], counts["n"].to_numpy()[order].astype(float), counts["toxic"].to_numpy()[order]
+
+
+def weighted(examples: DataFrame, terms: np.ndarray, factors: np.ndarray) -> Iterator[pa.Table]:
+    """(doc_id, toxic, heaviest, terms, weights) of the examples, part by part to spare the driver."""
+    shared = examples.sparkSession.sparkContext.broadcast((terms, factors))
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, factors = shared.value
+        known = Terms(terms)
         for batch, texts in blocks(batches):
-            document, at = known_terms(texts, terms)
-            order = np.argsort(document, kind="stable")
-            bounds = np.searchsorted(document[order], np.arange(len(texts) + 1))
+            document, term, uses = known.counts(texts)
+            weight = (1 + np.log(uses)) * factors[term]
+            weight /= np.sqrt(np.bincount(document, weight * weight, len(texts)))[document]
+            bounds = np.searchsorted(document, np.arange(len(texts) + 1))
+            heaviest = [int(term[x + weight[x:y].argmax()]) if y > x else len(terms)
+                        for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), list_column(at[order], bounds, pa.int32())],
-                ["doc_id", "toxic", "terms"])
+                [batch.column("doc_id"), batch.column("toxic"), pa.array(heaviest, pa.int64()),
+                 list_column(term, bounds, pa.int32()), list_column(weight, bounds, pa.float64())],
+                ["doc_id", "toxic", "heaviest", "terms", "weights"])
 
-    return (examples.mapInArrow(find, "doc_id bigint, toxic int, terms array<int>")
-            .dropDuplicates(["doc_id"]).orderBy("doc_id").collect())
+    for part in range(PARTS):
+        yield examples.where(F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)) == part).mapInArrow(
+            weigh, "doc_id bigint, toxic int, heaviest bigint, terms array<int>, weights array<double>").toArrow()
 
 
 def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[int, np.ndarray]:
     """Number of documents, and in how many each term occurs."""
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, found = 0, np.zeros(len(terms), np.int64)
+        known = Terms(shared.value)
+        total, found = 0, np.zeros(len(shared.value), np.int64)
         for _, texts in blocks(batches):
             total += len(texts)
-            found += (term_counts(texts, terms) > 0).sum(0)
+            found += np.bincount(known.counts(texts)[1], minlength=len(found))
+        some = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(-1, len(terms))), pa.array(np.append(total, found))], ["term", "n"])
-
-    sums = dict(docs.select("text").mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n")).collect())
-    return int(sums.get(-1, 0)), np.array([sums.get(i, 0) for i in range(len(terms))], float)
+            [pa.array(np.append(-1, some)), pa.array(np.append(total, found[some]))], ["term", "n"])
+
+    sums = (docs.select("text").mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+            .toArrow())
+    at, n = sums["term"].to_numpy(), sums["n"].to_numpy()
+    found = np.zeros(len(terms) + 1)  # the documents themselves come last
+    found[at] = n
+    return int(found[-1]), found[:-1]
+
+
+def chi_squared(uses: np.ndarray, toxic_uses: np.ndarray, n: int, toxic: float) -> np.ndarray:
+    """Of presence and label, corrected for continuity; 0 where nothing can be told."""
+    below = uses * (n - uses) * toxic * (n - toxic)
+    apart = np.maximum(np.abs(toxic_uses * n - uses * toxic) - n / 2, 0)
+    return np.where(below > 0, n * apart * apart / np.where(below > 0, below, 1), 0)
+
+
+def index_of(example: np.ndarray, term: np.ndarray, weight: np.ndarray, examples: int, terms: int) -> Index:
+    """Index of weights given by example and term."""
+    common = np.flatnonzero(np.bincount(term, minlength=terms) > COMMON * examples)
+    row = np.full(terms, -1, np.int32)
+    row[common] = np.arange(len(common))
+    rows = np.zeros((len(common), examples))
+    full = row[term] >= 0
+    rows[row[term[full]], example[full]] = weight[full]
+    order = np.flatnonzero(~full)
+    key = term[order].astype(np.int64) * max(examples, 1) + example[order]
+    sorting = np.argsort(key)
+    (term, example), weight = np.divmod(key[sorting], max(examples, 1)), weight[order[sorting]]
+    entry = term * (examples // BLOCK + 1) + example // BLOCK
+    first = np.flatnonzero(np.concatenate([[True], entry[1:] != entry[:-1]])[:len(entry)])
+    most = np.maximum.reduceat(weight, first) if len(first) else np.empty(0)
+    return Index(examples, row, rows, np.searchsorted(term[first], np.arange(terms + 1)),
+                 (example[first] // BLOCK).astype(np.int32), most, np.append(first, len(entry)),
+                 example.astype(np.int32), weight)
+
+
+def common_products(index: Index, document: np.ndarray, term: np.ndarray, values: np.ndarray, documents: int) -> np.ndarray:
+    """Documents by examples: the part of their products that common terms make."""
+    row = index.row[term]
+    full = row >= 0
+    text = np.zeros((documents, len(index.rows)))
+    text[document[full], row[full]] = values[full]
+    return text @ index.rows
+
+
+def search(index: Index, terms: np.ndarray, values: np.ndarray, common: np.ndarray, k: int,
+           leave: int = -1, floor: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """The k examples with the largest product with ``values`` of ``terms``, and these; only positive ones, without ``leave``.
+
+    ``common`` has the part of the products that common terms make; products below ``floor`` may be left out.
+    """
+    best, scores = np.empty(0, np.int64), np.empty(0)
+    if not len(terms) or not index.examples:
+        return best, scores
+    first = index.entry_bounds[terms]
+    sizes = index.entry_bounds[terms + 1] - first
+    entry, value = spread(first, sizes), np.repeat(values, sizes)
+    block = index.block[entry]
+    bounds = np.maximum.reduceat(common, np.arange(0, index.examples, BLOCK))
+    bounds = bounds + np.bincount(block, index.most[entry] * value, len(bounds))
+    order = np.argsort(-bounds, kind="stable")
+    begin, step = 0, 1
+    while begin < len(order):
+        now = order[begin:begin + step]
+        now = now[bounds[now] >= floor] if floor > 0 else now[bounds[now] > 0]
+        if not len(now):
+            break
+        chosen = np.zeros(len(bounds), bool)
+        chosen[now] = True
+        if len(now) * 2 > len(bounds):  # whole lists, as nearly all of them are read
+            ends = index.posting_bounds[np.stack([first, first + sizes], 1)]
+            of = np.concatenate([index.example[x:y] for x, y in ends.tolist()])
+            products = np.concatenate([index.weight[x:y] for x, y in ends.tolist()])
+            products *= np.repeat(values, ends[:, 1] - ends[:, 0])
+        else:
+            here = np.flatnonzero(chosen[block])
+            start = index.posting_bounds[entry[here]]
+            lengths = index.posting_bounds[entry[here] + 1] - start
+            at = spread(start, lengths)
+            of, products = index.example[at], index.weight[at] * np.repeat(value[here], lengths)
+        sums = common + np.bincount(of, products, index.examples)
+        sums[~np.repeat(chosen, BLOCK)[:index.examples]] = 0
+        if leave >= 0:
+            sums[leave] = 0
+        some = np.flatnonzero(sums > 0)
+        if len(some) > k:
+            some = some[sums[some] >= np.partition(sums[some], -k)[-k] - _SLACK]
+        best, scores = np.append(best, some), np.append(scores, sums[some])
+        top = np.lexsort((best, -np.round(scores, 12)))[:k]
+        best, scores = best[top], scores[top]
+        floor = max(floor, scores[-1] - _SLACK) if len(best) >= k else floor
+        begin, step = begin + step, len(order)
+    return best, scores
 
 
 def nearest(weights: np.ndarray, row: np.ndarray, block_most: np.ndarray, k: int,
             leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
-    """The k examples with the largest cosine to ``row`` and these; only positive ones, without example ``leave``."""
+    """``search`` among full rows of weights; the index makes ``block_most`` itself."""
+    example, term = np.nonzero(weights)
     used = np.flatnonzero(row)
-    part = row[used]
-    bounds = part @ block_most[used]
-    best, scores = np.empty(0, np.int64), np.empty(0)
-    for block in np.argsort(-bounds, kind="stable"):
-        bound = bounds[block]
-        if bound <= 0 or (len(best) >= k and bound < scores[-1]):
-            break
-        begin = block * BLOCK
-        cosines = weights[begin:begin + BLOCK, used] @ part
-        here = np.flatnonzero(cosines > 0)
-        here = here[here + begin != leave]
-        best, scores = np.append(best, here + begin), np.append(scores, cosines[here])
-        order = np.lexsort((best, -np.round(scores, 12)))[:k]
-        best, scores = best[order], scores[order]
-    return best, scores
+    index = index_of(example, term, weights[example, term], *weights.shape)
+    common = common_products(index, np.zeros_like(used), used, row[used], 1)[0]
+    return search(index, used, row[used], common, k, leave)
 
 
 def vote(labels: np.ndarray, scores: np.ndarray) -> float:
@@ -223,66 +346,96 @@ def isotonic(values: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     """A model from ``labels`` (doc_id, toxic), which hold only rows that may teach, and the texts of ``docs``."""
-    chosen = examples_of(docs, labels, examples)
-    terms = telling_terms(chosen)
-    rows = known_rows(chosen, terms)
-    marks = np.array([r["toxic"] for r in rows], float)
-    ids = np.array([r["doc_id"] for r in rows], np.int64)
+    spark = docs.sparkSession
+    # Stored once: they are read again to be judged by each other.
+    stored = fresh_dir(spark, "examples")
+    examples_of(docs, labels, examples).dropDuplicates(["doc_id"]).write.parquet(stored)
+    chosen = spark.read.parquet(stored).repartition(4 * spark.sparkContext.defaultParallelism)
+    terms, uses, toxic_uses = label_counts(chosen)
+    whole = chosen.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    chi = chi_squared(uses, toxic_uses, whole[0], float(whole[1]))
     total, frequency = document_frequencies(docs, terms)
-    idf = np.log((1 + total) / (1 + frequency)) + 1
-    counts = np.zeros((len(rows), len(terms)))
-    for row, mine in zip(counts, rows, strict=True):
-        np.add.at(row, mine["terms"], 1)
-    some = counts.any(1) if len(terms) else np.zeros(len(rows), bool)
-    prior = marks.mean() if len(rows) else 0.0
-    without = float((marks[~some].sum() + prior) / ((~some).sum() + 1))
-    weights, marks, ids = to_weights(counts[some], idf), marks[some], ids[some]
-    # Alike examples side by side make tight bounds.
-    order = np.lexsort((ids, weights.argmax(1) if len(weights) and len(terms) else ids))
-    weights, marks, ids = weights[order], marks[order], ids[order]
-    most = np.stack([weights[i:i + BLOCK].max(0) for i in range(0, len(weights), BLOCK)], 1) if len(weights) else (
-        np.zeros((len(terms), 0)))
-    raw, judged = [], []
-    for i in range(len(weights)):
-        best, scores = nearest(weights, weights[i], most, NEIGHBOURS, leave=i)
-        if len(best):
-            raw.append(vote(marks[best], scores))
-            judged.append(marks[i])
-    steps, shares = isotonic(np.array(raw), np.array(judged)) if raw else (np.zeros(1), np.full(1, prior))
-    return Model(terms, idf, weights, most, marks, ids, steps, shares, without)
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` without text, with ``score`` and ``evidence``, the ids of the voting examples; these replace their names."""
-    docs = docs.drop("score", "evidence")
+    factors = (np.log((1 + total) / (1 + frequency)) + 1) * np.sqrt(1 + chi)
+    parts, by_id, plain = [], {}, []
+    for rows in weighted(chosen, terms, factors):
+        ids, marks, heaviest = (rows[c].to_numpy() for c in ("doc_id", "toxic", "heaviest"))
+        sizes = pc.list_value_length(rows["terms"]).to_numpy().astype(np.int64)
+        term, weight = (pc.list_flatten(rows[c]).to_numpy() for c in ("terms", "weights"))
+        del rows
+        n = len(ids)
+        by_id.update(zip(ids.tolist(), marks.tolist(), strict=True))
+        plain.append(marks[np.bincount(np.repeat(np.arange(n), sizes), chi[term] > CHI_SQUARED, n) == 0])
+        # Alike examples side by side make tight bounds.
+        order = np.lexsort((ids, heaviest))
+        place = np.empty(n, np.int32)
+        place[order] = np.arange(n)
+        index = index_of(np.repeat(place, sizes), term, weight, n, len(terms))
+        # Bounded by the examples' texts; broadcast once for calibration and use.
+        parts.append(spark.sparkContext.broadcast(tuple(Examples(index, marks[order].astype(float), ids[order]))))
+        del term, weight, index
+        pa.default_memory_pool().release_unused()
+    prior = sum(by_id.values()) / max(len(by_id), 1)
+    without = float((sum(x.sum() for x in plain) + prior) / (sum(map(len, plain)) + 1))
+    model = Model(spark.sparkContext.broadcast((terms, factors)), parts, np.zeros(1), np.full(1, prior), without)
+    judged = judge(chosen.drop("toxic"), model, calibrated=False).select("doc_id", "score").where("score is not null").toArrow()
+    raw = judged["score"].to_numpy()
+    if len(raw):
+        steps, shares = isotonic(raw, np.array([by_id[i] for i in judged["doc_id"].to_pylist()], float))
+        model = model._replace(steps=steps, shares=shares)
+    return model
+
+
+def judge(docs: DataFrame, model: Model, calibrated: bool = True) -> DataFrame:
+    """``docs`` with ``score`` and ``evidence`` in place of ``text``.
+
+    Not ``calibrated``: the plain vote of the others for documents that are
+    examples themselves, null if there is none.
+    """
     kept = [c for c in docs.columns if c != "text"]
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))  # bounded by examples x terms
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(*shared.value)
-        seen: dict[bytes, tuple[float, list[int]]] = {}
+    shared, shared_parts, steps, shares, without = model
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, factors = shared.value
+        parts = [Examples(*x.value) for x in shared_parts]
+        known, labels, all_ids = Terms(terms), np.concatenate([x.labels for x in parts]), np.concatenate([x.ids for x in parts])
+        firsts = np.cumsum([0, *(x.index.examples for x in parts)]).tolist()
+        place = {} if calibrated else {x: i for i, x in enumerate(all_ids.tolist())}
         for batch, texts in blocks(batches):
-            counts = term_counts(texts, model.terms)
-            weights = to_weights(counts, model.idf)
+            document, term, uses = known.counts(texts)
+            values = (1 + np.log(uses)) * factors[term]
+            values /= np.sqrt(np.bincount(document, values * values, len(texts)))[document]
+            bounds = np.searchsorted(document, np.arange(len(texts) + 1))
+            ids = [None] * len(texts) if calibrated else batch.column("doc_id").to_pylist()
             scores, proof = [], []
-            for row, count in zip(weights, counts, strict=True):
-                key = count.astype(np.int32).tobytes()
-                found = seen.get(key)
-                if found is None:
-                    best, cosines = nearest(model.weights, row, model.block_most, NEIGHBOURS)
-                    if len(best):
-                        step = max(int(np.searchsorted(model.steps, vote(model.labels[best], cosines), "right")) - 1, 0)
-                        found = (float(model.shares[step]), model.ids[best].tolist())
-                    else:
-                        found = (model.without, [])
-                    if len(seen) >= 20_000:
-                        seen.clear()
-                    seen[key] = found
-                scores.append(found[0])
-                proof.append(found[1])
+            for i in range(len(texts)):
+                if i % AT_ONCE == 0:
+                    some = slice(bounds[i], bounds[min(i + AT_ONCE, len(texts))])
+                    common = [common_products(x.index, document[some] - i, term[some], values[some],
+                                              min(AT_ONCE, len(texts) - i)) for x in parts]
+                mine, leave = slice(bounds[i], bounds[i + 1]), place.get(ids[i], -1)
+                best, cosines, floor = np.empty(0, np.int64), np.empty(0), 0.0
+                for part, first, products in zip(parts, firsts, common, strict=False):
+                    inside = first <= leave < first + part.index.examples
+                    more, theirs = search(part.index, term[mine], values[mine], products[i % AT_ONCE], NEIGHBOURS,
+                                          leave - first if inside else -1, floor)
+                    best, cosines = np.append(best, more + first), np.append(cosines, theirs)
+                    top = np.lexsort((best, -np.round(cosines, 12)))[:NEIGHBOURS]
+                    best, cosines = best[top], cosines[top]
+                    floor = cosines[-1] - _SLACK if len(best) >= NEIGHBOURS else 0.0
+                share = vote(labels[best], cosines) if len(best) else None
+                if calibrated:
+                    step = len(best) and max(int(np.searchsorted(steps, share, "right")) - 1, 0)
+                    share = float(shares[step]) if len(best) else without
+                scores.append(share)
+                proof.append(all_ids[best].tolist())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array(scores, pa.float64()),
                  pa.array(proof, pa.list_(pa.int64()))], [*kept, "score", "evidence"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept]
-    return docs.mapInArrow(judge, ", ".join([*fields, "score double", "evidence array<bigint>"]))
+    return docs.mapInArrow(scan, ", ".join([*fields, "score double", "evidence array<bigint>"]))
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` without text, with ``score`` and ``evidence``, the ids of the voting examples; these replace their names."""
+    return judge(docs.drop("score", "evidence"), model)
