@@ -9,7 +9,7 @@ import brute
 import numpy as np
 import samples
 
-from vitrine.llm import toxicity
+from vitrine.llm import decontaminate, toxicity
 
 
 def toxic_terms(text):
@@ -53,3 +53,27 @@ def test_evidence_is_that_of_full_cosines(spark, monkeypatch):
         expected = np.lexsort((np.arange(n), -np.round(cosines, 12)))[:toxicity.NEIGHBOURS]
         assert found[i] == [int(ids[e]) for e in expected if cosines[e] > 0]
     assert set(found[90][:3]) == {3, 40, 77}
+
+
+def test_long_texts_are_searched_in_shards(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SHARD", 40)
+    rng = random.Random(2)
+    words = ["one", "two", "three", "four"]
+    items = [(1, " ".join(words * 3)), (None, "two two one"), (2, "four two"), (3, " ".join(rng.choices(words, k=14)))]
+    rows = [(i, " ".join(rng.choices(words, k=n))) for i, n in enumerate((500, 39, 40, 41, 3))] + [(9, items[3][1] * 9)]
+    assert len(decontaminate.windows_of([(str(i), t) for i, t in items], 10).lengths) > 3
+    found = decontaminate.overlaps(samples.frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    ours = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in found.collect()}
+    named = [("~" if i is None else i, t) for i, t in items]  # sorts behind digits
+    for i, n, hit, ids in brute.overlaps(rows, named, 10):
+        assert ours[i] == (n, hit, [None if x == "~" else x for x in ids])
+
+
+def test_text_longer_than_one_index():
+    n = decontaminate.MOST + 100
+    known = decontaminate.windows_of([("a", " ".join("abcdefghij"))], 10)
+    data = np.full(2 * n, ord(" "), np.uint8)
+    data[::2] = np.frombuffer(b"a", np.uint8)
+    data[2 * (n - 60):2 * (n - 50):2] = np.frombuffer(b"abcdefghij", np.uint8)
+    hits = decontaminate.find_hits(decontaminate.Texts(data, np.array([0, 2 * n])), known)
+    assert [s[:2] for s in hits.spans[0]] == [(n - 60, n - 50)] and hits.pairs.tolist() == [[0, 0]]

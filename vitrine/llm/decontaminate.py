@@ -9,12 +9,14 @@ one pass over the documents for each block, so what is broadcast is bounded
 whatever the benchmark's size. In a task, words that no window of the block holds
 break a document into stretches; stretches too short for any window are left
 out, and over the rest an FM-index is built: suffix array, Burrows-Wheeler
-transform, wavelet tree. Windows are searched backwards through its ranks, all at
+transform, wavelet tree. What is too long for one index is cut into shards; pieces
+of one stretch overlap by a window less one word. Windows are searched backwards through its ranks, all at
 once; occurrences are located by walking to the next sampled suffix position;
 overlapping occurrences merge into spans. Nothing is shuffled.
 
 Null or empty text: no words, no hits. Repeated rows: one result each. Items with
-equal windows are all reported. An empty benchmark hits nothing.
+equal windows are all reported. Null item ids count as one item, listed
+last. An empty benchmark hits nothing.
 """
 
 from __future__ import annotations
@@ -36,13 +38,15 @@ from vitrine.llm.arrays import (
     text_bytes,
     word_hashes,
 )
-from vitrine.llm.suffixes import suffix_array
+from vitrine.llm.suffixes import MOST, suffix_array
 
 WINDOW = 10
 #: Benchmark text to a pass.
 BLOCK_BYTES = 8 << 20
 #: Every so many text places keep their suffix position.
 SAMPLED = 8
+#: Symbols of an index, the breaks behind stretches among them; its end symbol comes on top.
+SHARD = MOST - 1
 _END, _BREAK = 0, 1  # symbols below those of words
 
 
@@ -145,6 +149,39 @@ class Hits(NamedTuple):
     pairs: np.ndarray
 
 
+def shards_of(start: np.ndarray, stop: np.ndarray, window: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Stretches in runs that fit an index; longer ones are cut into pieces that overlap by ``window`` - 1 words."""
+    step = max(SHARD - 1 - window, 1)  # at most so many places of a stretch begin a window in one piece
+    pieces = np.maximum(-(-(stop - start - window + 1) // step), 1)
+    nth = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    begin = np.repeat(start, pieces) + nth * step
+    end = np.minimum(begin + step + window - 1, np.repeat(stop, pieces))
+    filled = np.cumsum(end - begin + 1)  # with the break behind each
+    low = 0
+    while low < len(begin):
+        before = filled[low - 1] if low else 0
+        high = max(int(np.searchsorted(filled, before + SHARD, "right")), low + 1)
+        yield begin[low:high], end[low:high]
+        low = high
+
+
+def search_stretches(at: np.ndarray, stretches: tuple[np.ndarray, np.ndarray],
+                     known: Windows) -> tuple[np.ndarray, np.ndarray]:
+    """First word and number of every window in stretches of known words; ``at`` numbers the words."""
+    start, stop = stretches
+    sizes = stop - start + 1  # with the break behind each
+    total = int(sizes.sum())
+    offset = np.cumsum(sizes) - sizes
+    word_at = np.repeat(start - offset, sizes) + np.arange(total)
+    sequence = np.append(at[np.minimum(word_at, len(at) - 1)] + 2, _END)
+    sequence[np.append(offset[1:], total) - 1] = _BREAK
+    index = FmIndex(sequence, len(known.vocabulary) + 1)
+    which, low, high = index.search(np.where(known.symbols >= 0, known.symbols + 2, -1))
+    times = high - low
+    places = np.repeat(low - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
+    return word_at[index.locate(places)], np.repeat(which, times)
+
+
 def find_hits(texts: Texts, known: Windows) -> Hits:
     words = find_words(texts, WORDS_FOLDED)
     hashes = word_hashes(texts, words, fold=True)
@@ -164,20 +201,10 @@ def find_hits(texts: Texts, known: Windows) -> Hits:
     empty = Hits(words.counts(), spans, np.empty((0, 2), np.int64))
     if not len(start):
         return empty
-    sizes = stop - start + 1  # with the break behind each
-    total = int(sizes.sum())
-    offset = np.cumsum(sizes) - sizes
-    word_at = np.repeat(start - offset, sizes) + np.arange(total)
-    sequence = np.append(at[np.minimum(word_at, n - 1)] + 2, _END)
-    sequence[np.append(offset[1:], total) - 1] = _BREAK
-    index = FmIndex(sequence, len(known.vocabulary) + 1)
-    which, low, high = index.search(np.where(known.symbols >= 0, known.symbols + 2, -1))
-    if not len(which):
+    shards = [search_stretches(at, part, known) for part in shards_of(start, stop, known.symbols.shape[1])]
+    first, window = (np.concatenate(x) for x in zip(*shards, strict=True))
+    if not len(first):
         return empty
-    times = high - low
-    places = np.repeat(low - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
-    window = np.repeat(which, times)
-    first = word_at[index.locate(places)]
     document = words.document()
     hit = covered(first, first + known.lengths[window], n)
     # Spans end with their document: a hit run that goes on in the next one is cut at the edge.
@@ -252,7 +279,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in names), pa.array(hits.n_words, pa.int64()),
                      pa.array([sum(s[1] - s[0] for s in x) for x in spans], pa.int64()),
-                     pa.array([sorted(set(x)) for x in items], pa.list_(pa.string())),
+                     pa.array([sorted(set(x), key=lambda i: (i is None, i or "")) for x in items], pa.list_(pa.string())),
                      pa.array([[list(s) for s in x] for x in spans], SPANS)],
                     [*names, "n_words", "n_hit", "items", "spans"])
 
