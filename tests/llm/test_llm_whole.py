@@ -9,7 +9,7 @@ import brute
 import numpy as np
 import samples
 
-from vitrine.llm import decontaminate, toxicity
+from vitrine.llm import decontaminate, langid, toxicity
 
 
 def toxic_terms(text):
@@ -77,3 +77,16 @@ def test_text_longer_than_one_index():
     data[2 * (n - 60):2 * (n - 50):2] = np.frombuffer(b"abcdefghij", np.uint8)
     hits = decontaminate.find_hits(decontaminate.Texts(data, np.array([0, 2 * n])), known)
     assert [s[:2] for s in hits.spans[0]] == [(n - 60, n - 50)] and hits.pairs.tolist() == [[0, 0]]
+
+
+def test_more_languages_than_bits(spark):
+    def text(i):
+        rng = random.Random(i)
+        return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(12))
+
+    # The last label has only digits, so no n-grams, and is the most frequent.
+    learned = [(i, text(i % 130), f"l{i % 130:03}") for i in range(390)] + [(1000 + i, "1 2 3", "digits") for i in range(9)]
+    filters = langid.fit(spark.createDataFrame(learned, "doc_id long, text string, lang string"))
+    assert filters.languages == [f"l{i:03}" for i in range(130)] and filters.slots.shape == (langid.SLOTS, 3)
+    found = langid.predict(samples.frame(spark, [(i, text(i)) for i in range(130)]), filters).collect()
+    assert {(r["doc_id"], r["lang_pred"]) for r in found} == {(i, f"l{i:03}") for i in range(130)}

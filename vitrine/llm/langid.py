@@ -4,7 +4,8 @@ Learning counts the n-grams of about ``per_language`` documents of each language
 in the tasks, and keeps the ``grams`` most frequent of each
 language that are not far more usual in another. They go into one table of
 slots: bit l of a slot stands for language l, so reading the slots of an n-gram
-and joining them by AND gives all languages holding it at once.
+and joining them by AND gives all languages holding it at once. Beyond 64
+languages a slot has several words.
 
 For a text, the n-grams of every language are counted. Of n n-grams a language
 with a false-positive rate f gets n * f by chance; the rest, over 1 - f, is its
@@ -38,14 +39,13 @@ PER_LANGUAGE, GRAMS, SLOTS = 2000, 8192, 1 << 18
 #: A language keeps an n-gram if its share there is at least this part of its share anywhere.
 USUAL = 0.2
 HASHES = 2
-MOST_LANGUAGES = 64
 
 _LETTERS = np.array([b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 32
                      for b in range(256)], np.uint8)
 
 
 class Filters(NamedTuple):
-    """Slot table, languages in order, and each language's false-positive rate."""
+    """Table of slots (by words, if a word has no room), languages in order, and each language's false-positive rate."""
 
     slots: np.ndarray
     languages: list[str]
@@ -106,31 +106,38 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, grams: int = GRAMS, s
     top = Window.partitionBy("lang").orderBy(F.desc("uses"), "gram")
     kept = (usual.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= grams)
             .select("lang", "gram").toPandas())
-    frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).toPandas()
-    languages = [x for x in frequent["lang"] if (kept["lang"] == x).any()]
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; a slot has bits for {MOST_LANGUAGES}")
-    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if len(languages) <= np.iinfo(k).bits)
-    table, rates = np.zeros(slots, kind), []
-    for bit, language in enumerate(languages):
-        for at in slot_numbers(kept.loc[kept["lang"] == language, "gram"].to_numpy(), slots):
-            table[at] |= kind(1 << bit)
-        rates.append((((table >> kind(bit)) & kind(1)).mean()) ** HASHES)
-    return Filters(table, languages, np.array(rates))
+    # One row per language.
+    frequent = sizes.orderBy(F.desc("n"), "lang").toPandas()
+    learned = dict(tuple(kept.groupby("lang")["gram"]))
+    languages = [x for x in frequent["lang"] if x in learned]
+    kind = next((k for k in (np.uint8, np.uint16, np.uint32) if len(languages) <= np.iinfo(k).bits), np.uint64)
+    bits = np.iinfo(kind).bits
+    words, rates = max(1, -(-len(languages) // bits)), []
+    table = np.zeros((slots, words), kind)
+    for number, language in enumerate(languages):
+        word, bit = divmod(number, bits)
+        for at in slot_numbers(learned[language].to_numpy(), slots):
+            table[at, word] |= kind(1 << bit)
+        rates.append((((table[:, word] >> kind(bit)) & kind(1)).mean()) ** HASHES)
+    return Filters(table[:, 0] if words == 1 else table, languages, np.array(rates))
 
 
 def evidence(texts: Texts, filters: Filters) -> np.ndarray:
     """Documents by languages: n-grams found beyond chance, as a part of all n-grams."""
     codes, document = n_grams(texts)
-    first, *more = slot_numbers(codes, len(filters.slots))
-    masks = filters.slots[first]
-    for at in more:
-        masks &= filters.slots[at]
     total = np.bincount(document, minlength=len(texts))
     out = np.zeros((len(texts), len(filters.languages)))
-    for bit, rate in enumerate(filters.false_rate):
+    table = filters.slots.reshape(len(filters.slots), -1)
+    bits = table.dtype.itemsize * 8
+    first, *more = slot_numbers(codes, len(table))
+    for number, rate in enumerate(filters.false_rate):
+        word, bit = divmod(number, bits)
+        if bit == 0:
+            masks = table[first, word]
+            for at in more:
+                masks &= table[at, word]
         hits = np.bincount(document, (masks >> masks.dtype.type(bit)) & masks.dtype.type(1), len(texts))
-        out[:, bit] = np.maximum(hits - total * rate, 0) / (1 - rate) / np.maximum(total, 1)
+        out[:, number] = np.maximum(hits - total * rate, 0) / (1 - rate) / np.maximum(total, 1)
     return out
 
 
@@ -138,7 +145,7 @@ def predict(docs: DataFrame, filters: Filters, keep_text: bool = False) -> DataF
     """``docs`` with ``lang_pred`` and ``score``, which replace columns of these names; ``text`` goes unless ``keep_text``."""
     docs = docs.drop("lang_pred", "score")
     kept = [c for c in docs.columns if keep_text or c != "text"]
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(filters))  # about 2 MB at most
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(filters))  # about 2 MB for every 64 languages
     lettered = "has_letter"
     while lettered in docs.columns:
         lettered += "_"
