@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm import (
+    alignment,
+    chat,
     decontaminate,
     langid,
     packing,
@@ -17,6 +19,7 @@ from vitrine.llm import (
     suffixdedup,
     tokens,
     toxicity,
+    vectorcodes,
     warc,
 )
 from vitrine.llm.registry import QUERIES, SQL, query, table
@@ -101,3 +104,33 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.kept_words(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_chat_format", sql.OP11)
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(
+        spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)],
+                              "conv_id bigint, turn bigint, role string, text string"))
+    made = chat.format_conversations(chat.chat_log(rows))
+    turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return (made.withColumns({"turns": chat.read_turns(F.col("formatted")),
+                              "answers": chat.loss_text(F.col("formatted"), F.col("loss"))})
+            .select("conv_id", F.size("turns").cast("long").alias("n_turns"),
+                    F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256"),
+                    F.length("answers").cast("long").alias("loss_chars"), F.sha2("answers", 256).alias("loss_sha256"),
+                    F.length("formatted").cast("long").alias("formatted_chars")))
+
+
+@query("op12_vector_codes", sql.OP12)
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vectorcodes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error",
+                        F.lit(vectorcodes.books_digest(books)).alias("codebooks_sha256"))
+
+
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")

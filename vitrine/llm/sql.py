@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from vitrine.llm.chat import Template
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP1 = """
@@ -89,3 +91,68 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM texts LEFT JOIN judged USING (doc_id)
 """
+
+
+def _escaped_length(column: str) -> str:
+    """Length of a text when a backslash has been put into every control string and before every backslash."""
+    counts = [f"(length({column}) - length(replace({column}, '{mark}', ''))) // {len(mark)}"
+              for mark in ["\\", *Template().controls()]]
+    return " + ".join([f"length({column})", *counts])
+
+
+_T = Template()
+_ANSWER_MARKS, _TURN_MARKS = len(_T.answer_open + _T.answer_close), len(_T.turn_open + _T.turn_role + _T.turn_close)
+OP11 = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+grouped AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = '{_T.trained}'), '') AS answers,
+         sum({_escaped_length("text")} + CASE WHEN role = '{_T.trained}' THEN {_ANSWER_MARKS}
+             ELSE {_TURN_MARKS} + {_escaped_length("role")} END) AS n
+  FROM turns GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(answers) AS BIGINT) AS loss_chars,
+       sha256(answers) AS loss_sha256, CAST(n AS BIGINT) AS formatted_chars
+FROM grouped
+"""
+
+
+def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    steps = [f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label, embedding AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+split AS MATERIALIZED (
+  SELECT r, vec_id, label, p, list_transform(v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})],
+         lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM kept, range({parts}) AS parts(p)),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, x FROM split WHERE r <= {entries})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+near{i} AS MATERIALIZED (
+  SELECT r, p, min_by(e, (far, e)) AS e, min(far) AS far FROM (
+    SELECT s.r, s.p, b.e, list_sum(list_transform(list_zip(s.x, b.x), lambda y: (y[1] - y[2]) * (y[1] - y[2]))) AS far
+    FROM split s JOIN book{i} b USING (p)) GROUP BY r, p)""")
+        if i < rounds:
+            steps.append(f"""
+sums{i} AS MATERIALIZED (
+  SELECT p, e, k, sum(x[k]) AS s, count(*) AS n
+  FROM split JOIN near{i} USING (r, p), LATERAL (SELECT unnest(range(1, len(x) + 1)) AS k) GROUP BY p, e, k),
+book{i + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(y, x) AS x FROM book{i} LEFT JOIN (
+    SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY k) AS y FROM sums{i} GROUP BY p, e) USING (p, e))""")
+    last = f"near{rounds}"
+    return "WITH" + ",".join(steps) + f""",
+coded AS (
+  SELECT vec_id, label, code, error FROM kept JOIN (
+    SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(far) AS BIGINT) AS error
+    FROM {last} GROUP BY r) USING (r)),
+digest AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS d FROM book{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, d AS codebooks_sha256
+FROM coded, digest
+"""
+
+
+OP12 = _vector_codes()
