@@ -24,6 +24,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -38,7 +39,7 @@ from vitrine.llm.tokens import pre_tokens
 #: Pairs looked up without a join.
 HEAD = 1 << 18
 #: Pre-tokens, windows and pairs a task remembers before it begins anew or hands them on.
-KEPT = 150_000
+KEPT = 300_000
 BLOCK_BYTES = 1 << 19
 _SPACE = "▁"
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
@@ -60,18 +61,18 @@ class Ragged(NamedTuple):
     @classmethod
     def of(cls, items: list) -> Ragged:
         sizes = np.fromiter(map(len, items), np.int64, len(items))
-        return cls(np.concatenate(items) if items else np.empty(0, np.int64), np.concatenate([[0], np.cumsum(sizes)]))
+        return cls(np.concatenate(items) if items else np.empty(0, np.int32), np.concatenate([[0], np.cumsum(sizes)]))
 
-    @classmethod
-    def of_texts(cls, items: list) -> Ragged:
-        """Each item being the pieces of one sequence."""
-        sizes = np.fromiter((sum(map(len, x)) for x in items), np.int64, len(items))
-        flat = [y for x in items for y in x]
-        return cls(np.concatenate(flat) if flat else np.empty(0, np.int32), np.concatenate([[0], np.cumsum(sizes)]))
+    def followed_by(self, other: Ragged) -> Ragged:
+        return Ragged(np.concatenate([self.flat, other.flat]), np.concatenate([self.bounds, self.bounds[-1] + other.bounds[1:]]))
 
     def sizes(self) -> np.ndarray:
         return np.diff(self.bounds)
 
+    def pieces(self) -> Iterator[bytes]:
+        raw, cuts = self.flat.tobytes(), (self.bounds * self.flat.itemsize).tolist()
+        return (raw[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True))
+
     def take(self, index: np.ndarray) -> Ragged:
         """The sequences at ``index`` in that order."""
         sizes = self.sizes()[index]
@@ -121,53 +122,64 @@ def byte_letters() -> dict[str, int]:
 
 
 class KnownTexts:
-    """Ids of pre-tokens, each encoded once in a task; None where a tokenizer gives other bytes."""
+    """Ids of pre-tokens, each encoded once in a task."""
 
     def __init__(self, tokenizers: Tokenizers):
         self._t = tokenizers
-        self._ids: dict[str, tuple[np.ndarray, np.ndarray] | None] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self._place: dict[str, int] = {}
+        self.sides = [Ragged.of([]), Ragged.of([])]
+        #: Which pre-tokens a tokenizer gives back as other bytes.
+        self.broken = np.empty(0, bool)
 
     def learn(self, chunks: set[str]) -> None:
-        if len(self._ids) > KEPT:
-            self._ids.clear()
-        new = list(chunks.difference(self._ids))
+        if len(self._place) > KEPT:
+            self._forget()
         # Encoded together they cost less. A chunk that ends in white space stands alone: it could join the next one.
         together, alone = [], []
-        for chunk in new:
+        for chunk in chunks.difference(self._place):
             (alone if chunk[-1:].isspace() or _SPACE in chunk else together).append(chunk)
-        groups = [together[i:i + 64] for i in range(0, len(together), 64)] + [[x] for x in alone]
+        groups = [together[i:i + 256] for i in range(0, len(together), 256)] + [[x] for x in alone]
+        new = [x for g in groups for x in g]
+        if not new:
+            return
         joined = ["".join(g) for g in groups]
-        for group, text, *ids in zip(groups, joined, self._t.encode_a(joined), self._t.encode_b(joined), strict=True):
-            ids = [np.array(x, np.int64) for x in ids]
-            whole = text.encode()
-            given = [b"".join(map(table.__getitem__, x.tolist()))
-                     for table, x in zip((self._t.bytes_a, self._t.bytes_b), ids, strict=True)]
-            if given[0] != whole or given[1] != whole:
-                self._ids.update(dict.fromkeys(group) if len(group) == 1 else self._one_by_one(group))
-                continue
-            stops = np.cumsum([len(x.encode()) for x in group])
-            cuts = [np.searchsorted(np.cumsum(sizes[x]), stops) + 1
-                    for sizes, x in zip(self._t.sizes, ids, strict=True)]
-            at_a = at_b = 0
-            for chunk, a, b in zip(group, *(c.tolist() for c in cuts), strict=True):
-                self._ids[chunk] = ids[0][at_a:a].astype(np.int32), ids[1][at_b:b].astype(np.int32)
-                at_a, at_b = a, b
-
-    def _one_by_one(self, group: list[str]) -> dict:
-        out = {}
-        for chunk, a, b in zip(group, self._t.encode_a(group), self._t.encode_b(group), strict=True):
-            same = all(b"".join(map(table.__getitem__, ids)) == chunk.encode()
-                       for table, ids in ((self._t.bytes_a, a), (self._t.bytes_b, b)))
-            out[chunk] = (np.array(a, np.int32), np.array(b, np.int32)) if same else None
-        return out
-
-    def ids(self, chunks: list[str]) -> tuple[list, list] | None:
-        """Ids of a text by its chunks; None if a tokenizer gives other bytes."""
-        found = list(map(self._ids.__getitem__, chunks))
-        if None in found:
-            return None
-        a, b = zip(*found, strict=True)
-        return a, b
+        stops = np.cumsum([len(x.encode()) for x in new])
+        broken = np.zeros(len(new), bool)
+        found = [Ragged.of([np.array(x, np.int32) for x in ids]) for ids in (self._t.encode_a(joined), self._t.encode_b(joined))]
+        raw = "".join(joined).encode()
+        if any(b"".join(map(table.__getitem__, x.flat.tolist())) != raw
+               for table, x in zip((self._t.bytes_a, self._t.bytes_b), found, strict=True)):
+            found, broken = self._one_by_one(new)
+            sides = found
+        else:
+            sides = [Ragged(x.flat, np.concatenate([[0], np.searchsorted(np.cumsum(sizes[x.flat]), stops) + 1]))
+                     for sizes, x in zip(self._t.sizes, found, strict=True)]
+        self._place.update(zip(new, range(len(self.broken), len(self.broken) + len(new)), strict=True))
+        self.broken = np.concatenate([self.broken, broken])
+        self.sides = [old.followed_by(x) for old, x in zip(self.sides, sides, strict=True)]
+
+    def _one_by_one(self, chunks: list[str]) -> tuple[list[Ragged], np.ndarray]:
+        """As the joined bytes differ: which of the chunks does it come from? These have no ids."""
+        found = [self._t.encode_a(chunks), self._t.encode_b(chunks)]
+        broken = [any(b"".join(map(table.__getitem__, ids)) != chunk.encode()
+                      for table, ids in ((self._t.bytes_a, a), (self._t.bytes_b, b)))
+                  for chunk, a, b in zip(chunks, *found, strict=True)]
+        return [Ragged.of([np.array([] if bad else ids, np.int32) for ids, bad in zip(side, broken, strict=True)])
+                for side in found], np.array(broken)
+
+    def ids(self, texts: list[list[str]]) -> tuple[Ragged, Ragged]:
+        """Ids of texts by their chunks, none for texts of which a tokenizer gives other bytes."""
+        places = np.array(list(map(self._place.__getitem__, chain.from_iterable(texts))), np.int64)
+        owner = np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)))
+        bad = np.zeros(len(texts), bool)
+        bad[owner[self.broken[places]]] = True
+        places, owner = places[~bad[owner]], owner[~bad[owner]]
+        first = np.searchsorted(owner, np.arange(len(texts) + 1))
+        taken = [side.take(places) for side in self.sides]
+        return tuple(Ragged(x.flat, x.bounds[first]) for x in taken)
 
 
 def split_text(text: str) -> list[str]:
@@ -179,42 +191,49 @@ def split_text(text: str) -> list[str]:
     return chunks
 
 
-class Window(NamedTuple):
-    groups: str
-    n_groups: int
-    pairs: np.ndarray
-
-
 class Aligner:
-    """Alignments of windows, remembered by their ids."""
+    """Alignments of windows, remembered by their ids: the text of the groups, their number, and the linked pairs."""
 
     def __init__(self, tokenizers: Tokenizers):
         self._t = tokenizers
-        self._known: dict[tuple[bytes, bytes], Window] = {}
-
-    def align(self, a: np.ndarray, b: np.ndarray) -> Window:
-        key = (a.tobytes(), b.tobytes())
-        if (found := self._known.get(key)) is None:
-            if len(self._known) > KEPT:
-                self._known.clear()
-            found = self._known[key] = self._links(a, b)
-        return found
-
-    def _links(self, a: np.ndarray, b: np.ndarray) -> Window:
+        self._forget()
+
+    def _forget(self) -> None:
+        self._place: dict[tuple[bytes, bytes], int] = {}
+        self.names: list[str] = []
+        self.groups = np.empty(0, np.int64)
+        self.pairs = Ragged.of([])
+
+    def align(self, a: Ragged, b: Ragged) -> np.ndarray:
+        """Places of the windows' alignments; window i has the ids ``a`` i and ``b`` i. Unknown ones are aligned together."""
+        if len(self.names) > KEPT:
+            self._forget()
+        keys = list(zip(a.pieces(), b.pieces(), strict=True))
+        new = np.array([i for i, key in enumerate(keys) if key not in self._place], np.int64)
+        names, groups, pairs = self._links(a.take(new), b.take(new))
+        self._place.update(zip(map(keys.__getitem__, new.tolist()), range(len(self.names), len(self.names) + len(new)), strict=True))
+        self.names += names
+        self.groups, self.pairs = np.concatenate([self.groups, groups]), self.pairs.followed_by(pairs)
+        return np.fromiter(map(self._place.__getitem__, keys), np.int64, len(keys))
+
+    def _links(self, a: Ragged, b: Ragged) -> tuple[list[str], np.ndarray, Ragged]:
         """Tokens that share bytes, and the groups between common ends."""
-        stop_a, stop_b = np.cumsum(self._t.sizes[0][a]), np.cumsum(self._t.sizes[1][b])
-        # Tokens of B that overlap token i of A: from the first that ends behind its begin to the first that reaches its end.
-        first = np.searchsorted(stop_b, np.concatenate([[0], stop_a[:-1]]), "right")
-        last = np.searchsorted(stop_b, stop_a, "left") + 1
-        links = Ragged(np.empty(0), np.concatenate([[0], np.cumsum(last - first)]))
-        other = np.arange(links.bounds[-1]) + np.repeat(first - links.bounds[:-1], links.sizes())
-        pairs = np.repeat(a, links.sizes()).astype(np.int64) * len(self._t.bytes_b) + b[other]
-        ends = np.intersect1d(stop_a, stop_b)
-        cut_a, cut_b = np.searchsorted(stop_a, ends) + 1, np.searchsorted(stop_b, ends) + 1
-        ids_a, ids_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        text = ";".join(",".join(ids_a[i:j]) + "|" + ",".join(ids_b[k:m]) for i, j, k, m in zip(
-            [0, *cut_a[:-1].tolist()], cut_a.tolist(), [0, *cut_b[:-1].tolist()], cut_b.tolist(), strict=True))
-        return Window(text, len(ends), pairs)
+        stop_a, stop_b = np.cumsum(self._t.sizes[0][a.flat]), np.cumsum(self._t.sizes[1][b.flat])
+        # Tokens of B that overlap one of A: from the first that ends behind its begin to the first that reaches its end.
+        first = np.searchsorted(stop_b, stop_a - self._t.sizes[0][a.flat], "right")
+        many = np.searchsorted(stop_b, stop_a) + 1 - first
+        bounds = np.concatenate([[0], np.cumsum(many)])
+        other = np.arange(bounds[-1]) + np.repeat(first - bounds[:-1], many)
+        pairs = np.repeat(a.flat, many).astype(np.int64) * len(self._t.bytes_b) + b.flat[other]
+        _, at_a, at_b = np.intersect1d(stop_a, stop_b, assume_unique=True, return_indices=True)
+        cut_a, cut_b = [0, *(at_a + 1).tolist()], [0, *(at_b + 1).tolist()]
+        ids_a, ids_b = list(map(str, a.flat.tolist())), list(map(str, b.flat.tolist()))
+        names = [f"{','.join(ids_a[i:j])}|{','.join(ids_b[k:m])}" for i, j, k, m in
+                 zip(cut_a[:-1], cut_a[1:], cut_b[:-1], cut_b[1:], strict=True)]
+        # A window's ends are common ends, so its groups and links lie side by side.
+        groups = np.searchsorted(cut_a, a.bounds)
+        whole = [";".join(names[i:j]) for i, j in zip(groups[:-1].tolist(), groups[1:].tolist(), strict=True)]
+        return whole, np.diff(groups), Ragged(pairs, bounds[a.bounds])
 
 
 def find_windows(a: Ragged, b: Ragged, tokenizers: Tokenizers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -262,13 +281,12 @@ def align_block(texts: list[str], known: KnownTexts, aligner: Aligner, tokenizer
     """Fields of the texts of a block, their distinct pairs in order, and how often each text links them."""
     chunks = [split_text(x) if x else [] for x in texts]
     known.learn(set().union(*chunks))
-    ids = [known.ids(x) if x else None for x in chunks]
-    a, b = (Ragged.of_texts([x[side] if x else () for x in ids]) for side in (0, 1))
+    a, b = known.ids(chunks)
     cut_a, cut_b, begin = find_windows(a, b, tokenizers)
     first, kind = distinct_windows(a, b, cut_a, cut_b)
-    kinds = [aligner.align(a.flat[cut_a[i]:cut_a[i + 1]], b.flat[cut_b[i]:cut_b[i + 1]]) for i in first.tolist()]
+    at = aligner.align(Ragged(a.flat, cut_a).take(first), Ragged(b.flat, cut_b).take(first))
 
-    names = [w.groups for w in kinds]
+    names = [aligner.names[i] for i in at.tolist()]
     groups = []
     for i, j in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
         whole = ";".join(map(names.__getitem__, kind[i:j].tolist()))
@@ -276,10 +294,10 @@ def align_block(texts: list[str], known: KnownTexts, aligner: Aligner, tokenizer
 
     # What a text links: its distinct windows with their uses, then the pairs of these.
     text = np.repeat(np.arange(len(texts)), np.diff(begin))
-    n_groups = np.bincount(text, np.array([w.n_groups for w in kinds], np.float64)[kind], len(texts))
-    both, uses = np.unique(text * max(1, len(kinds)) + kind, return_counts=True)
-    text, kind = np.divmod(both, max(1, len(kinds)))
-    links = Ragged.of([w.pairs for w in kinds])
+    n_groups = np.bincount(text, aligner.groups[at].astype(np.float64)[kind], len(texts))
+    both, uses = np.unique(text * max(1, len(at)) + kind, return_counts=True)
+    text, kind = np.divmod(both, max(1, len(at)))
+    links = aligner.pairs.take(at)
     pairs, place = np.unique(links.flat, return_inverse=True)
     used = Ragged(place, links.bounds).take(kind)
     both, uses = merged([(np.repeat(text, used.sizes()) * max(1, len(pairs)) + used.flat, np.repeat(uses, used.sizes()))])
