@@ -8,6 +8,8 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
@@ -38,6 +40,9 @@ SEARCH_SPACE = {
 N_TRIALS = 20
 # ------------------------------------------------------------------------------
 
+#: What a bad draw can cause. Errors of the program itself are none of these and end a search.
+TRIAL_ERRORS = (PySparkException, Py4JError, ValueError, ArithmeticError)
+
 _erf = np.vectorize(math.erf, otypes=[np.float64])
 
 ACTIVATIONS = {
@@ -211,7 +216,7 @@ def search(train: DataFrame, val: DataFrame, fit, params: list[dict], label: str
             scored = fit(train, chosen).transform(as_ml_vector(val))
             value = evaluator.evaluate(scored.withColumn("prediction", F.col("prediction").cast("int")))
             state = "COMPLETE"
-        except Exception as error:  # one bad draw must not end the search
+        except TRIAL_ERRORS as error:  # one bad draw must not end the search
             value, state = float("-inf"), f"FAIL: {type(error).__name__}"
         trials.append((number, {k: str(v) for k, v in chosen.items()}, float(value), state))
     return spark.createDataFrame(trials, "trial int, params map<string,string>, value double, state string")

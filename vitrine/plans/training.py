@@ -7,16 +7,18 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.ml import Model
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.operators.evaluation import accuracy_and_macro_f1
-from vitrine.operators.labels import class_index, encode_labels, index_to_label, stratified_split
-from vitrine.operators.model import model_probabilities, sample_params, search, train_logistic
+from vitrine.operators.evaluation import accuracy_and_macro_f1, loss_accuracy_and_f1
+from vitrine.operators.labels import class_index, class_weights, encode_labels, index_to_label, stratified_split
+from vitrine.operators.model import DEFAULT_PARAMS, model_probabilities, sample_params, search, train_logistic
 from vitrine.operators.quality import training_needed
 from vitrine.operators.registry import promote
 from vitrine.operators.runs import append_row, newest_run, trial_summary
+from vitrine.operators.stepwise import search_in_steps, store_split, train_in_steps
 from vitrine.operators.vectors import as_ml_vector, with_fused
 from vitrine.plans.ingest import Store
 from vitrine.plans.reports import cumulative_stats
@@ -61,24 +63,60 @@ def data_statistics(frame: DataFrame) -> DataFrame:
         F.count_if(F.col("split") == "val").alias("data_nb_val"))
 
 
-def tune(store: Store, frame: DataFrame, fit: Callable[[DataFrame, dict], Model],
-         params: list[dict] | None = None) -> dict:
-    """Search parameters, keep the trials, return the best ones; an error when every trial failed."""
+def tune(store: Store, frame: DataFrame, fit: Callable[[DataFrame, dict], Model] | None = None,
+         params: list[dict] | None = None, parallelism: int = 4) -> dict:
+    """Search parameters, keep the trials, return the best ones; an error when every trial failed.
+
+    Without ``fit`` the trials are trained in steps, side by side, and their curves are kept too.
+    """
     train, val = split_parts(frame)
-    trials = search(train, val, fit, sample_params() if params is None else params)
-    trials.write.mode("append").parquet(store.path("trials"))
+    drawn = sample_params() if params is None else params
+    study = uuid.uuid4().hex
+    if fit is None:
+        trials, curves = search_in_steps(store_split(train, val, class_count(frame)), drawn, parallelism)
+        curves.withColumn("study", F.lit(study)).write.mode("append").parquet(store.path("trial_curves"))
+    else:
+        trials = search(train, val, fit, drawn)
+    trials.withColumn("study", F.lit(study)).write.mode("append").parquet(store.path("trials"))
     best = trial_summary(trials.where(F.col("value") > float("-inf"))).first()
     if not best["n_trials_completed"]:
         raise RuntimeError("no trial completed")
-    return dict(best["best_params"])
+    return drawn[best["best_trial"]]
+
 
+def class_count(frame: DataFrame) -> int:
+    """Classes a head needs for the labels of a training frame."""
+    return frame.agg(F.max("label")).first()[0] + 1
 
-def train_and_register(store: Store, fit: Callable[[DataFrame], Model] = train_logistic, params: dict | None = None,
-                       git_sha: str | None = None, data_run_id: str | None = None) -> dict:
+
+def measured_curve(model: Model, frame: DataFrame, measures: dict) -> list[dict]:
+    """Curve of a head that was fitted in one go: its losses, and the validation measures at its end."""
+    losses = []
+    if getattr(model, "hasSummary", False):
+        summary = model.summary
+        losses = list((summary() if callable(summary) else summary).objectiveHistory)
+    train, val = split_parts(frame)
+    known = {r["label"]: r["weight"] for r in class_weights(train, "label").collect()}
+    scored = model.transform(as_ml_vector(val)).select("label", F.col("prediction").cast("int").alias("prediction"),
+                                                       vector_to_array("rawPrediction").alias("logits"))
+    outputs = scored.select(F.size("logits")).first()[0]
+    loss = loss_accuracy_and_f1(scored, F.lit([float(known.get(i, 0.0)) for i in range(outputs)])).first()["loss"]
+    rows = [{"epoch": i + 1, "train_loss": float(x), "val_loss": None, "val_acc": None, "val_f1_macro": None}
+            for i, x in enumerate(losses or [float("nan")])]
+    rows[-1] |= {"val_loss": loss, "val_acc": measures["accuracy"], "val_f1_macro": measures["macro_f1"]}
+    return rows
+
+
+def train_and_register(store: Store, fit: Callable[[DataFrame], Model] | None = None, params: dict | None = None,
+                       git_sha: str | None = None, data_run_id: str | None = None, trials: list[dict] | None = None,
+                       parallelism: int = 4) -> dict:
     """Train on the stored embeddings, keep the run, register and compare the model.
 
     Skipped when the production model was trained on the same data batch. The
-    batch is the newest one of the run log unless named.
+    batch is the newest one of the run log unless named. Without ``fit`` the head
+    is trained in steps with ``params``, and every step's measures are kept; with
+    ``trials`` (see ``sample_params``) these are searched first, on the same
+    rows, and the head is trained with the best of them.
     """
     spark = store.spark
     runs = store.read("runs")
@@ -93,10 +131,19 @@ def train_and_register(store: Store, fit: Callable[[DataFrame], Model] = train_l
     begin = datetime.now(timezone.utc).replace(tzinfo=None)
     run_id = uuid.uuid4().hex
     embeddings = store.embeddings.read()
-    # Written once: the fit reads its rows many times and must see the same ones.
+    # Written once: the fits read its rows many times and must see the same ones.
     training_frame(embeddings, store.categories.read()).write.parquet(store.path(f"training_data/{run_id}"))
     frame = spark.read.parquet(store.path(f"training_data/{run_id}"))
-    model, measures = train_and_measure(frame, fit)
+    if trials is not None:
+        params = {**(params or {}), **tune(store, frame, None, trials, parallelism)}
+    if fit is None:
+        params = {**DEFAULT_PARAMS, **(params or {})}
+        run = train_in_steps(store_split(*split_parts(frame), class_count(frame)), params)
+        model, curve = run.model, run.curve
+        measures = {"accuracy": run.best["val_acc"], "macro_f1": run.best["val_f1_macro"]}
+    else:
+        model, measures = train_and_measure(frame, fit)
+        curve = measured_curve(model, frame, measures)
     model.write().save(store.path(f"models/{run_id}"))
     # The model's own class map: codes that come later don't shift its indices.
     categories = store.categories.read()
@@ -107,13 +154,12 @@ def train_and_register(store: Store, fit: Callable[[DataFrame], Model] = train_l
     if stats:
         statistics |= {"data_total_products": str(stats["total_products"]),
                        "data_imbalance_ratio": str(stats["imbalance_ratio"])}
-    losses = list(model.summary.objectiveHistory) if getattr(model, "hasSummary", False) else []
-    if losses:
-        rows = [(run_id, epoch, float(loss), None, None, None) for epoch, loss in enumerate(losses)]
-        spark.createDataFrame(rows, EPOCH_METRICS).write.mode("append").parquet(store.path("epoch_metrics"))
+    spark.createDataFrame([{"run_id": run_id, **r} for r in curve], EPOCH_METRICS).write.mode("append").parquet(
+        store.path("epoch_metrics"))
     append_row(spark, store.path("training_runs"), {
         "run_id": run_id, "params": {k: str(v) for k, v in (params or {}).items()} | statistics,
-        "final_val_acc": measures["accuracy"], "final_val_f1_macro": measures["macro_f1"], "best_val_loss": None,
+        "final_val_acc": measures["accuracy"], "final_val_f1_macro": measures["macro_f1"],
+        "best_val_loss": min((r["val_loss"] for r in curve if r["val_loss"] is not None), default=None),
         "data_run_id": data_run_id, "git_sha": git_sha, "start_time": begin,
         "end_time": datetime.now(timezone.utc).replace(tzinfo=None)}, TRAINING_RUN)
 

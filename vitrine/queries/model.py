@@ -8,7 +8,7 @@ from vitrine.functions.common import class_map
 from vitrine.functions.scores import array_total, fuse, l2_normalise
 from vitrine.functions.text import with_input_text
 from vitrine.operators import evaluation, labels, vectors
-from vitrine.operators.model import head_logits, model_probabilities, random_head, search, train_logistic
+from vitrine.operators.model import head_logits, model_probabilities, random_head, train_logistic
 from vitrine.operators.tables import VersionedTable, upsert_counts, upsert_latest_wins
 from vitrine.plans import reports
 from vitrine.plans.scoring import label_lookup, rank_logits, rank_probabilities
@@ -336,14 +336,6 @@ def batch_embeddings(t: Tables):
         F.round(F.sqrt(array_total(F.transform(image, lambda x: x * x))), 4).alias("image_norm"))
 
 
-@query("search_trials")
-def search_trials(t: Tables):
-    """Two settings tried on the split vectors, scored by macro F1."""
-    train, val = split_parts(_stored_training_frame(t))
-    return search(train, val, lambda rows, p: train_logistic(rows, max_iter=5, reg=p["reg"]),
-                  [{"reg": 0.0}, {"reg": 0.1}])
-
-
 @query("head_scores")
 def head_scores(t: Tables):
     """Forward pass of an untrained head over all fused vectors."""
