@@ -62,7 +62,7 @@ _CURVE_NAMES = [part.split()[0] for part in CURVE.split(", ")]
 
 def hidden_sizes(params: dict, width: int) -> list[int]:
     """Layer sizes in proportion to the features."""
-    return [max(2, round(params[name] * min(width, FULL_WIDTH) / FULL_WIDTH)) for name in ("hidden_l1", "hidden_l2", "hidden_l3")]
+    return [max(2, round(float(params[name]) * min(width, FULL_WIDTH) / FULL_WIDTH)) for name in ("hidden_l1", "hidden_l2", "hidden_l3")]
 
 
 @dataclass(frozen=True)
@@ -107,14 +107,17 @@ def validation_measures(model: Model, split: StoredSplit) -> dict:
 
 
 def train_in_steps(split: StoredSplit, params: dict | None = None, step_iterations: int = STEP_ITERATIONS) -> StepRun:
-    """Train on stored rows until the iterations are used up or the loss has stopped falling."""
+    """Train on stored rows until the iterations are used up or the loss has stopped falling.
+
+    ``params`` are put over the usual ones; numbers may be text, as run histories keep them.
+    """
     chosen = {**DEFAULT_PARAMS, **(params or {})}
     learner = MultilayerPerceptronClassifier(
         layers=[split.width, *hidden_sizes(chosen, split.width), split.classes], featuresCol="vector", labelCol="label",
         solver="l-bfgs", blockSize=int(chosen.get("batch_size", 128)), seed=int(chosen["seed"]))
     shrink = 1 - float(chosen["learning_rate"]) * float(chosen["weight_decay"])
     run, lowest, waited, left = None, float("inf"), 0, int(chosen["epochs"])
-    while left > 0 and waited < chosen["patience_es"]:
+    while left > 0 and waited < float(chosen["patience_es"]):
         iterations = min(step_iterations, left)
         left -= iterations
         model = learner.setMaxIter(iterations).fit(split.train)
@@ -123,7 +126,7 @@ def train_in_steps(split: StoredSplit, params: dict | None = None, step_iteratio
         run.curve.append({"epoch": len(run.curve) + 1, **measures})
         if measures["val_f1_macro"] > run.best["val_f1_macro"]:
             run.model, run.best_epoch = model, len(run.curve)
-        improved = measures["val_loss"] < lowest - chosen["min_delta"]
+        improved = measures["val_loss"] < lowest - float(chosen["min_delta"])
         lowest, waited = (measures["val_loss"], 0) if improved else (lowest, waited + iterations)
         learner = learner.setInitialWeights(Vectors.dense(model.weights.toArray() * shrink ** iterations))
     if run is None:
