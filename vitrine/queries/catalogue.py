@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vitrine.functions.text import (
@@ -299,6 +300,22 @@ def raw_csv_round_trip(t: Tables):
         "productid", "prodtype", "product_designation", "product_description", "batch_id")
 
 
+@query("split_csv_round_trip", with_tables("raw") + """
+    SELECT productid::VARCHAR AS productid, prodtype, product_designation, product_description, 'b1' AS batch_id,
+           true AS in_order FROM raw""")
+def split_csv_round_trip(t: Tables):
+    """All products written in the order of their ids, read back in ranges as one batch with their places."""
+    path = fresh_dir(t.spark, "raw-csv")
+    (t.raw.select(*ops.RAW_COLUMNS).repartitionByRange("productid").sortWithinPartitions("productid")
+     .write.option("sep", ";").option("header", True).option("quote", '"').option("escape", '"').option("quoteAll", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    rows = read_raw_csv(t.spark, path, "b1", split=True)
+    number = F.col("productid").cast("long")
+    before = F.lag(number).over(Window.partitionBy("row_pos.file").orderBy("row_pos"))
+    return rows.select("productid", "prodtype", "product_designation", "product_description", "batch_id",
+                       F.coalesce(before < number, F.lit(True)).alias("in_order"))
+
+
 @query("processed_scan", with_tables("processed") + """
     SELECT productid, prdtypecode, prodtype, designation FROM processed WHERE batch_id = 'redelivery'""")
 def processed_scan(t: Tables):
