@@ -17,6 +17,7 @@ PROCESSED_COLUMNS = (
 IMAGE_NAME = "image_%d_product_%d.jpg"
 IMAGE_NAME_PATTERN = r"image_(\d+)_product_(\d+)\.jpg$"
 IMAGE_PREFIX = "images/"
+IMAGE_KEY = ["imageid", "productid"]
 
 
 def _typed(cast) -> dict[str, Column]:
@@ -70,7 +71,7 @@ def parse_image_listing(listing: DataFrame, path: str = "path") -> DataFrame:
     ).distinct()
 
 
-def check_images(df: DataFrame, image_keys: DataFrame) -> DataFrame:
+def check_images(df: DataFrame, image_keys: DataFrame, on: list[str] = IMAGE_KEY) -> DataFrame:
     """Add ``image_exists``: does the listing hold this product's image?
 
     ``image_keys`` are distinct, so the left join keeps one row per product. The
@@ -78,7 +79,7 @@ def check_images(df: DataFrame, image_keys: DataFrame) -> DataFrame:
     duplicates are gone.
     """
     marked = image_keys.withColumn("_found", F.lit(True))
-    return (df.join(marked, ["imageid", "productid"], "left")
+    return (df.join(marked, on, "left")
             .withColumn("image_exists", F.col("_found").isNotNull())
             .drop("_found"))
 
