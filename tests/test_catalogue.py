@@ -209,3 +209,33 @@ def test_class_map_first_wins(spark):
                                        "prdtypecode int, prodtype string, row_pos long")
     pairs = catalogue.new_category_pairs(batch_rows)
     assert {tuple(r) for r in category_map_first_wins(stored, pairs).collect()} == {("10", "Livres"), ("20", "Jeux")}
+
+
+def test_keyed_table_rewrites_touched_buckets_only(spark):
+    from pathlib import Path
+
+    from vitrine.operators.tables import KeyedTable
+    from vitrine.session import fresh_dir
+
+    root = fresh_dir(spark, "keyed").removeprefix("file:")
+    table = KeyedTable(spark, root, buckets=16)
+    rows = "product_id long, v string"
+    assert table.read() is None and table.upsert(spark.createDataFrame([], rows)) == {"replaced": 0, "new": 0, "buckets": 0}
+    assert table.upsert(spark.createDataFrame([(i, "a") for i in range(200)], rows))["new"] == 200
+
+    def files():
+        return {str(p): p.stat().st_mtime_ns for p in Path(root).rglob("*.parquet")}
+
+    before = files()
+    counts = table.upsert(spark.createDataFrame([(3, "b"), (500, "b"), (None, "n")], rows))
+    assert (counts["replaced"], counts["new"]) == (1, 2) and 1 <= counts["buckets"] <= 3
+    kept = {p for p, t in before.items() if files().get(p) == t}
+    touched = {p.split("bucket=")[1].split("/")[0] for p in set(before) - kept}
+    assert len(touched) <= 3 and len({p.split("bucket=")[1].split("/")[0] for p in kept}) >= 13
+    found = {r.product_id: r.v for r in table.read().collect()}
+    assert len(found) == 202 and found[3] == "b" and found[4] == "a" and found[None] == "n"
+    # Repeated, as after a failure: nothing is new and the table is the same.
+    again = table.upsert(spark.createDataFrame([(3, "b"), (500, "b"), (None, "n")], rows))
+    assert (again["replaced"], again["new"]) == (3, 0) and table.read().count() == 202
+    with pytest.raises(ValueError, match="buckets"):
+        KeyedTable(spark, root, buckets=8).read()

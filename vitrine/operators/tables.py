@@ -1,8 +1,8 @@
-"""Keyed writes: insert-ignore, latest-wins upsert, first-wins map, versioned tables."""
+"""Keyed writes: insert-ignore, latest-wins upsert, first-wins map, bucketed and versioned tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
@@ -79,15 +79,15 @@ def append_new_rows(batch: DataFrame, path: str, batch_id: str, order: str = "ro
 
     The table is partitioned by ``batch_id`` and the key holds it, so only this
     batch's partition is read for the comparison. A replayed batch adds nothing.
+    The rows are counted as they are written.
     """
-    spark = batch.sparkSession
-    stored = read_if_there(spark, path)
-    before = batch_rows(spark, path, batch_id)
+    stored = read_if_there(batch.sparkSession, path)
     if stored is not None:
         stored = stored.where(F.col("batch_id") == batch_id)
-    fresh = rows_to_insert(batch, stored, ROW_KEY, order).drop(order)
+    written = Observation()
+    fresh = rows_to_insert(batch, stored, ROW_KEY, order).drop(order).observe(written, F.count(F.lit(1)).alias("rows"))
     fresh.write.mode("append").partitionBy("batch_id").parquet(path)
-    return batch_rows(spark, path, batch_id) - before
+    return written.get["rows"]
 
 
 def replace_batch(df: DataFrame, path: str) -> None:
@@ -96,6 +96,54 @@ def replace_batch(df: DataFrame, path: str) -> None:
      .partitionBy("batch_id").parquet(path))
 
 
+class KeyedTable:
+    """A keyed Parquet table in ``buckets`` folders by the hash of its key.
+
+    An upsert reads and rewrites only the buckets that its keys fall into; all other files stay as they are, and a
+    reader just reads. A failed upsert may leave some buckets done and others not: repeated, it ends in the same
+    table. One writer at a time. The number of buckets is part of the path and stays for the life of the table.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, key: str = "product_id", buckets: int = 64):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.path = f"{self.root}/buckets={buckets}"
+        self.key = key
+        self.buckets = buckets
+
+    def _bucketed(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("bucket", F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int"))
+
+    def _stored(self) -> DataFrame | None:
+        table = read_if_there(self.spark, self.path)
+        if table is None and read_if_there(self.spark, self.root) is not None:
+            raise ValueError(f"{self.root} has another number of buckets than {self.buckets}")
+        return table
+
+    def read(self) -> DataFrame | None:
+        table = self._stored()
+        return None if table is None else table.drop("bucket")
+
+    def upsert(self, batch: DataFrame) -> dict:
+        """Latest-wins upsert of ``batch``, whose keys are unique; counts of replaced and new rows and rewritten buckets."""
+        stored, fresh = self._stored(), self._bucketed(batch)
+        touched = [r[0] for r in fresh.select("bucket").distinct().collect()]  # at most ``buckets``
+        if not touched:
+            return {"replaced": 0, "new": 0, "buckets": 0}
+        arrived, after = Observation(), Observation()
+        rows, before = fresh.observe(arrived, F.count(F.lit(1)).alias("n")), 0
+        if stored is not None:
+            # A partition filter: no other bucket is listed, read or written. Rows are counted from the footers.
+            here = stored.where(F.col("bucket").isin(touched))
+            before = here.count()
+            keys = fresh.select(F.col(self.key).alias("_key"))
+            rows = here.join(keys, F.col(self.key).eqNullSafe(F.col("_key")), "left_anti").unionByName(rows)
+        (rows.observe(after, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path))
+        new = after.get["n"] - before
+        return {"replaced": arrived.get["n"] - new, "new": new, "buckets": len(touched)}
+
+
 class VersionedTable:
     """A keyed Parquet table that is never changed in place.
 

@@ -408,3 +408,23 @@ def dataset_manifest(t: Tables):
     return manifest(t.table("documents").select(
         F.col("source").alias("path"), file.alias("file"),
         F.octet_length(content).cast("bigint").alias("size"), F.md5(content).alias("md5")))
+
+
+@query("folder_manifest", """
+    WITH files AS (SELECT source AS path, lang AS folder, doc_id || '.txt' AS name, md5(text) AS d,
+                          octet_length(encode(text)) AS size FROM documents),
+    folders AS (
+        SELECT path, folder, sum(size) AS size, count(*) AS nfiles, md5(concat_ws('-',
+                   sum(('0x' || substr(h, 1, 8))::BIGINT)::VARCHAR, sum(('0x' || substr(h, 9, 8))::BIGINT)::VARCHAR,
+                   sum(('0x' || substr(h, 17, 8))::BIGINT)::VARCHAR, sum(('0x' || substr(h, 25, 8))::BIGINT)::VARCHAR)) AS d
+        FROM (SELECT *, md5(name || ':' || d) AS h FROM files) GROUP BY path, folder)
+    SELECT path, sum(size)::BIGINT AS size, sum(nfiles)::BIGINT AS nfiles, md5(concat_ws('-',
+               sum(('0x' || substr(h, 1, 8))::BIGINT)::VARCHAR, sum(('0x' || substr(h, 9, 8))::BIGINT)::VARCHAR,
+               sum(('0x' || substr(h, 17, 8))::BIGINT)::VARCHAR, sum(('0x' || substr(h, 25, 8))::BIGINT)::VARCHAR)) AS md5
+    FROM (SELECT *, md5(folder || ':' || d) AS h FROM folders) GROUP BY path""")
+def folder_manifest(t: Tables):
+    """Every document is a file in the folder of its language."""
+    content = F.col("text").cast("binary")
+    return manifest(t.table("documents").select(
+        F.col("source").alias("path"), F.concat("lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file"),
+        F.octet_length(content).cast("bigint").alias("size"), F.md5(content).alias("md5")))

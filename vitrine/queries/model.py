@@ -9,7 +9,7 @@ from vitrine.functions.scores import array_total, fuse, l2_normalise
 from vitrine.functions.text import with_input_text
 from vitrine.operators import evaluation, labels, vectors
 from vitrine.operators.model import head_logits, model_probabilities, random_head, train_logistic
-from vitrine.operators.tables import VersionedTable, upsert_counts, upsert_latest_wins
+from vitrine.operators.tables import KeyedTable, VersionedTable, upsert_counts, upsert_latest_wins
 from vitrine.plans import reports
 from vitrine.plans.scoring import label_lookup, rank_logits, rank_probabilities
 from vitrine.plans.training import data_statistics, split_parts, training_frame
@@ -43,6 +43,21 @@ def upsert_query(t: Tables):
         "product_id", "run_id", "prdtypecode", digits(F.col("embedding_text")).alias("text_digits"))
 
 
+@query("keyed_upsert", with_tables("emb", "emb_batch") + f"""
+    SELECT product_id, run_id, {digits_sql("embedding_image")} AS image_digits,
+           (SELECT count(*) FROM emb WHERE product_id IN (SELECT product_id FROM emb_batch)) AS replaced,
+           (SELECT count(*) FROM emb_batch WHERE product_id NOT IN (SELECT product_id FROM emb)) AS "new"
+    FROM (SELECT * FROM emb WHERE product_id NOT IN (SELECT product_id FROM emb_batch)
+          UNION ALL SELECT * FROM emb_batch)""")
+def keyed_upsert(t: Tables):
+    """All vectors stored in buckets, then the labelled ones changed, with the counts of that upsert."""
+    table = KeyedTable(t.spark, fresh_dir(t.spark, "embeddings"))
+    table.upsert(t.embeddings)
+    counts = table.upsert(t.embedding_batch)
+    return table.read().select("product_id", "run_id", digits(F.col("embedding_image")).alias("image_digits"),
+                               F.lit(counts["replaced"]).cast("long").alias("replaced"), F.lit(counts["new"]).cast("long").alias("new"))
+
+
 @query("versioned_upsert", with_tables("emb", "emb_batch") + f"""
     SELECT product_id, run_id, {digits_sql("embedding_image")} AS image_digits
     FROM (SELECT * FROM emb WHERE product_id NOT IN (SELECT product_id FROM emb_batch)

@@ -11,7 +11,7 @@ from vitrine.plans.scoring import save_predictions
 from vitrine.queries.adapters import Tables, with_tables
 from vitrine.queries.registry import query
 from vitrine.session import fresh_dir
-from vitrine.streaming.jobs import hourly_by_class, read_hourly_partials, start_hourly_partials
+from vitrine.streaming.jobs import hourly_by_class, read_hourly_partials, start_append_once, start_hourly_partials
 
 PARIS_SQL = "dt_predicted AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Paris'"
 
@@ -115,3 +115,16 @@ def hourly_stream(t: Tables):
     out = fresh_dir(t.spark, "hourly")
     start_hourly_partials(predictions, f"{out}/table", f"{out}/checkpoint").awaitTermination()
     return read_hourly_partials(t.spark, f"{out}/table").withColumn("avg_conf", F.round("avg_conf", 10))
+
+
+@query("events_appended_once", "SELECT event_id, user_id, event_type, 1 AS copies FROM events")
+def events_appended_once(t: Tables):
+    """All events arrive twice, the second time in a later micro-batch; each is stored once."""
+    root = fresh_dir(t.spark, "events")
+    rows = t.table("events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    for number in range(2):
+        rows.write.parquet(f"{root}/in/delivery={number}")
+        stream = t.spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+        start_append_once(stream.select(*rows.columns), f"{root}/out", f"{root}/check", ["event_id"], "ts").awaitTermination()
+    stored = t.spark.read.schema(rows.schema).parquet(f"{root}/out")
+    return stored.groupBy("event_id", "user_id", "event_type").agg(F.count("*").alias("copies"))
