@@ -17,7 +17,7 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 def main() -> None:
     spark = build_session(
         "bench", f"local[{CPUS}]", **{
-            "spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false",
+            "spark.sql.shuffle.partitions": CPUS, "spark.vitrine.textParallelism": CPUS, "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     # Start the JVM and the Python workers outside the clock.

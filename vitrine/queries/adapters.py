@@ -41,6 +41,12 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    @property
+    def parallelism(self) -> int | None:
+        """Tasks for the text queries, as the session asks for; none by default."""
+        asked = self.spark.conf.get("spark.vitrine.textParallelism", None)
+        return int(asked) if asked else None
+
     @cached_property
     def raw(self) -> DataFrame:
         return as_products(self.table("documents"))

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vitrine.functions.text import (
-    clean_text, ellipsis, first_filled, input_text, thousands, with_clean_columns, with_input_text,
+    clean_text, ellipsis, first_filled, input_text, spread, thousands, with_clean_columns, with_input_text,
 )
 from vitrine.operators import catalogue as ops
 from vitrine.operators.quality import embedding_guard, judge_batches, measure_batches
@@ -110,12 +110,13 @@ def similar_products(t: Tables):
     SELECT productid, {clean_sql("product_designation")} AS designation,
            {clean_sql("product_description")} AS description FROM raw""")
 def clean_documents(t: Tables):
-    return with_clean_columns(t.raw).select("productid", "designation", "description")
+    raw = t.raw.select("productid", "product_designation", "product_description")
+    return with_clean_columns(raw, parallelism=t.parallelism).select("productid", "designation", "description")
 
 
 @query("clean_pages", f"SELECT page_id, {clean_sql('html', entities=True)} AS cleaned FROM pages")
 def clean_pages(t: Tables):
-    return t.table("pages").select("page_id", clean_text(F.col("html")).alias("cleaned"))
+    return spread(t.table("pages").select("page_id", "html"), t.parallelism).select("page_id", clean_text(F.col("html")).alias("cleaned"))
 
 
 @query("clean_conversations", f"SELECT conv_id, turn, {clean_sql('text')} AS cleaned FROM conversations")
@@ -127,7 +128,8 @@ def clean_conversations(t: Tables):
     SELECT productid, trim({clean_sql("product_designation")} || ' ' || {clean_sql("product_description")})
         AS input_text FROM raw""")
 def input_text_query(t: Tables):
-    return with_input_text(t.raw).select("productid", "input_text")
+    raw = t.raw.select("productid", "product_designation", "product_description")
+    return with_input_text(raw, parallelism=t.parallelism).select("productid", "input_text")
 
 
 @query("input_text_requests", f"""

@@ -301,7 +301,8 @@ def weighted_loss(t: Tables):
 
 @query("text_embedding")
 def text_embedding(t: Tables):
-    embedded = vectors.hashed_text_vectors(with_input_text(t.raw))
+    embedded = vectors.hashed_text_vectors(with_input_text(
+        t.raw.select("productid", "product_designation", "product_description"), parallelism=t.parallelism))
     norm = F.sqrt(array_total(F.transform("embedding_text", lambda x: x.cast("double") * x)))
     return embedded.select("productid", F.size("embedding_text").alias("width"),
                            F.round(norm, 5).alias("norm"), "embedding_text")
@@ -342,7 +343,7 @@ def batch_embeddings(t: Tables):
         F.struct(F.lit("").alias("origin"), F.lit(1).alias("height"), pixels.alias("width"),
                  F.lit(3).alias("nChannels"), F.lit(16).alias("mode"), data.alias("data")).alias("image"))
     embedded = vectors.batch_embeddings(batch, pictures, designation="product_designation",
-                                        description="product_description")
+                                        description="product_description", parallelism=t.parallelism)
     image = F.transform("embedding_image", lambda x: x.cast("double"))
     return embedded.select(
         "product_id", "run_id", F.size("embedding_text").alias("text_width"), F.size("embedding_image").alias("image_width"),
