@@ -61,3 +61,39 @@ def test_no_pages(spark, tmp_path):
     path = str(tmp_path / "out")
     warc.write_pages(pages(spark).limit(0), path)
     assert warc.captures(warc.read_records(spark, path)).collect() == []
+
+
+def plain_archive(n=40):
+    return [warc.record([("WARC-Type", "resource"), ("WARC-Record-ID", f"<r{i}>")], bytes([97 + i % 26]) * (i * 997 % 7000)) for i in range(n)]
+
+
+def read(spark, folder, **files):
+    for name, data in files.items():
+        (folder / f"{name}.warc.gz").write_bytes(data)
+    return sorted(((r["type"], r["record_id"], r["payload_bytes"]) for r in warc.read_records(spark, str(folder)).collect()), key=str)
+
+
+def test_one_gzip_member_a_record(spark, tmp_path, monkeypatch):
+    records = plain_archive()
+    whole = sorted((("resource", f"<r{i}>", i * 997 % 7000) for i in range(40)), key=str)
+    end = b"\r\n\r\n"
+    members = b"".join(gzip.compress(r + end) for r in records)
+    single = gzip.compress(b"".join(r + end for r in records))
+    for i, data in enumerate((members, single, b"".join(r + end for r in records), gzip.compress(b"") + members)):
+        folder = tmp_path / str(i)
+        folder.mkdir()
+        assert read(spark, folder, a=data) == whole
+    monkeypatch.setattr(warc, "FED_BYTES", 7)
+    assert [h["warc-record-id"] for h, _ in warc.parse(warc.unpacked(members))] == [f"<r{i}>" for i in range(40)]
+
+
+def test_broken_archives_keep_what_is_before(spark, tmp_path):
+    end = b"\r\n\r\n"
+    members = b"".join(gzip.compress(r + end) for r in plain_archive(6))
+    wrong = warc.record([("WARC-Type", "response"), ("WARC-Record-ID", "<w>"), ("Content-Type", "application/http"),
+                         ("WARC-Payload-Digest", "sha1:AAAA")], b"HTTP/1.1 200 OK" + end + b"x")
+    found = read(spark, tmp_path, cut=members[:-20], foreign=b"GIF89a....", empty=b"", short=b"WARC/1.1\r\nWARC-Type: a\r\nContent-Length: 9\r\n\r\nx",
+                 bad=gzip.compress(wrong + end + plain_archive(1)[0] + end))
+    assert [f for f in found if f[0] == "broken"] == [("broken", "<w>", None)] + [("broken", None, None)] * 3
+    assert sum(f[0] == "resource" for f in found) == 5 + 1
+    assert warc.captures(warc.read_records(spark, str(tmp_path))).count() == 6

@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RECORDS_PER_FILE = 15_000
+#: Packed bytes that are unpacked together.
+FED_BYTES = 1 << 16
 DATE = "2000-01-01T00:00:00Z"
 _URL = re.compile(r"(?:[A-Za-z][\w+.-]*://([^/?#]*))?([^?#]*)(\?[^#]*)?")
 #: Every printable ASCII sign stays as it is in a header.
@@ -123,18 +125,67 @@ def write_pages(pages: DataFrame, path: str, least_revisit: int = 0, date: str =
      .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
 
 
-def parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names lowered) and block of every record of an unpacked archive."""
-    at = 0
-    while at < len(archive):
-        end = archive.index(b"\r\n\r\n", at)
-        version, *lines = archive[at:end].decode().split("\r\n")
-        if not version.startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
+class BrokenArchive(ValueError):
+    """An archive that ends too early or holds something else than records from here on."""
+
+
+def unpacked(packed: bytes) -> Iterator[bytes]:
+    """Contents of an archive in pieces: of all its gzip members, usually one a record, or as it is."""
+    view, at = memoryview(packed), 0
+    while at < len(view):
+        if view[at:at + 2] != b"\x1f\x8b":
+            yield bytes(view[at:])
+            return
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            if at >= len(view):
+                raise BrokenArchive("the last gzip member is cut off")
+            fed = view[at:at + FED_BYTES]
+            try:
+                piece = member.decompress(fed)
+            except zlib.error as error:
+                raise BrokenArchive(str(error)) from error
+            at += len(fed) - len(member.unused_data)
+            if piece:
+                yield piece
+
+
+def parse(archive: bytes | Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers (names lowered) and block of every record of an unpacked archive, of which one record is held at a time."""
+    held, at = bytearray(), 0
+    pieces = iter([archive] if isinstance(archive, bytes) else archive)
+
+    def have(n: int) -> bool:
+        nonlocal at
+        while len(held) - at < n:
+            piece = next(pieces, None)
+            if piece is None:
+                return False
+            del held[:at]
+            at = 0
+            held.extend(piece)
+        return True
+
+    while have(1):
+        # Line ends between records; some writers leave more or less than two.
+        if held[at] in b"\r\n":
+            at += 1
+            continue
+        sought = 0
+        while (end := held.find(b"\r\n\r\n", at + sought)) < 0:
+            sought = max(0, len(held) - at - 3)
+            if len(held) - at >= 5 and not held.startswith(b"WARC/", at) or not have(len(held) - at + 1):
+                raise BrokenArchive("no record where one should begin")
+        version, *lines = held[at:end].decode("utf-8", "replace").split("\r\n")
         headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
-        begin, size = end + 4, int(headers["content-length"])
-        yield headers, archive[begin:begin + size]
-        at = begin + size + 4
+        if not version.startswith("WARC/") or not headers.get("content-length", "").isdigit() or "warc-type" not in headers:
+            raise BrokenArchive("no record where one should begin")
+        at, size = end + 4, int(headers["content-length"])
+        if not have(size):
+            raise BrokenArchive("the last record is cut off")
+        block = bytes(held[at:at + size])
+        at += size
+        yield headers, block
 
 
 def _http_payload(block: bytes) -> tuple[dict[str, str], bytes]:
@@ -164,11 +215,29 @@ def _row_of(headers: dict[str, str], block: bytes, payload_too: bool) -> tuple:
             block if keep and payload is None else None, payload if keep else None)
 
 
+def _broken(error: Exception, record_id: str | None = None) -> tuple:
+    return (record_id, "broken", *[None] * 7, str(error).encode(), None)
+
+
 def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """One row per record; without ``payloads`` only their sizes and digests, checked against the headers."""
+    """One row per record; without ``payloads`` only their sizes and digests, checked against the headers.
+
+    What can't be read is a row of type ``broken`` with the reason as its block: a record whose payload hasn't the digest it
+    names, or the rest of an archive that is cut off or no archive. All records before it are kept.
+    """
     kinds = [pa.string()] * 8 + [pa.int64(), pa.binary(), pa.binary()]
     names = [c.split()[0] for c in RECORD.split(", ")]
 
+    def rows_of(packed: bytes) -> Iterator[tuple[tuple, int]]:
+        try:
+            for headers, block in parse(unpacked(packed)):
+                try:
+                    yield _row_of(headers, block, payloads), len(block)
+                except (ValueError, KeyError) as error:
+                    yield _broken(error, headers.get("warc-record-id")), 0
+        except BrokenArchive as error:
+            yield _broken(error), 0
+
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -176,11 +245,10 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
 
         for batch in batches:
             for content in batch.column("content"):
-                packed, rows, held = content.as_py(), [], 0
-                archive = zlib.decompress(packed, 47) if packed[:2] == b"\x1f\x8b" else packed
-                for headers, block in parse(archive):
-                    rows.append(_row_of(headers, block, payloads))
-                    held += len(block) * payloads + 500
+                rows, held = [], 0
+                for row, size in rows_of(content.as_py()):
+                    rows.append(row)
+                    held += size * payloads + 500
                     if held > 8 << 20:
                         yield out(rows)
                         rows, held = [], 0
