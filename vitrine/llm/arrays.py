@@ -5,6 +5,7 @@ All functions work on one block of documents (a few MB) inside a task.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -91,6 +92,7 @@ def text_bytes(column: pa.Array) -> Texts:
 def blocks(batches: Iterator[pa.RecordBatch], column: str = "text",
            most: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
     """Cut batches into runs of rows with about ``most`` bytes of text; a longer text is a run of its own."""
+    give_back()  # what the last task of this worker has left
     for batch in batches:
         texts = text_bytes(batch.column(column))
         begin = 0
@@ -102,6 +104,14 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text",
             begin = end
         # Workers live on; what Arrow held for a large batch goes back to the system.
         pa.default_memory_pool().release_unused()
+    give_back()
+
+
+def give_back() -> None:
+    """Memory that Python has freed goes back to the system where the C library can do that, as workers live on."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def byte_class(inside) -> np.ndarray:
