@@ -99,7 +99,8 @@ def fold_messages(events: DataFrame) -> DataFrame:
 def render(messages: DataFrame, template: Template = Template()) -> DataFrame:
     """``conv_id, formatted, loss`` from ``conv_id, place, role, text``; ``loss`` are ranges of code points."""
     trained = F.col("role") == template.trained
-    marked = (messages.withColumn("_inner", template.escape(F.col("text")))
+    # Texts travel once, as they are; what is made of them here is made where the window and the grouping want it.
+    marked = (messages.repartition("conv_id").withColumn("_inner", template.escape(F.col("text")))
               .select("conv_id", "place", "role", "text", template.segment(F.col("role"), F.col("_inner")).alias("segment"),
                       F.when(trained, F.length("_inner")).alias("size")))
     along = Window.partitionBy("conv_id").orderBy("place", "role", "text")
