@@ -68,11 +68,17 @@ def test_bloom_table_returns_all_languages():
 @pytest.mark.parametrize("leave", [-1, 17])
 def test_nearest_equals_full_search(leave):
     rng = np.random.default_rng(3)
-    counts = rng.poisson(0.1, (500, 60)).astype(float)
-    weights = toxicity.to_weights(counts, np.ones(60))
-    most = np.stack([weights[i:i + toxicity.BLOCK].max(0) for i in range(0, 500, toxicity.BLOCK)], 1)
+    counts = rng.poisson(rng.choice([0.02, 0.1, 0.5], 60), (500, 60))
+    weights = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0)
+    weights = weights / np.maximum(np.linalg.norm(weights, axis=1, keepdims=True), 1e-9)
+    parts = []
+    for some in (counts[:200], counts[200:200], counts[200:]):
+        example, term = np.nonzero(some)
+        parts.append((np.searchsorted(example, np.arange(len(some) + 1)), term, some[example, term]))
+    search = toxicity.Search(toxicity.index_of(parts, np.ones(60), (counts > 0).sum(0)))
     for row in weights[:50]:
-        best, scores = toxicity.nearest(weights, row, most, 15, leave)
+        used = np.flatnonzero(row)
+        best, scores = search.nearest(used, row[used], 15, leave)
         cosines = weights @ row
         if leave >= 0:
             cosines[leave] = 0
@@ -80,6 +86,7 @@ def test_nearest_equals_full_search(leave):
         expected = expected[cosines[expected] > 0]
         assert best.tolist() == expected.tolist()
         assert np.allclose(scores, cosines[expected])
+    assert search.skipped > 0
 
 
 def test_toxicity_of_awkward_rows(spark):

@@ -29,7 +29,7 @@ def test_evidence_is_that_of_full_cosines(spark, monkeypatch):
     docs = samples.frame(spark, rows + [(90, "Zlotrup " + samples.sentence(rng, 20))])
     labels = spark.createDataFrame(list(marks.items()), "doc_id long, toxic int")
     model = toxicity.fit(docs, labels)
-    ids = np.concatenate([toxicity.Examples(*x.value).ids for x in model.parts])
+    ids = toxicity.unpack(model.examples.value)[2]
     found = {r["doc_id"]: r["evidence"] for r in toxicity.score(docs, model).collect()}
 
     terms = {r["doc_id"]: toxic_terms(r["text"]) for r in docs.collect()}

@@ -4,30 +4,36 @@ Learning takes at most ``examples`` labelled rows, chosen by a hash of the id.
 Terms are all words and their beginnings of ``PREFIXES`` bytes, so that inflected
 and joined forms meet. A term weighs (1 + log tf) * idf, with document frequencies
 counted over all documents, times the root of 1 + chi-squared of its presence and
-the label, so that telling terms count more and none is left out.
+the label among the examples, so that telling terms count more and none is left out.
 
 Only terms of examples can add to a product, so those of the examples are kept.
 An example's length is over its whole vector. The length of the text that is
 judged divides all its cosines alike: it changes neither their order nor the
 weighted vote, and is left out.
 
-The examples lie in blocks of ``BLOCK``; an inverted index has, for every term
-and block where it occurs, the largest weight there and the postings. The product
-of a text's weights with these bounds every cosine in the block, so blocks are
-scored from the highest bound on until the bounds left are below the k-th best
-cosine. Terms common among the examples bound nothing: they have full rows, whose
-products with many texts are taken at once. The k nearest vote with their cosine as weight; votes become
-probabilities by isotonic regression over the examples, each judged by the others.
+The inverted index has two kinds of terms. Postings of rare ones are always read;
+they give each example the exact part of its product that rare terms make. Terms in
+more than ``COMMON`` of the examples have the largest weight in every block of
+``BLOCK`` examples instead, and a block's bound is the product of these with the
+text's weights; the lengths of text and example over common terms bound it too.
+Examples whose part and bound together are below the k-th best cosine are skipped,
+the others' common terms are read and their cosines are exact. The k nearest vote
+with their cosine as weight; votes become probabilities by isotonic regression over
+the examples, each judged by the others.
 
 Null or empty text, or no term of an example: the smoothed share of toxic ones
 among the examples without a term of chi-squared over ``CHI_SQUARED``. Equal
 cosines: the earlier example. No usable labels: score 0. Several labels of
-one id: the largest counts. Repeated documents are each scored.
+one id: the largest counts; several texts: the lowest. Repeated documents are each
+scored. A text longer than a block of ``arrays.blocks`` is a block of its own and
+counted whole. An empty table gives no rows; columns named as the results are replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+import pickle
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -45,69 +51,164 @@ from vitrine.llm.arrays import (
     byte_values,
     find_words,
     list_column,
-    word_hashes,
 )
 from vitrine.session import fresh_dir
 
-EXAMPLES, NEIGHBOURS, BLOCK = 16_000, 15, 1024
+EXAMPLES, NEIGHBOURS, BLOCK = 16_000, 15, 64
 PREFIXES = (4, 5, 6, 7, 8)
 #: A term goes with the label beyond chance; only texts without a term of an example are judged by it.
 CHI_SQUARED = 26.0
-#: Terms in more than this part of the examples have a full row of weights; texts whose products with these are taken at once.
-COMMON, AT_ONCE = 1 / 8, 64
+#: Terms in more than this part of the examples are common: bounded by blocks and read only where the bounds ask for it.
+COMMON = 1 / 4
 #: Parts in which the examples pass through the driver.
 PARTS = 4
+#: Texts whose result a task remembers, as copies come often.
+REMEMBERED = 4096
 #: Sums in another order differ by less than this.
 _SLACK = 1e-9
 
 
 class Index(NamedTuple):
-    """Inverted index: entries (term, block) with their largest weight, and the postings of each entry.
+    """Postings by rare term and, for common terms, by example; uses instead of weights, which follow from them.
 
-    Common terms have rows of weights instead, one weight for every example.
+    An example's weight of a term is (1 + log uses) * factor / norm.
     """
 
-    examples: int
-    row: np.ndarray  # by term; -1 without one
-    rows: np.ndarray
-    entry_bounds: np.ndarray  # by term
-    block: np.ndarray  # by entry, as the two below
-    most: np.ndarray
-    posting_bounds: np.ndarray
+    bounds: np.ndarray  # of the postings, by term; a common term has none
     example: np.ndarray  # by posting, as the one below
-    weight: np.ndarray
-
-
-class Examples(NamedTuple):
-    """A part of the examples: index, labels and ids."""
+    uses: np.ndarray
+    common: np.ndarray  # by term: its number among the common ones, or -1
+    row_bounds: np.ndarray  # of the common terms, by example
+    row_common: np.ndarray  # their numbers, as the one below
+    row_uses: np.ndarray
+    factors: np.ndarray  # by term
+    norms: np.ndarray  # by example
+
+
+class Search:
+    """An index with its block maxima, which are made where it is used."""
+
+    def __init__(self, index: Index):
+        self._index = index
+        most = max((int(x.max()) for x in (index.uses, index.row_uses) if len(x)), default=1)
+        self._logs = 1 + np.log(np.arange(most + 1).clip(1))
+        self._examples = len(index.norms)
+        self._scale = 1 / np.where(index.norms > 0, index.norms, 1)
+        self._weights = self._logs[index.uses] * self._scale[index.example]  # by posting, without the term's factor
+        owner = np.repeat(np.arange(self._examples), np.diff(index.row_bounds))
+        weights = self._logs[index.row_uses] * self._scale[owner]
+        terms = np.flatnonzero(index.common >= 0)
+        factors = np.empty(len(terms))
+        factors[index.common[terms]] = index.factors[terms]
+        self._most = np.zeros((len(terms), -(-self._examples // BLOCK)))  # by common term and block, without the term's factor
+        np.maximum.at(self._most, (index.row_common, owner // BLOCK), weights)
+        weights *= factors[index.row_common]
+        self._lengths = np.sqrt(np.bincount(owner, weights * weights, self._examples))
+        self.skipped = 0  # examples whose common terms were not read
+
+    def nearest(self, terms: np.ndarray, values: np.ndarray, k: int, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples with the largest product with ``values`` of ``terms``, and these; only positive ones, without ``leave``."""
+        index = self._index
+        if not len(terms) or not self._examples:
+            return np.empty(0, np.int64), np.empty(0)
+        number, factored = index.common[terms], values * index.factors[terms]
+        rare = number < 0
+        ends = np.stack([index.bounds[terms[rare]], index.bounds[terms[rare] + 1]], 1)
+        lists = [slice(x, y) for x, y in ends.tolist()]
+        products = np.concatenate([np.empty(0), *(self._weights[x] for x in lists)])
+        products *= np.repeat(factored[rare], ends[:, 1] - ends[:, 0])
+        of = np.concatenate([index.example[:0], *(index.example[x] for x in lists)])
+        part = np.bincount(of, products, self._examples).astype(float)
+        number = number[~rare]
+        query = np.zeros(len(self._most))
+        query[number] = factored[~rare]
+        by_block = np.repeat(factored[~rare] @ self._most[number], BLOCK)[:self._examples]
+        bounds = part + np.minimum(by_block, self._lengths * np.linalg.norm(values[~rare])) + _SLACK
+        bounds[part + by_block <= 0] = 0
+        if leave >= 0:
+            bounds[leave] = 0
+        # A first lot with high bounds shows how good the k-th is; only what may reach it follows.
+        lot = min(4 * k, self._examples)
+        first = np.argpartition(-bounds, lot - 1)[:lot]
+        first = first[bounds[first] > 0]
+        scores = self._whole(first, part, query)
+        floor = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
+        bounds[first] = 0
+        rest = np.flatnonzero(bounds > max(floor, 0.0))
+        self.skipped += self._examples - len(first) - len(rest)
+        best, scores = np.append(first, rest), np.append(scores, self._whole(rest, part, query))
+        some = scores > 0
+        best, scores = best[some], scores[some]
+        top = np.lexsort((best, -np.round(scores, 12)))[:k]
+        return best[top], scores[top]
 
-    index: Index
-    labels: np.ndarray
-    ids: np.ndarray
+    def _whole(self, some: np.ndarray, part: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Whole products of some examples."""
+        index = self._index
+        start = index.row_bounds[some]
+        sizes = index.row_bounds[some + 1] - start
+        at = spread(start, sizes)
+        products = query[index.row_common[at]] * self._logs[index.row_uses[at]]
+        return part[some] + np.bincount(np.repeat(np.arange(len(some)), sizes), products, len(some)) * self._scale[some]
 
 
 class Model(NamedTuple):
-    """Broadcast: sorted term hashes with their factors, and ``Examples`` by parts; calibration; share of texts without terms."""
+    """Broadcast: sorted term hashes; index, labels and ids of the examples, packed. Calibration; share of texts without terms."""
 
     terms: Broadcast
-    parts: list[Broadcast]
+    examples: Broadcast
     steps: np.ndarray
     shares: np.ndarray
     without: float
 
 
-def all_terms(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and document of every term of every word."""
+def pack(value: tuple) -> tuple[int, bytes]:
+    """Compressed, as the driver and every executor keep a file of what is broadcast."""
+    raw = pickle.dumps(value, protocol=5)
+    return len(raw), pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack(packed: tuple[int, bytes]) -> tuple:
+    return pickle.loads(pa.decompress(packed[1], packed[0], codec="zstd"))
+
+
+def narrow(values: np.ndarray, most: int) -> np.ndarray:
+    """In the smallest unsigned integers that hold ``most``."""
+    return values.astype(np.min_scalar_type(most))
+
+
+def term_uses(texts: Texts, number: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, ...]:
+    """Document, number and uses of the terms of a block, by document and number.
+
+    ``number`` gives, of an array of hashes, the places of known ones and their
+    numbers. Terms are made of distinct words, so a word's uses are counted first.
+    """
     words = find_words(texts, WORDS_FOLDED)
-    hashes, document = word_hashes(texts, words, fold=True), words.document()
     slices = Slices(byte_values(texts.data, fold=True))
-    parts, owners = [hashes], [document]
-    for length in PREFIXES:
-        long = words.stop - words.start > length
-        start = words.start[long]
-        parts.append(slices.hashes(start, start + length))
-        owners.append(document[long])
-    return np.concatenate(parts), np.concatenate(owners)
+    distinct, first, of = np.unique(slices.hashes(words.start, words.stop), return_index=True, return_inverse=True)
+    n = max(len(texts), 1)
+    word, document = np.divmod(np.sort(of * n + words.document()), n)
+    new = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (document[1:] != document[:-1]))[:len(word)])
+    uses = np.diff(np.append(new, len(word)))
+    word, document = word[new], document[new]
+    start, length = words.start[first], (words.stop - words.start)[first]
+    hashes, owners = [distinct], [np.arange(len(distinct))]
+    for size in PREFIXES:
+        long = np.flatnonzero(length > size)
+        hashes.append(slices.hashes(start[long], start[long] + size))
+        owners.append(long)
+    known, numbers = number(np.concatenate(hashes))
+    owner = np.concatenate(owners)[known]
+    order = np.argsort(owner, kind="stable")
+    numbers, bounds = numbers[order], np.searchsorted(owner[order], np.arange(len(distinct) + 1))
+    sizes = np.diff(bounds)[word]
+    term, document, uses = numbers[spread(bounds[word], sizes)], np.repeat(document, sizes), np.repeat(uses, sizes)
+    span = int(numbers.max()) + 1 if len(numbers) else 1
+    key = document * span + term
+    order = np.argsort(key)
+    key = key[order]
+    new = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
+    return *np.divmod(key[new], span), np.add.reduceat(uses[order], new) if len(new) else uses
 
 
 class Terms:
@@ -130,12 +231,9 @@ class Terms:
         known = np.flatnonzero((self._terms[at] == hashes) & (at < self._n))
         return known, at[known]
 
-    def counts(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Document, number and uses of every known term of a block, by document and number."""
-        hashes, document = all_terms(texts)
-        known, at = self.find(hashes)
-        both, uses = np.unique(document[known] * max(self._n, 1) + at, return_counts=True)
-        return *np.divmod(both, max(self._n, 1)), uses
+    def counts(self, texts: Texts) -> tuple[np.ndarray, ...]:
+        """``term_uses`` of the known terms."""
+        return term_uses(texts, self.find)
 
 
 def spread(start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -143,30 +241,30 @@ def spread(start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
-def to_weights(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Rows of unit length: (1 + log tf) * idf."""
-    raw = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * idf
-    norm = np.linalg.norm(raw, axis=1, keepdims=True)
-    return raw / np.where(norm > 0, norm, 1)
-
-
 def examples_of(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """(doc_id, toxic, text) of at most ``most`` labelled documents, by a hash of the id."""
+    """(doc_id, toxic, text) of at most ``most`` labelled documents, by a hash of the id; of several texts of one id the lowest."""
     marked = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
     # Bounded by ``most`` ids.
-    return docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").select("doc_id", "toxic", "text")
+    found = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id")
+    return (found.repartition(4 * docs.sparkSession.sparkContext.defaultParallelism, "doc_id", "toxic")
+            .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
 
 
 def label_counts(examples: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted hashes of all terms, in how many examples each occurs, and in how many toxic ones."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches):
-            toxic = np.array(batch.column("toxic").to_pylist(), float)
-            hashes, document = all_terms(texts)
-            terms, of = np.unique(hashes, return_inverse=True)
-            of, document = np.divmod(np.unique(of * len(texts) + document), len(texts))
+            toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(float)
+            terms = np.empty(0, np.uint64)
+
+            def number(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                nonlocal terms
+                terms, of = np.unique(hashes, return_inverse=True)
+                return np.arange(len(hashes)), of
+
+            document, of, _ = term_uses(texts, number)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(terms.view(np.int64)), pa.array(np.bincount(of, minlength=len(terms)), pa.int64()),
                  pa.array(np.bincount(of, toxic[document], len(terms)), pa.float64())], ["term", "n", "toxic"])
@@ -178,34 +276,24 @@ def label_counts(examples: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return terms[order], counts["n"].to_numpy()[order].astype(float), counts["toxic"].to_numpy()[order]
 
 
-def weighted(examples: DataFrame, terms: np.ndarray, factors: np.ndarray) -> Iterator[pa.Table]:
-    """(doc_id, toxic, heaviest, terms, weights) of the examples, part by part to spare the driver."""
-    shared = examples.sparkSession.sparkContext.broadcast((terms, factors))
-
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, factors = shared.value
-        known = Terms(terms)
+def counted(examples: DataFrame, shared: Broadcast) -> Iterator[pa.Table]:
+    """(doc_id, toxic, terms, uses) of the examples, part by part to spare the driver."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Terms(shared.value)
         for batch, texts in blocks(batches):
             document, term, uses = known.counts(texts)
-            weight = (1 + np.log(uses)) * factors[term]
-            weight /= np.sqrt(np.bincount(document, weight * weight, len(texts)))[document]
             bounds = np.searchsorted(document, np.arange(len(texts) + 1))
-            heaviest = [int(term[x + weight[x:y].argmax()]) if y > x else len(terms)
-                        for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), pa.array(heaviest, pa.int64()),
-                 list_column(term, bounds, pa.int32()), list_column(weight, bounds, pa.float64())],
-                ["doc_id", "toxic", "heaviest", "terms", "weights"])
+                [batch.column("doc_id"), batch.column("toxic"), list_column(term, bounds, pa.int32()),
+                 list_column(uses, bounds, pa.int32())], ["doc_id", "toxic", "terms", "uses"])
 
     for part in range(PARTS):
         yield examples.where(F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)) == part).mapInArrow(
-            weigh, "doc_id bigint, toxic int, heaviest bigint, terms array<int>, weights array<double>").toArrow()
-
+            count, "doc_id bigint, toxic int, terms array<int>, uses array<int>").toArrow()
 
-def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[int, np.ndarray]:
-    """Number of documents, and in how many each term occurs."""
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
 
+def document_frequencies(docs: DataFrame, shared: Broadcast, n_terms: int) -> tuple[int, np.ndarray]:
+    """Number of documents, and in how many each of the ``shared`` terms occurs."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Terms(shared.value)
         total, found = 0, np.zeros(len(shared.value), np.int64)
@@ -219,7 +307,7 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[int, np.nd
     sums = (docs.select("text").mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
             .toArrow())
     at, n = sums["term"].to_numpy(), sums["n"].to_numpy()
-    found = np.zeros(len(terms) + 1)  # the documents themselves come last
+    found = np.zeros(n_terms + 1)  # the documents themselves come last
     found[at] = n
     return int(found[-1]), found[:-1]
 
@@ -231,93 +319,51 @@ def chi_squared(uses: np.ndarray, toxic_uses: np.ndarray, n: int, toxic: float)
     return np.where(below > 0, n * apart * apart / np.where(below > 0, below, 1), 0)
 
 
-def index_of(example: np.ndarray, term: np.ndarray, weight: np.ndarray, examples: int, terms: int) -> Index:
-    """Index of weights given by example and term."""
-    common = np.flatnonzero(np.bincount(term, minlength=terms) > COMMON * examples)
-    row = np.full(terms, -1, np.int32)
-    row[common] = np.arange(len(common))
-    rows = np.zeros((len(common), examples))
-    full = row[term] >= 0
-    rows[row[term[full]], example[full]] = weight[full]
-    order = np.flatnonzero(~full)
-    key = term[order].astype(np.int64) * max(examples, 1) + example[order]
-    sorting = np.argsort(key)
-    (term, example), weight = np.divmod(key[sorting], max(examples, 1)), weight[order[sorting]]
-    entry = term * (examples // BLOCK + 1) + example // BLOCK
-    first = np.flatnonzero(np.concatenate([[True], entry[1:] != entry[:-1]])[:len(entry)])
-    most = np.maximum.reduceat(weight, first) if len(first) else np.empty(0)
-    return Index(examples, row, rows, np.searchsorted(term[first], np.arange(terms + 1)),
-                 (example[first] // BLOCK).astype(np.int32), most, np.append(first, len(entry)),
-                 example.astype(np.int32), weight)
-
-
-def common_products(index: Index, document: np.ndarray, term: np.ndarray, values: np.ndarray, documents: int) -> np.ndarray:
-    """Documents by examples: the part of their products that common terms make."""
-    row = index.row[term]
-    full = row >= 0
-    text = np.zeros((documents, len(index.rows)))
-    text[document[full], row[full]] = values[full]
-    return text @ index.rows
-
-
-def search(index: Index, terms: np.ndarray, values: np.ndarray, common: np.ndarray, k: int,
-           leave: int = -1, floor: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-    """The k examples with the largest product with ``values`` of ``terms``, and these; only positive ones, without ``leave``.
-
-    ``common`` has the part of the products that common terms make; products below ``floor`` may be left out.
-    """
-    best, scores = np.empty(0, np.int64), np.empty(0)
-    if not len(terms) or not index.examples:
-        return best, scores
-    first = index.entry_bounds[terms]
-    sizes = index.entry_bounds[terms + 1] - first
-    entry, value = spread(first, sizes), np.repeat(values, sizes)
-    block = index.block[entry]
-    bounds = np.maximum.reduceat(common, np.arange(0, index.examples, BLOCK))
-    bounds = bounds + np.bincount(block, index.most[entry] * value, len(bounds))
-    order = np.argsort(-bounds, kind="stable")
-    begin, step = 0, 1
-    while begin < len(order):
-        now = order[begin:begin + step]
-        now = now[bounds[now] >= floor] if floor > 0 else now[bounds[now] > 0]
-        if not len(now):
-            break
-        chosen = np.zeros(len(bounds), bool)
-        chosen[now] = True
-        if len(now) * 2 > len(bounds):  # whole lists, as nearly all of them are read
-            ends = index.posting_bounds[np.stack([first, first + sizes], 1)]
-            of = np.concatenate([index.example[x:y] for x, y in ends.tolist()])
-            products = np.concatenate([index.weight[x:y] for x, y in ends.tolist()])
-            products *= np.repeat(values, ends[:, 1] - ends[:, 0])
-        else:
-            here = np.flatnonzero(chosen[block])
-            start = index.posting_bounds[entry[here]]
-            lengths = index.posting_bounds[entry[here] + 1] - start
-            at = spread(start, lengths)
-            of, products = index.example[at], index.weight[at] * np.repeat(value[here], lengths)
-        sums = common + np.bincount(of, products, index.examples)
-        sums[~np.repeat(chosen, BLOCK)[:index.examples]] = 0
-        if leave >= 0:
-            sums[leave] = 0
-        some = np.flatnonzero(sums > 0)
-        if len(some) > k:
-            some = some[sums[some] >= np.partition(sums[some], -k)[-k] - _SLACK]
-        best, scores = np.append(best, some), np.append(scores, sums[some])
-        top = np.lexsort((best, -np.round(scores, 12)))[:k]
-        best, scores = best[top], scores[top]
-        floor = max(floor, scores[-1] - _SLACK) if len(best) >= k else floor
-        begin, step = begin + step, len(order)
-    return best, scores
+def in_order(ids: np.ndarray, bounds: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Examples by their heaviest term, then id: alike ones side by side make tight bounds."""
+    owner = np.repeat(np.arange(len(ids)), np.diff(bounds))
+    order = np.lexsort((-weight, owner))
+    heaviest = np.full(len(ids), -1)
+    some = np.flatnonzero(np.diff(bounds))
+    heaviest[some] = term[order[bounds[some]]]
+    return np.lexsort((ids, heaviest))
 
 
-def nearest(weights: np.ndarray, row: np.ndarray, block_most: np.ndarray, k: int,
-            leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
-    """``search`` among full rows of weights; the index makes ``block_most`` itself."""
-    example, term = np.nonzero(weights)
-    used = np.flatnonzero(row)
-    index = index_of(example, term, weights[example, term], *weights.shape)
-    common = common_products(index, np.zeros_like(used), used, row[used], 1)[0]
-    return search(index, used, row[used], common, k, leave)
+def index_of(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], factors: np.ndarray, n_uses: np.ndarray) -> Index:
+    """Index of parts of the examples: bounds by example, terms (rising in each), uses; ``n_uses``: examples by term.
+
+    A part's postings are put behind those of the parts before it, term by term.
+    """
+    examples = sum(len(bounds) - 1 for bounds, _, _ in parts)
+    most = max((int(uses.max()) for _, _, uses in parts if len(uses)), default=1)
+    is_common = n_uses > max(COMMON * examples, 1)
+    common = np.full(len(factors), -1, np.int32)
+    common[is_common] = np.arange(int(is_common.sum()))
+    bounds = np.append(0, np.cumsum(np.where(is_common, 0, n_uses))).astype(np.int64)
+    example = np.empty(bounds[-1], np.min_scalar_type(max(examples, 1)))
+    posting_uses = np.empty(bounds[-1], np.min_scalar_type(most))
+    row_sizes, row_common, row_uses, norms = [], [], [], []
+    filled, before = bounds[:-1].copy(), 0
+    for part_bounds, term, uses in parts:
+        n = len(part_bounds) - 1
+        owner = np.repeat(np.arange(n), np.diff(part_bounds))
+        norms.append(np.sqrt(np.bincount(owner, np.square((1 + np.log(uses)) * factors[term]), n)))
+        often = is_common[term]
+        row_sizes.append(np.bincount(owner[often], minlength=n))
+        row_common.append(narrow(common[term[often]], int(is_common.sum())))
+        row_uses.append(narrow(uses[often], most))
+        rare = np.flatnonzero(~often)
+        rare = rare[np.argsort(term[rare], kind="stable")]
+        sorted_terms = term[rare]
+        some, sizes = np.unique(sorted_terms, return_counts=True)
+        at = spread(filled[some], sizes)
+        example[at], posting_uses[at] = owner[rare] + before, uses[rare]
+        filled[some] += sizes
+        before += n
+    row_bounds = np.append(0, np.cumsum(np.concatenate([np.empty(0, np.int64), *row_sizes])))
+    empty = np.empty(0, np.uint8)
+    return Index(bounds, example, posting_uses, common, row_bounds, np.concatenate([empty, *row_common]),
+                 np.concatenate([empty, *row_uses]), factors, np.concatenate([np.empty(0), *norms]))
 
 
 def vote(labels: np.ndarray, scores: np.ndarray) -> float:
@@ -349,37 +395,41 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     spark = docs.sparkSession
     # Stored once: they are read again to be judged by each other.
     stored = fresh_dir(spark, "examples")
-    examples_of(docs, labels, examples).dropDuplicates(["doc_id"]).write.parquet(stored)
-    chosen = spark.read.parquet(stored).repartition(4 * spark.sparkContext.defaultParallelism)
+    examples_of(docs, labels, examples).write.parquet(stored)
+    chosen = spark.read.parquet(stored)
     terms, uses, toxic_uses = label_counts(chosen)
     whole = chosen.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     chi = chi_squared(uses, toxic_uses, whole[0], float(whole[1]))
-    total, frequency = document_frequencies(docs, terms)
+    # Bounded by the examples' texts, as what follows; one copy serves counting and judging.
+    shared = spark.sparkContext.broadcast(terms)
+    total, frequency = document_frequencies(docs, shared, len(terms))
     factors = (np.log((1 + total) / (1 + frequency)) + 1) * np.sqrt(1 + chi)
-    parts, by_id, plain = [], {}, []
-    for rows in weighted(chosen, terms, factors):
-        ids, marks, heaviest = (rows[c].to_numpy() for c in ("doc_id", "toxic", "heaviest"))
-        sizes = pc.list_value_length(rows["terms"]).to_numpy().astype(np.int64)
-        term, weight = (pc.list_flatten(rows[c]).to_numpy() for c in ("terms", "weights"))
+    parts, all_ids, all_marks, plain = [], [], [], []
+    for rows in counted(chosen, shared):
+        ids, marks = (rows[c].to_numpy() for c in ("doc_id", "toxic"))
+        bounds = np.append(0, np.cumsum(pc.list_value_length(rows["terms"]).to_numpy().astype(np.int64)))
+        term, times = (pc.list_flatten(rows[c]).to_numpy() for c in ("terms", "uses"))
         del rows
         n = len(ids)
-        by_id.update(zip(ids.tolist(), marks.tolist(), strict=True))
-        plain.append(marks[np.bincount(np.repeat(np.arange(n), sizes), chi[term] > CHI_SQUARED, n) == 0])
-        # Alike examples side by side make tight bounds.
-        order = np.lexsort((ids, heaviest))
-        place = np.empty(n, np.int32)
-        place[order] = np.arange(n)
-        index = index_of(np.repeat(place, sizes), term, weight, n, len(terms))
-        # Bounded by the examples' texts; broadcast once for calibration and use.
-        parts.append(spark.sparkContext.broadcast(tuple(Examples(index, marks[order].astype(float), ids[order]))))
-        del term, weight, index
+        plain.append(marks[np.bincount(np.repeat(np.arange(n), np.diff(bounds)), chi[term] > CHI_SQUARED, n) == 0])
+        order = in_order(ids, bounds, term, (1 + np.log(times)) * factors[term])
+        sizes = np.diff(bounds)[order]
+        at = spread(bounds[order], sizes)
+        parts.append((np.append(0, np.cumsum(sizes)), term[at], narrow(times[at], int(times.max(initial=1)))))
+        all_ids.append(ids[order])
+        all_marks.append(marks[order])
         pa.default_memory_pool().release_unused()
-    prior = sum(by_id.values()) / max(len(by_id), 1)
+    ids, marks = np.concatenate(all_ids), np.concatenate(all_marks)
+    prior = float(marks.sum()) / max(len(marks), 1)
     without = float((sum(x.sum() for x in plain) + prior) / (sum(map(len, plain)) + 1))
-    model = Model(spark.sparkContext.broadcast((terms, factors)), parts, np.zeros(1), np.full(1, prior), without)
+    index = index_of(parts, factors, uses.astype(np.int64))
+    del parts
+    model = Model(shared, spark.sparkContext.broadcast(pack((tuple(index), marks.astype(float), ids))),
+                  np.zeros(1), np.full(1, prior), without)
     judged = judge(chosen.drop("toxic"), model, calibrated=False).select("doc_id", "score").where("score is not null").toArrow()
     raw = judged["score"].to_numpy()
     if len(raw):
+        by_id = dict(zip(ids.tolist(), marks.tolist(), strict=True))
         steps, shares = isotonic(raw, np.array([by_id[i] for i in judged["doc_id"].to_pylist()], float))
         model = model._replace(steps=steps, shares=shares)
     return model
@@ -392,36 +442,29 @@ def judge(docs: DataFrame, model: Model, calibrated: bool = True) -> DataFrame:
     examples themselves, null if there is none.
     """
     kept = [c for c in docs.columns if c != "text"]
-    shared, shared_parts, steps, shares, without = model
+    shared, shared_examples, steps, shares, without = model
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, factors = shared.value
-        parts = [Examples(*x.value) for x in shared_parts]
-        known, labels, all_ids = Terms(terms), np.concatenate([x.labels for x in parts]), np.concatenate([x.ids for x in parts])
-        firsts = np.cumsum([0, *(x.index.examples for x in parts)]).tolist()
+        index, labels, all_ids = unpack(shared_examples.value)
+        index, known = Index(*index), Terms(shared.value)
+        search = Search(index)
         place = {} if calibrated else {x: i for i, x in enumerate(all_ids.tolist())}
+        seen: dict[tuple[bytes, int], tuple[np.ndarray, np.ndarray]] = {}
         for batch, texts in blocks(batches):
             document, term, uses = known.counts(texts)
-            values = (1 + np.log(uses)) * factors[term]
+            values = (1 + np.log(uses)) * index.factors[term]
             values /= np.sqrt(np.bincount(document, values * values, len(texts)))[document]
-            bounds = np.searchsorted(document, np.arange(len(texts) + 1))
+            bounds = np.searchsorted(document, np.arange(len(texts) + 1)).tolist()
             ids = [None] * len(texts) if calibrated else batch.column("doc_id").to_pylist()
             scores, proof = [], []
             for i in range(len(texts)):
-                if i % AT_ONCE == 0:
-                    some = slice(bounds[i], bounds[min(i + AT_ONCE, len(texts))])
-                    common = [common_products(x.index, document[some] - i, term[some], values[some],
-                                              min(AT_ONCE, len(texts) - i)) for x in parts]
                 mine, leave = slice(bounds[i], bounds[i + 1]), place.get(ids[i], -1)
-                best, cosines, floor = np.empty(0, np.int64), np.empty(0), 0.0
-                for part, first, products in zip(parts, firsts, common, strict=False):
-                    inside = first <= leave < first + part.index.examples
-                    more, theirs = search(part.index, term[mine], values[mine], products[i % AT_ONCE], NEIGHBOURS,
-                                          leave - first if inside else -1, floor)
-                    best, cosines = np.append(best, more + first), np.append(cosines, theirs)
-                    top = np.lexsort((best, -np.round(cosines, 12)))[:NEIGHBOURS]
-                    best, cosines = best[top], cosines[top]
-                    floor = cosines[-1] - _SLACK if len(best) >= NEIGHBOURS else 0.0
+                key = (hashlib.blake2b(texts.bytes_of(i), digest_size=16).digest(), leave)
+                if key not in seen:
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen[key] = search.nearest(term[mine], values[mine], NEIGHBOURS, leave)
+                best, cosines = seen[key]
                 share = vote(labels[best], cosines) if len(best) else None
                 if calibrated:
                     step = len(best) and max(int(np.searchsorted(steps, share, "right")) - 1, 0)
