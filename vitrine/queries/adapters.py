@@ -41,6 +41,10 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def stream(self, name: str) -> DataFrame:
+        """A table as a file stream. It may be one file or a folder of files: a pattern, here of one name, takes either."""
+        return self.spark.readStream.schema(self.table(name).schema).parquet(f"{self.dir}/{name}.parque[t]")
+
     @property
     def parallelism(self) -> int | None:
         """Tasks for the text queries, as the session asks for; none by default."""

@@ -231,9 +231,7 @@ def predicted_class(t: Tables):
 def scoring_stream(t: Tables):
     """Scores from a file stream over the vectors, appended to a prediction table and read back."""
     out = fresh_dir(t.spark, "scores")
-    stream = (t.spark.readStream.schema(t.table("embeddings").schema)
-              .option("pathGlobFilter", "embeddings.parquet").parquet(t.dir)
-              .select(F.col("vec_id").alias("product_id"), F.col("embedding").alias("logits")))
+    stream = t.stream("embeddings").select(F.col("vec_id").alias("product_id"), F.col("embedding").alias("logits"))
     labels_known = label_lookup(t.class_labels)
 
     def score(df):

@@ -107,9 +107,7 @@ def hourly_batch(t: Tables):
 @query("hourly_by_class_stream", HOURLY_SQL)
 def hourly_stream(t: Tables):
     """The same figures from a file stream over the events table."""
-    schema = t.table("events").schema
-    events = (t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.dir))
-    predictions = events.select(
+    predictions = t.stream("events").select(
         F.col("event_id").alias("id"), F.col("event_type").alias("predicted_class"),
         F.least(F.col("value") / 500, F.lit(1.0)).alias("confidence"), F.col("ts").alias("dt_predicted"))
     out = fresh_dir(t.spark, "hourly")
