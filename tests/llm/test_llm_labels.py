@@ -89,6 +89,30 @@ def test_nearest_equals_full_search(leave):
     assert search.skipped > 0
 
 
+def test_dense_terms_are_few_and_change_nothing(monkeypatch):
+    rng = np.random.default_rng(5)
+    counts = rng.poisson(0.4, (300, 50))
+    counts[250:] = counts[0]  # equal examples are all candidates
+    example, term = np.nonzero(counts)
+    parts = [(np.searchsorted(example, np.arange(301)), term, counts[example, term])]
+    factors, values = rng.uniform(1, 9, 50), np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0)
+    weights = values * factors
+    weights = weights / np.maximum(np.linalg.norm(weights, axis=1, keepdims=True), 1e-9)
+    for dense in (0, 7, 1024):
+        monkeypatch.setattr(toxicity, "DENSE", dense)
+        search = toxicity.Search(toxicity.index_of(parts, factors, (counts > 0).sum(0)))
+        used = [np.flatnonzero(row) for row in weights[:20]]
+        ends = np.append(0, np.cumsum([len(u) for u in used]))
+        common = search.common_products(ends, np.concatenate(used), np.concatenate([w[u] for w, u in zip(weights, used, strict=False)]))
+        assert common.dtype == np.float32 and (dense or not common.any())
+        for row, u, c in zip(weights, used, common, strict=False):
+            cosines = weights @ row
+            expected = np.lexsort((np.arange(300), -np.round(cosines, 12)))[:15]
+            expected = expected[cosines[expected] > 0]
+            best, scores = search.nearest(u, row[u], 15, -1, c)
+            assert best.tolist() == expected.tolist() and np.allclose(scores, cosines[expected], rtol=1e-12)
+
+
 def test_toxicity_of_awkward_rows(spark):
     rows = [(i, "vile " * (i % 2) + f"word{i} of peace") for i in range(200)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(None, 1), (900, 1), (1, None), (1, 0)],
