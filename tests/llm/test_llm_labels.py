@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -113,6 +114,35 @@ def test_dense_terms_are_few_and_change_nothing(monkeypatch):
             assert best.tolist() == expected.tolist() and np.allclose(scores, cosines[expected], rtol=1e-12)
 
 
+def test_parts_of_the_index_are_made_by_tasks(spark, monkeypatch):
+    """Whatever the examples' terms, the driver holds a few arrays by term and packed parts; before, it had the whole index."""
+    rng = np.random.default_rng(9)
+    words = np.array(["".join(w) for w in rng.choice(list("abcdefghijklmnop"), (300, 12))])
+    rows = [(i, " ".join(words[rng.integers(0, 300, 250)])) for i in range(2000)]
+    docs = samples.frame(spark, rows).repartition(4).localCheckpoint()
+    labels = spark.createDataFrame([(i, i % 3 // 2) for i in range(2000)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "PART_TERMS", 50_000)
+    tracemalloc.start()
+    model = toxicity.fit(docs, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    packed, order, norms, marks, ids = model.examples.value
+    weights = toxicity.Weights(*toxicity.unpack(model.weights.value))
+    parts = [toxicity.Part(*toxicity.unpack(x)) for x in packed]
+    index = toxicity.merged(parts, order, norms, weights)
+    assert len(parts) > 4 and sorted(ids.tolist()) == list(range(2000)) and marks.tolist() == [i % 3 // 2 for i in ids]
+    postings = len(index.example) + len(index.row_common)
+    assert postings > 1_000_000 and peak < 8 * postings
+    # Every example is nearest to itself, with a cosine of 1.
+    texts, known, search = dict(rows), toxicity.Terms(model.terms.value), toxicity.Search(index)
+    for number in range(0, 2000, 97):
+        text = texts[int(ids[number])].encode()
+        _, term, uses = known.counts(toxicity.Texts(np.frombuffer(text, np.uint8), np.array([0, len(text)])))
+        values = (1 + np.log(uses)) * index.factors[term]
+        best, cosines = search.nearest(term, values / np.linalg.norm(values), 3)
+        assert best[0] == number and abs(cosines[0] - 1) < 1e-3
+
+
 def test_toxicity_of_awkward_rows(spark):
     rows = [(i, "vile " * (i % 2) + f"word{i} of peace") for i in range(200)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(None, 1), (900, 1), (1, None), (1, 0)],

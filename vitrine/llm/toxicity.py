@@ -49,7 +49,7 @@ from vitrine.llm.arrays import (
     blocks,
     byte_values,
     find_words,
-    list_column,
+    give_back,
 )
 from vitrine.session import fresh_dir
 
@@ -59,8 +59,12 @@ PREFIXES = (4, 5, 6, 7, 8)
 CHI_SQUARED = 26.0
 #: Terms in more than this part of the examples are common, as many at most. A column takes 4 bytes by example.
 COMMON, DENSE = 1 / 16, 1024
-#: Parts in which the examples pass through the driver.
+#: Equal cosines: examples are in order of so many parts by a hash of the id, then of their heaviest term.
 PARTS = 4
+#: Integers of the uses from which lengths are made: the narrowest that hold all uses of an example's hash part.
+KINDS = (np.uint8, np.uint16, np.uint32)
+#: Terms of examples that a task puts into one part of the index at most.
+PART_TERMS = 1 << 21
 #: Texts whose result a task remembers, as copies come often.
 REMEMBERED = 4096
 #: Sums of ``DENSE`` products in single precision, none negative, are off by less for vectors of length 1.
@@ -149,10 +153,19 @@ class Search:
         return part[some] + np.bincount(np.repeat(np.arange(len(some)), sizes), products, len(some)) * self._scale[some]
 
 
+#: What a task returns for a part of the index.
+PART = pa.schema([*((name, pa.list_(kind)) for name, kind in (
+    ("ids", pa.int64()), ("marks", pa.int32()), ("places", pa.int32()), ("heaviest", pa.int32()), ("peaks", pa.int64()),
+    ("norms8", pa.float64()), ("norms16", pa.float64()), ("norms32", pa.float64()))),
+    ("plain", pa.int64()), ("plain_toxic", pa.int64()), ("size", pa.int64()), ("part", pa.binary())])
+
+
 class Model(NamedTuple):
-    """Broadcast: sorted term hashes; index, labels and ids of the examples, packed. Calibration; share of texts without terms."""
+    """Broadcast: sorted term hashes; ``Weights``, packed; parts of the index, packed, with the examples' labels and ids in
+    order. Calibration; share of texts without terms."""
 
     terms: Broadcast
+    weights: Broadcast
     examples: Broadcast
     steps: np.ndarray
     shares: np.ndarray
@@ -273,20 +286,42 @@ def label_counts(examples: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return terms[order], counts["n"].to_numpy()[order].astype(float), counts["toxic"].to_numpy()[order]
 
 
-def counted(examples: DataFrame, shared: Broadcast) -> Iterator[pa.Table]:
-    """(doc_id, toxic, terms, uses) of the examples, part by part to spare the driver."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Terms(shared.value)
+def indexed(examples: DataFrame, shared: Broadcast, weights: Broadcast) -> pa.Table:
+    """A row for every part of the index, which a task has made and packed, with what orders and labels its examples.
+
+    ``plain``, ``plain_toxic``: how many of them have no telling term, and of these are toxic.
+    """
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, weighed = Terms(shared.value), Weights(*unpack(weights.value))
+        found: list[tuple[np.ndarray, ...]] = []
+
+        def row() -> pa.RecordBatch:
+            ids, marks, places, sizes, term, uses = (np.concatenate(x) for x in zip(*found, strict=True))
+            found.clear()
+            bounds, owner = np.append(0, np.cumsum(sizes)), np.repeat(np.arange(len(ids)), sizes)
+            peaks = np.zeros(len(ids), np.int64)
+            np.maximum.at(peaks, owner, uses)
+            norms = [lengths(bounds, term, np.minimum(uses, np.iinfo(kind).max).astype(kind), weighed.factors) for kind in KINDS]
+            plain = np.bincount(owner, weighed.telling[term], len(ids)) == 0
+            values = [ids, marks, places, heaviest(bounds, term, (1 + np.log(uses)) * weighed.factors[term]), peaks, *norms]
+            numbers = [int(plain.sum()), int(marks[plain].sum())]
+            part = pack(tuple(part_of(bounds, term, uses, weighed)))
+            return pa.RecordBatch.from_pylist(
+                [dict(zip(PART.names, [*values, *numbers, *part], strict=True))], PART)
+
         for batch, texts in blocks(batches):
             document, term, uses = known.counts(texts)
-            bounds = np.searchsorted(document, np.arange(len(texts) + 1))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), list_column(term, bounds, pa.int32()),
-                 list_column(uses, bounds, pa.int32())], ["doc_id", "toxic", "terms", "uses"])
+            found.append((*(batch.column(c).to_numpy() for c in ("doc_id", "toxic", "place")),
+                          np.bincount(document, minlength=len(texts)), term, uses))
+            if sum(len(x[-1]) for x in found) >= PART_TERMS:
+                yield row()
+        if found:
+            yield row()
 
-    for part in range(PARTS):
-        yield examples.where(F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)) == part).mapInArrow(
-            count, "doc_id bigint, toxic int, terms array<int>, uses array<int>").toArrow()
+    placed = examples.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int"))
+    fields = ("ids array<bigint>, marks array<int>, places array<int>, heaviest array<int>, peaks array<bigint>, "
+              "norms8 array<double>, norms16 array<double>, norms32 array<double>, plain bigint, plain_toxic bigint, size bigint, part binary")
+    return placed.mapInArrow(build, fields).toArrow()
 
 
 def document_frequencies(docs: DataFrame, shared: Broadcast, n_terms: int) -> tuple[int, np.ndarray]:
@@ -316,53 +351,100 @@ def chi_squared(uses: np.ndarray, toxic_uses: np.ndarray, n: int, toxic: float)
     return np.where(below > 0, n * apart * apart / np.where(below > 0, below, 1), 0)
 
 
-def in_order(ids: np.ndarray, bounds: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Examples by their heaviest term, then id: alike ones side by side make tight bounds."""
-    owner = np.repeat(np.arange(len(ids)), np.diff(bounds))
+def heaviest(bounds: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Every example's heaviest term, the earlier of equal ones; -1 without terms."""
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     order = np.lexsort((-weight, owner))
-    heaviest = np.full(len(ids), -1)
+    found = np.full(len(bounds) - 1, -1)
     some = np.flatnonzero(np.diff(bounds))
-    heaviest[some] = term[order[bounds[some]]]
-    return np.lexsort((ids, heaviest))
+    found[some] = term[order[bounds[some]]]
+    return found
 
 
-def index_of(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], factors: np.ndarray, n_uses: np.ndarray) -> Index:
-    """Index of parts of the examples: bounds by example, terms (rising in each), uses; ``n_uses``: examples by term.
+class Weights(NamedTuple):
+    """By term: factor; number among the common ones, or -1; whether it tells a label beyond chance."""
 
-    A part's postings are put behind those of the parts before it, term by term.
-    """
-    examples = sum(len(bounds) - 1 for bounds, _, _ in parts)
-    most = max((int(uses.max()) for _, _, uses in parts if len(uses)), default=1)
+    factors: np.ndarray
+    common: np.ndarray
+    telling: np.ndarray
+
+
+class Part(NamedTuple):
+    """Index of some examples, which are numbered from 0: rare terms and their postings; common terms by example."""
+
+    terms: np.ndarray
+    sizes: np.ndarray  # postings by rare term
+    example: np.ndarray
+    uses: np.ndarray
+    row_sizes: np.ndarray
+    row_common: np.ndarray
+    row_uses: np.ndarray
+
+
+def lengths(bounds: np.ndarray, term: np.ndarray, uses: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """Of every example's vector. Logarithms have the precision that the integers of ``uses`` give them."""
+    n = len(bounds) - 1
+    owner = np.repeat(np.arange(n), np.diff(bounds))
+    return np.sqrt(np.bincount(owner, np.square((1 + np.log(uses)) * factors[term]), n))
+
+
+def common_numbers(n_uses: np.ndarray, examples: int) -> np.ndarray:
+    """By term: its number among the common ones, or -1."""
     is_common = n_uses > max(COMMON * examples, 1)
     if is_common.sum() > DENSE:
         is_common[np.argsort(-n_uses, kind="stable")[DENSE:]] = False
-    common = np.full(len(factors), -1, np.int32)
+    common = np.full(len(n_uses), -1, np.int32)
     common[is_common] = np.arange(int(is_common.sum()))
-    bounds = np.append(0, np.cumsum(np.where(is_common, 0, n_uses))).astype(np.int64)
-    example = np.empty(bounds[-1], np.min_scalar_type(max(examples, 1)))
-    posting_uses = np.empty(bounds[-1], np.min_scalar_type(most))
-    row_sizes, row_common, row_uses, norms = [], [], [], []
+    return common
+
+
+def part_of(bounds: np.ndarray, term: np.ndarray, uses: np.ndarray, weights: Weights) -> Part:
+    """Part of the index, from bounds by example, terms (rising in each) and uses."""
+    n, most = len(bounds) - 1, int(uses.max(initial=1))
+    owner = np.repeat(np.arange(n), np.diff(bounds))
+    often = weights.common[term] >= 0
+    rare = np.flatnonzero(~often)
+    rare = rare[np.argsort(term[rare], kind="stable")]
+    terms, sizes = np.unique(term[rare], return_counts=True)
+    return Part(terms.astype(np.int32), narrow(sizes, n), narrow(owner[rare], n), narrow(uses[rare], most),
+                narrow(np.bincount(owner[often], minlength=n), DENSE), narrow(weights.common[term[often]], DENSE),
+                narrow(uses[often], most))
+
+
+def merged(parts: list[Part], order: np.ndarray, norms: np.ndarray, weights: Weights) -> Index:
+    """Index of all parts; ``order``: the examples, numbered part after part, in their final order, in which ``norms`` are.
+
+    A part's postings are put behind those of the parts before it, term by term.
+    """
+    number = np.empty(len(order), np.min_scalar_type(max(len(order), 1)))
+    number[order] = np.arange(len(order))
+    n_postings = np.zeros(len(weights.factors), np.int64)
+    for part in parts:
+        n_postings[part.terms] += part.sizes
+    bounds = np.append(0, np.cumsum(n_postings))
+    example = np.empty(bounds[-1], number.dtype)
+    uses = np.empty(bounds[-1], np.result_type(np.uint8, *(x.uses for x in parts)))
     filled, before = bounds[:-1].copy(), 0
-    for part_bounds, term, uses in parts:
-        n = len(part_bounds) - 1
-        owner = np.repeat(np.arange(n), np.diff(part_bounds))
-        norms.append(np.sqrt(np.bincount(owner, np.square((1 + np.log(uses)) * factors[term]), n)))
-        often = is_common[term]
-        row_sizes.append(np.bincount(owner[often], minlength=n))
-        row_common.append(narrow(common[term[often]], int(is_common.sum())))
-        row_uses.append(narrow(uses[often], most))
-        rare = np.flatnonzero(~often)
-        rare = rare[np.argsort(term[rare], kind="stable")]
-        sorted_terms = term[rare]
-        some, sizes = np.unique(sorted_terms, return_counts=True)
-        at = spread(filled[some], sizes)
-        example[at], posting_uses[at] = owner[rare] + before, uses[rare]
-        filled[some] += sizes
-        before += n
-    row_bounds = np.append(0, np.cumsum(np.concatenate([np.empty(0, np.int64), *row_sizes])))
-    empty = np.empty(0, np.uint8)
-    return Index(bounds, example, posting_uses, common, row_bounds, np.concatenate([empty, *row_common]),
-                 np.concatenate([empty, *row_uses]), factors, np.concatenate([np.empty(0), *norms]))
+    for part in parts:
+        sizes = part.sizes.astype(np.int64)
+        at = spread(filled[part.terms], sizes)
+        example[at], uses[at] = number[before:before + len(part.row_sizes)][part.example], part.uses
+        filled[part.terms] += sizes
+        before += len(part.row_sizes)
+    rows, row_common, row_uses = (
+        np.concatenate([np.empty(0, kind), *(getattr(x, name) for x in parts)]) for name, kind in
+        (("row_sizes", np.int64), ("row_common", np.uint8), ("row_uses", np.uint8)))
+    at = spread((np.cumsum(rows) - rows)[order], rows[order])
+    return Index(bounds, example, uses, weights.common, np.append(0, np.cumsum(rows[order])), row_common[at], row_uses[at],
+                 weights.factors, norms)
+
+
+def index_of(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], factors: np.ndarray, n_uses: np.ndarray) -> Index:
+    """Index of parts of the examples: bounds by example, terms (rising in each), uses; ``n_uses``: examples by term."""
+    examples = sum(len(bounds) - 1 for bounds, _, _ in parts)
+    weights = Weights(factors, common_numbers(n_uses, examples), np.zeros(len(factors), bool))
+    norms = np.concatenate([np.empty(0), *(lengths(*x, factors) for x in parts)])
+    return merged([part_of(*x, weights) for x in parts], np.arange(examples), norms, weights)
 
 
 def vote(labels: np.ndarray, scores: np.ndarray) -> float:
@@ -403,28 +485,26 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     shared = spark.sparkContext.broadcast(terms)
     total, frequency = document_frequencies(docs, shared, len(terms))
     factors = (np.log((1 + total) / (1 + frequency)) + 1) * np.sqrt(1 + chi)
-    parts, all_ids, all_marks, plain = [], [], [], []
-    for rows in counted(chosen, shared):
-        ids, marks = (rows[c].to_numpy() for c in ("doc_id", "toxic"))
-        bounds = np.append(0, np.cumsum(pc.list_value_length(rows["terms"]).to_numpy().astype(np.int64)))
-        term, times = (pc.list_flatten(rows[c]).to_numpy() for c in ("terms", "uses"))
-        del rows
-        n = len(ids)
-        plain.append(marks[np.bincount(np.repeat(np.arange(n), np.diff(bounds)), chi[term] > CHI_SQUARED, n) == 0])
-        order = in_order(ids, bounds, term, (1 + np.log(times)) * factors[term])
-        sizes = np.diff(bounds)[order]
-        at = spread(bounds[order], sizes)
-        parts.append((np.append(0, np.cumsum(sizes)), term[at], narrow(times[at], int(times.max(initial=1)))))
-        all_ids.append(ids[order])
-        all_marks.append(marks[order])
-        pa.default_memory_pool().release_unused()
-    ids, marks = np.concatenate(all_ids), np.concatenate(all_marks)
+    weights = spark.sparkContext.broadcast(pack((factors, common_numbers(uses, whole[0]), chi > CHI_SQUARED)))
+    del uses, toxic_uses, chi, frequency, factors
+    # The driver passes packed parts on, but makes none: unpacked, the index is several times as large.
+    made = indexed(chosen, shared, weights)
+    ids, marks, places, heavy, peaks, *kinds = (pc.list_flatten(made[c]).to_numpy() for c in PART.names[:8])
+    parts = list(zip(made["size"].to_pylist(), made["part"].to_pylist(), strict=True))
+    plain, plain_toxic = (pc.sum(made[c]).as_py() or 0 for c in ("plain", "plain_toxic"))
+    del made
+    norms = np.empty(len(ids))
+    for place in range(PARTS):
+        mine = places == place
+        norms[mine] = kinds[KINDS.index(np.min_scalar_type(int(peaks[mine].max(initial=1))))][mine]
+    order = np.lexsort((ids, heavy, places))
+    ids, marks, norms = ids[order], marks[order], norms[order]
     prior = float(marks.sum()) / max(len(marks), 1)
-    without = float((sum(x.sum() for x in plain) + prior) / (sum(map(len, plain)) + 1))
-    index = index_of(parts, factors, uses.astype(np.int64))
+    without = (plain_toxic + prior) / (plain + 1)
+    packed = spark.sparkContext.broadcast((parts, order, norms, marks.astype(float), ids))
     del parts
-    model = Model(shared, spark.sparkContext.broadcast(pack((tuple(index), marks.astype(float), ids))),
-                  np.zeros(1), np.full(1, prior), without)
+    give_back()
+    model = Model(shared, weights, packed, np.zeros(1), np.full(1, prior), without)
     judged = judge(chosen.drop("toxic"), model, calibrated=False).select("doc_id", "score").where("score is not null").toArrow()
     raw = judged["score"].to_numpy()
     if len(raw):
@@ -441,11 +521,11 @@ def judge(docs: DataFrame, model: Model, calibrated: bool = True) -> DataFrame:
     examples themselves, null if there is none.
     """
     kept = [c for c in docs.columns if c != "text"]
-    shared, shared_examples, steps, shares, without = model
+    shared, weights, packed, steps, shares, without = model
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, labels, all_ids = unpack(shared_examples.value)
-        index, known = Index(*index), Terms(shared.value)
+        known, (parts, order, norms, labels, all_ids) = Terms(shared.value), packed.value
+        index = merged([Part(*unpack(x)) for x in parts], order, norms, Weights(*unpack(weights.value)))
         search = Search(index)
         place = {} if calibrated else {x: i for i, x in enumerate(all_ids.tolist())}
         seen: dict[tuple[bytes, int], tuple[np.ndarray, np.ndarray]] = {}
