@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vitrine.operators import evaluation, labels, stepwise
 from vitrine.operators.folds import early_stopping
 from vitrine.operators.runs import best_epochs
+from vitrine.plans import training
 from vitrine.plans.ingest import Store
 from vitrine.plans.training import train_and_register
 from vitrine.session import fresh_dir
@@ -112,3 +113,30 @@ def test_search_then_training_with_its_best(spark):
     assert run["best_val_loss"] == min(r["val_loss"] for r in curve) and result["stage"] == "Production"
     # The same batch again: nothing is searched or trained.
     assert train_and_register(store, data_run_id="b1", trials=drawn)["skipped"] and store.read("trials").count() == 2
+
+
+def test_rows_are_split_and_decoded_once_for_search_and_training(spark, monkeypatch):
+    made, kept = [], []
+
+    def store_split(*args, **named):
+        made.append(stepwise.store_split(*args, **named))
+        return made[-1]
+
+    def measures(model, split):
+        kept.append((split.train.storageLevel.useMemory, split.val.storageLevel.useMemory))
+        return stepwise_measures(model, split)
+
+    stepwise_measures = stepwise.validation_measures
+    monkeypatch.setattr(training, "store_split", store_split)
+    monkeypatch.setattr(stepwise, "validation_measures", measures)
+    store = Store(spark, fresh_dir(spark, "store"))
+    store.embeddings.write(points(spark).select(
+        "product_id", F.slice("features", 1, 1).alias("embedding_image"), F.slice("features", 2, 1).alias("embedding_text"),
+        ((F.col("label") + 1) * 10).alias("prdtypecode"), F.lit("r").alias("run_id")))
+    store.categories.write(spark.createDataFrame([("10", "a"), ("20", "b"), ("30", "c")], "code string, label string"))
+    train_and_register(store, data_run_id="b", trials=[SMALL | {"epochs": 5}, SMALL | {"epochs": 10}], parallelism=2)
+    assert len(made) == 1 and len(kept) >= 4 and all(a and b for a, b in kept)
+    assert not made[0].train.storageLevel.useMemory and not made[0].val.storageLevel.useMemory
+    with pytest.raises(RuntimeError):
+        train_and_register(store, data_run_id="c", trials=[SMALL | {"epochs": 0}])
+    assert not made[-1].train.storageLevel.useMemory
