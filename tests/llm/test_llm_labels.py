@@ -143,6 +143,63 @@ def test_parts_of_the_index_are_made_by_tasks(spark, monkeypatch):
         assert best[0] == number and abs(cosines[0] - 1) < 1e-3
 
 
+def test_equal_postings_are_one_list_and_change_nothing(monkeypatch):
+    """Words and their beginnings share their postings; before, each was held and read for itself."""
+    rng = np.random.default_rng(11)
+    counts = rng.poisson(0.03, (400, 40)) * rng.choice([1, 1, 1, 9], (400, 40))
+    counts = np.concatenate([counts, counts[:, :30], counts[:, :30], np.maximum(counts[:, :1], 1) * 300], 1)
+    example, term = np.nonzero(counts)
+    parts = [(np.searchsorted(example, np.arange(401)), term, counts[example, term])]
+    factors = rng.uniform(1, 9, 101)
+    index = toxicity.index_of(parts, factors, (counts > 0).sum(0))
+    for most in (1 << 21, 7):
+        monkeypatch.setattr(toxicity, "PART_TERMS", most)
+        first, kinds = toxicity.equal_lists(index.bounds, index.example, index.uses)
+        assert (kinds[:30] == kinds[40:70]).all() and (kinds[:30] == kinds[70:100]).all()
+        lists = {k: {tuple(np.stack([index.example, index.uses])[:, index.bounds[t]:index.bounds[t + 1]].ravel().tolist())
+                     for t in np.flatnonzero(kinds == k)} for k in range(len(first))}
+        assert all(len(x) == 1 for x in lists.values()) and len(set().union(*lists.values())) == len(first)
+    search = toxicity.Search(index)
+    assert search._postings.bounds[-1] < 0.5 * index.bounds[-1]
+    weights = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * factors
+    weights = weights / np.linalg.norm(weights, axis=1, keepdims=True)
+    for row in weights[:60]:
+        used = np.flatnonzero(row)
+        best, scores = search.nearest(used, row[used], 15)
+        cosines = weights @ row
+        expected = np.lexsort((np.arange(400), -np.round(cosines, 12)))[:15]
+        assert best.tolist() == expected.tolist() and np.allclose(scores, cosines[expected], rtol=1e-12)
+
+
+def test_a_worker_makes_a_search_once(spark):
+    """Before, every task unpacked and merged the whole index for itself."""
+    made = []
+    rows = [(i, f"word{i % 7} of peace {'vile ' * (i % 2)}") for i in range(60)]
+    model = toxicity.fit(samples.frame(spark, rows), spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int"))
+    for _ in range(2):
+        made.append(toxicity.kept_search(model.examples, model.weights))
+    assert made[0] is made[1] and list(toxicity._KEPT) == [model.examples]
+    toxicity._KEPT.clear()
+
+
+def test_texts_wait_for_each_other_but_keep_their_rows(spark, monkeypatch):
+    """Texts of several blocks are searched together; every row comes out once, with the score of its text."""
+    assert [len(x) for x in toxicity.even_runs(list(range(1000)), 384)] == [500, 500]
+    assert list(toxicity.even_runs([], 384)) == [] and list(toxicity.even_runs([1], 384)) == [[1]]
+    rows = [(i, f"word{i % 7} of peace {'vile ' * (i % 2)}") for i in range(60)]
+    model = toxicity.fit(samples.frame(spark, rows), spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int"))
+    long = "calm " * 120_000  # more than a block
+    asked = [(i, (long if i % 50 == 3 else "") + ("vile" if i % 3 == 0 else "peace") + f" word{i % 5}") for i in range(500)]
+    found = toxicity.score(samples.frame(spark, asked).coalesce(1), model).select("doc_id", "score").collect()
+    assert sorted(r["doc_id"] for r in found) == list(range(500))
+    by_text = {}
+    texts = dict(asked)
+    for r in found:
+        by_text.setdefault(texts[r["doc_id"]], set()).add(r["score"])
+    assert all(len(x) == 1 for x in by_text.values())
+    assert all((r["score"] >= 0.5) == texts[r["doc_id"]].split()[-2].endswith("vile") for r in found)
+
+
 def test_toxicity_of_awkward_rows(spark):
     rows = [(i, "vile " * (i % 2) + f"word{i} of peace") for i in range(200)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(None, 1), (900, 1), (1, None), (1, 0)],
