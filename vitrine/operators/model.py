@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from py4j.protocol import Py4JError
+from pyspark import SparkContext
 from pyspark.errors import PySparkException
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
@@ -178,10 +179,19 @@ def train_mlp(train: DataFrame, classes: int, hidden: Iterable[int], label: str
         seed=seed, stepSize=step_size).fit(as_ml_vector(data, features))
 
 
+def scorer_of(model: Model) -> Model:
+    """The model without its training summary, which holds the session: that can't be sent to tasks once it has observed a frame."""
+    if not getattr(model, "hasSummary", False):
+        return model
+    scorer = model.copy()
+    scorer._java_obj.setSummary(SparkContext.getOrCreate()._jvm.scala.Option.empty())
+    return scorer
+
+
 def model_probabilities(df: DataFrame, model: Model, features: str = "features",
                         out: str = "probabilities") -> DataFrame:
     """Class probabilities of a ``pyspark.ml`` head as an array column."""
-    scored = model.transform(as_ml_vector(df, features))
+    scored = scorer_of(model).transform(as_ml_vector(df, features))
     return (scored.withColumn(out, vector_to_array("probability"))
             .drop("vector", "rawPrediction", "probability"))
 
@@ -213,7 +223,7 @@ def search(train: DataFrame, val: DataFrame, fit, params: list[dict], label: str
     trials = []
     for number, chosen in enumerate(params):
         try:
-            scored = fit(train, chosen).transform(as_ml_vector(val))
+            scored = scorer_of(fit(train, chosen)).transform(as_ml_vector(val))
             value = evaluator.evaluate(scored.withColumn("prediction", F.col("prediction").cast("int")))
             state = "COMPLETE"
         except TRIAL_ERRORS as error:  # one bad draw must not end the search

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from vitrine.operators.evaluation import accuracy_and_macro_f1, loss_accuracy_and_f1
 from vitrine.operators.labels import class_index, class_weights, encode_labels, index_to_label, stratified_split
-from vitrine.operators.model import DEFAULT_PARAMS, model_probabilities, sample_params, search, train_logistic
+from vitrine.operators.model import DEFAULT_PARAMS, model_probabilities, sample_params, scorer_of, search, train_logistic
 from vitrine.operators.quality import training_needed
 from vitrine.operators.registry import promote
 from vitrine.operators.runs import append_row, newest_run, trial_summary
@@ -50,7 +50,7 @@ def train_and_measure(frame: DataFrame, fit: Callable[[DataFrame], Model] = trai
     """(model, measures on the validation rows)."""
     train, val = split_parts(frame)
     model = fit(train)
-    scored = model.transform(as_ml_vector(val))
+    scored = scorer_of(model).transform(as_ml_vector(val))
     predictions = scored.select("label", F.col("prediction").cast("int").alias("prediction"))
     return model, accuracy_and_macro_f1(predictions).first().asDict()
 
@@ -100,7 +100,7 @@ def measured_curve(model: Model, frame: DataFrame, measures: dict) -> list[dict]
         losses = list((summary() if callable(summary) else summary).objectiveHistory)
     train, val = split_parts(frame)
     known = {r["label"]: r["weight"] for r in class_weights(train, "label").collect()}
-    scored = model.transform(as_ml_vector(val)).select("label", F.col("prediction").cast("int").alias("prediction"),
+    scored = scorer_of(model).transform(as_ml_vector(val)).select("label", F.col("prediction").cast("int").alias("prediction"),
                                                        vector_to_array("rawPrediction").alias("logits"))
     outputs = scored.select(F.size("logits")).first()[0]
     loss = loss_accuracy_and_f1(scored, F.lit([float(known.get(i, 0.0)) for i in range(outputs)])).first()["loss"]
